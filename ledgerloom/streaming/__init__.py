@@ -1,0 +1,5 @@
+"""Every ledger job is a dated batch, so there are no streaming operators.
+
+The functions of ``ledgerloom.functions`` are plain column expressions and can
+be used on a streaming DataFrame as they are.
+"""
