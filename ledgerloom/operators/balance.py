@@ -15,6 +15,7 @@ from ledgerloom.functions.amounts import (
     trailing_sign_amount,
 )
 from ledgerloom.functions.fixedwidth import currency_slice, split_key
+from ledgerloom.functions.scalars import on_day
 from ledgerloom.functions.types import (
     FEED_TOTAL,
     GL_TRANSACTION_COLUMNS,
@@ -32,14 +33,22 @@ SOURCE_FLAG = "C"
 # --- lines to amounts ------------------------------------------------------
 
 
+def _amount_fields(lines: DataFrame, layout: GlLayout) -> DataFrame:
+    """Id and the selected amount slot, in a select of its own: the slot is used
+    several times by the decoding, and is not repeated in it that way."""
+    line = F.col("value")
+    slot = currency_slice(
+        line, layout.currency, layout.local_amount, layout.foreign_amount, layout.local_currency
+    )
+    return lines.select("*", layout.key.of(line).alias("Id"), slot.alias("_slot"))
+
+
 def decode_lines(lines: DataFrame, layout: GlLayout = GlLayout()) -> DataFrame:
     """Id, Amount, DEBIT_AMOUNT, CREDIT_AMOUNT of each line. Amount is NULL for a
     line that cannot be decoded; both sides are then 0 and the line still counts."""
-    line = F.col("value")
-    field = currency_slice(
-        line, layout.currency, layout.local_amount, layout.foreign_amount, layout.local_currency
+    decoded = _amount_fields(lines, layout).select(
+        "Id", overpunch_amount(F.col("_slot")).alias("Amount")
     )
-    decoded = lines.select(layout.key.of(line).alias("Id"), overpunch_amount(field).alias("Amount"))
     amount = F.col("Amount")
     return decoded.select(
         "Id",
@@ -51,11 +60,8 @@ def decode_lines(lines: DataFrame, layout: GlLayout = GlLayout()) -> DataFrame:
 
 def rejected_lines(lines: DataFrame, layout: GlLayout = GlLayout()) -> DataFrame:
     """Lines whose amount cannot be decoded."""
-    line = F.col("value")
-    field = currency_slice(
-        line, layout.currency, layout.local_amount, layout.foreign_amount, layout.local_currency
-    )
-    return lines.filter(overpunch_amount(field).isNull())
+    rejected = _amount_fields(lines, layout).filter(overpunch_amount(F.col("_slot")).isNull())
+    return rejected.select(*lines.columns)
 
 
 def decode_feed(lines: DataFrame, feed: FeedLayout) -> DataFrame:
@@ -228,10 +234,9 @@ def balance_per_row(txns: DataFrame) -> DataFrame:
 
 
 def balances_on(balances: DataFrame, day: str) -> DataFrame:
-    """Balances of one day. On a table partitioned by BALANCE_DATE this prunes."""
-    return balances.filter(F.col("BALANCE_DATE") == F.lit(day).cast("date")).select(
-        *LEDGER_KEYS, "BALANCE"
-    )
+    """Balances of one calendar day; BALANCE_DATE may be a date or a timestamp. On a
+    table partitioned by it this prunes, and a database gets it as a filter."""
+    return balances.filter(on_day(F.col("BALANCE_DATE"), day)).select(*LEDGER_KEYS, "BALANCE")
 
 
 def roll_forward(

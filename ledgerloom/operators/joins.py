@@ -6,9 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup of at most this many (narrow) rows is broadcast.
+# A lookup of at most this many rows and bytes is broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more than this share of the rows is hot, so there are under 200 of them.
 HOT_SHARE = 0.005
 
@@ -27,9 +29,22 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
     )
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts ``df``; for lookup tables, which are cheap to read."""
-    return df.count() <= max_rows
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Measures ``df`` in one pass over it; meant for lookup tables."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    sizes = [F.lit(8 * len(df.columns))]
+    for field in df.schema:
+        column = F.col(field.name)
+        if isinstance(field.dataType, nested):
+            column = F.to_json(F.struct(column))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        sizes.append(F.coalesce(F.octet_length(column), F.lit(0)))
+    size = reduce(lambda a, b: a + b, sizes).cast("bigint")
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def split_join(
@@ -62,7 +77,7 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table with at most one row per key.
 
-    A lookup that is counted and fits is broadcast; beyond that see `split_join`,
+    A lookup that is measured and fits is broadcast; beyond that see `split_join`,
     where at most ``1 / hot_share`` rows are broadcast.
     """
     values = [c for c in lookup.columns if c not in keys]

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.scalars import on_day
 from ledgerloom.operators.accounts import active_accounts, validate_accounts
 from ledgerloom.operators.balance import (
     aggregate_by_id,
@@ -82,9 +83,7 @@ def run_gl_day(
         "POST_DAY",
         day,
     )
-    posted = spark.read.parquet(tables.transactions).filter(
-        F.col("POST_DAY") == F.lit(day).cast("date")
-    )
+    posted = spark.read.parquet(tables.transactions).filter(on_day(F.col("POST_DAY"), day))
     previous = None
     if previous_day is not None:
         previous = balances_on(spark.read.parquet(tables.balances), previous_day)

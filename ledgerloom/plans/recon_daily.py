@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.scalars import on_day
 from ledgerloom.functions.types import DIFFERENCE_COLUMNS
 from ledgerloom.operators.accounts import head_by_case, head_by_rules
 from ledgerloom.operators.balance import balances_on
@@ -31,10 +32,7 @@ def recon_frame(
     headed = head_by_rules(found, rules) if rules is not None else found.withColumn(
         "HEAD", head_by_case()
     )
-    start = F.lit(previous_date).cast("date")
-    before = history.filter(
-        (F.col("RECON_RUN_DATE") >= start) & (F.col("RECON_RUN_DATE") < F.date_add(start, 1))
-    )
+    before = history.filter(on_day(F.col("RECON_RUN_DATE"), previous_date))
     compared = day_over_day(headed, before, labels)
     return compared.withColumn("RECON_RUN_DATE", run_time).select(*DIFFERENCE_COLUMNS)
 

@@ -37,8 +37,12 @@ LAYOUT = GlLayout()
     CASE WHEN currency = 'INR' THEN lcyAmt ELSE fcyAmt END AS amount_field FROM fields""",
 )
 def fw_currency_slice(t: Tables) -> DataFrame:
+    return _amount_fields(t.lines())
+
+
+def _amount_fields(lines: DataFrame) -> DataFrame:
     line = F.col("value")
-    return t.lines().select(
+    return lines.select(
         LAYOUT.key.of(line).alias("Id"),
         currency_slice(
             line, LAYOUT.currency, LAYOUT.local_amount, LAYOUT.foreign_amount, LAYOUT.local_currency
@@ -172,7 +176,7 @@ def filter_prefix(t: Tables) -> DataFrame:
     f"WITH {SQL_LINES} SELECT Id, count(*) AS n_rejected FROM lines WHERE READ_MILLI IS NULL GROUP BY 1",
 )
 def filter_null(t: Tables) -> DataFrame:
-    rejected = rejected_lines(t.lines()).select(LAYOUT.key.of(F.col("value")).alias("Id"))
+    rejected = rejected_lines(t.stored_lines()).select(LAYOUT.key.of(F.col("value")).alias("Id"))
     return rejected.groupBy("Id").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
@@ -183,7 +187,7 @@ def filter_null(t: Tables) -> DataFrame:
     SELECT * FROM f WHERE regexp_matches(amount_field, '[p-y]$')""",
 )
 def filter_rlike(t: Tables) -> DataFrame:
-    return fw_currency_slice(t).filter(F.col("amount_field").rlike("[p-y]$"))
+    return _amount_fields(t.stored_lines()).filter(F.col("amount_field").rlike("[p-y]$"))
 
 
 # --- scalar expressions ----------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions.fixedwidth import slice_fields
 from ledgerloom.operators.aggregates import total_length
 from ledgerloom.operators.balance import aggregate_by_id, decode_lines
+from ledgerloom.operators.layout import at_most, spread_by_key
 from ledgerloom.operators.quality import require_rows
 from ledgerloom.plans.export import run_daily_export, run_full_export
 from ledgerloom.queries.registry import query
@@ -16,6 +17,7 @@ from ledgerloom.queries.tables import (
     ACCOUNTS,
     CLOSING_DAY,
     OPENING_DAY,
+    OTHER_SLOT,
     SQL_ACCOUNTS,
     SQL_LINES,
     SQL_POSTINGS,
@@ -34,7 +36,7 @@ from ledgerloom.sources.layouts import (
     dated_path,
     family_patterns,
 )
-from ledgerloom.sources.workdir import new_folder
+from ledgerloom.sources.workdir import checkpointed, new_folder
 
 BY_ID_SQL = f"""
 WITH {SQL_LINES}
@@ -51,7 +53,7 @@ SQL_FIELDS = f"""{SQL_LINES}, slots AS (
   SELECT *, CASE WHEN l_orderkey % 97 = 0
       THEN lpad(CAST(abs(MILLI) AS VARCHAR), 17, '0')[1:16] || '}}'
       ELSE {_FIELD.format(m='MILLI')} END AS own,
-    {_FIELD.format(m='(7 - MILLI)')} AS other
+    '{OTHER_SLOT}' AS other
   FROM lines), fields AS (
   SELECT strftime(POSTING_DATE, '%y%j') AS txdate,
     lpad(CAST(l_orderkey AS VARCHAR), 9, '0') AS journal,
@@ -69,7 +71,7 @@ SQL_FIELDS = f"""{SQL_LINES}, slots AS (
 @query(
     "src_text_lines",
     f"""WITH {SQL_POSTINGS}
-    SELECT CURRENCY AS currency, count(*) AS n_lines, CAST(178 * count(*) AS BIGINT) AS n_chars
+    SELECT CURRENCY AS currency, count(*) AS n_lines, CAST(149 * count(*) AS BIGINT) AS n_chars
     FROM postings GROUP BY 1""",
 )
 def src_text_lines(t: Tables) -> DataFrame:
@@ -287,10 +289,48 @@ def text_total_length(t: Tables) -> DataFrame:
 @query("export_fields", f"WITH {SQL_FIELDS} SELECT {', '.join(f.name for f in EXPORT_FULL)} FROM fields")
 def export_fields(t: Tables) -> DataFrame:
     folder = new_folder(t.spark, "export")
-    run_full_export(t.lines(), folder)
+    run_full_export(t.full_lines(), folder)
     return t.spark.read.parquet(folder)
 
 
 @query("fw_slice", f"WITH {SQL_FIELDS} SELECT {', '.join(f.name for f in EXPORT_SHORT)} FROM fields")
 def fw_slice(t: Tables) -> DataFrame:
-    return t.lines().select(*slice_fields(EXPORT_SHORT))
+    return t.full_lines().select(*slice_fields(EXPORT_SHORT))
+
+
+@query(
+    "layout_spread_write",
+    f"""WITH {SQL_POSTINGS} SELECT BRANCH_CODE, count(*) AS n_rows,
+    CAST(sum(MILLI) AS BIGINT) AS milli FROM postings GROUP BY 1""",
+)
+def layout_spread_write(t: Tables) -> DataFrame:
+    """Repartitioned by a salted key, fewer writers, a row limit per file."""
+    folder = new_folder(t.spark, "spread")
+    rows = t.postings().select("BRANCH_CODE", "l_orderkey", "l_linenumber", "MILLI")
+    spread = spread_by_key(rows, 16, "BRANCH_CODE", ["l_orderkey", "l_linenumber"], ways=4)
+    files.write_parquet(at_most(spread, 8), folder, max_records=20_000)
+    return (
+        t.spark.read.parquet(folder)
+        .groupBy("BRANCH_CODE")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("MILLI").alias("milli"))
+    )
+
+
+@query(
+    "checkpoint_reuse",
+    f"""WITH {SQL_POSTINGS}, s AS (SELECT BRANCH_CODE, CURRENCY, CAST(sum(MILLI) AS BIGINT) AS milli
+      FROM postings GROUP BY 1, 2)
+    SELECT s.BRANCH_CODE, s.CURRENCY, s.milli, largest.milli AS branch_largest
+    FROM s JOIN (SELECT BRANCH_CODE, max(milli) AS milli FROM s GROUP BY 1) largest
+    USING (BRANCH_CODE)""",
+)
+def checkpoint_reuse(t: Tables) -> DataFrame:
+    """A frame used twice, under two aliases, is computed once."""
+    sums = checkpointed(
+        t.postings().groupBy("BRANCH_CODE", "CURRENCY").agg(F.sum("MILLI").alias("milli"))
+    )
+    largest = sums.groupBy("BRANCH_CODE").agg(F.max("milli").alias("branch_largest"))
+    joined = sums.alias("s").join(
+        largest.alias("l"), F.col("s.BRANCH_CODE") == F.col("l.BRANCH_CODE")
+    )
+    return joined.select("s.BRANCH_CODE", "s.CURRENCY", "s.milli", "l.branch_largest")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.amounts import overpunch_field
 from ledgerloom.functions.types import AMOUNT
+from ledgerloom.sources.files import read_lines
+from ledgerloom.sources.workdir import new_folder
 
 # Account codes of the derived ledger: code and balance-compare flag, by key % 20.
 ACCOUNTS = [
@@ -41,6 +43,9 @@ ACCOUNTS = [
 OPENING_DAY = "1998-06-30"
 CLOSING_DAY = "2001-12-31"
 
+# What a ledger line has in the slot that its currency does not select.
+OTHER_SLOT = "0000000000012345p"
+
 
 def account_code(key: Column) -> Column:
     codes = F.array(*[F.lit(code) for code, _ in ACCOUNTS])
@@ -105,49 +110,64 @@ class Tables:
         )
 
     def lines(self, postings: DataFrame | None = None) -> DataFrame:
-        """The postings as ledger lines of 178 characters.
+        """The postings as ledger lines of 149 characters: currency, Id, amounts.
 
         The slot that the currency does not select holds another amount, and an
         order key divisible by 97 gives a line with a bad sign character.
         """
         postings = self.postings() if postings is None else postings
-        field = overpunch_field(F.col("MILLI"))
-        field = F.when(
-            F.col("l_orderkey") % 97 == 0, F.concat(F.substring(field, 1, 16), F.lit("}"))
-        ).otherwise(field)
-        other = overpunch_field(F.lit(7) - F.col("MILLI"))
-        is_local = F.col("CURRENCY") == "INR"
+        parts = [
+            F.lit(" " * 47),
+            F.col("CURRENCY"),  # 48
+            F.concat("BRANCH_CODE", "CURRENCY", "CGL"),  # 51
+            F.lit(" " * 47),
+            self._amount_slots(),  # 116 and 133
+        ]
+        return postings.select(F.concat(*parts).alias("value"))
+
+    def full_lines(self) -> DataFrame:
+        """The same with all 13 fields, 178 characters."""
+        order, item = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
         parts = [
             F.lit("   "),
             F.date_format("POSTING_DATE", "yyDDD"),  # 4
             F.lit(" " * 19),
-            F.lpad(F.col("l_orderkey").cast("string"), 9, "0"),  # 28
-            F.lpad(F.col("l_linenumber").cast("string"), 2, "0"),  # 37
+            F.lpad(order, 9, "0"),  # 28
+            F.lpad(item, 2, "0"),  # 37
             F.lit("   "),
             F.col("BRANCH_CODE"),  # 42
             F.lit(" "),
             F.col("CURRENCY"),  # 48
             F.concat("BRANCH_CODE", "CURRENCY", "CGL"),  # 51
             F.lit(" " * 7),
-            F.lit("TXN"),  # 76
-            F.lpad(F.col("l_linenumber").cast("string"), 3, "0"),
+            F.concat(F.lit("TXN"), F.lpad(item, 3, "0")),  # 76
             F.rpad(F.concat(F.lit("POSTING "), "CURRENCY"), 24, " "),  # 82
             F.lit(" " * 5),
             F.date_format("POSTING_DATE", "yyDDD"),  # 111
-            F.when(is_local, field).otherwise(other),  # 116
-            F.when(is_local, other).otherwise(field),  # 133
+            self._amount_slots(),  # 116 and 133
             F.lit(" " * 10),
-            F.lpad(F.col("l_orderkey").cast("string"), 16, "0"),  # 160
+            F.lpad(order, 16, "0"),  # 160
             F.lit("CBS"),  # 176
         ]
-        return postings.select(F.concat(*parts).alias("value"))
+        return self.postings().select(F.concat(*parts).alias("value"))
 
-    def ids(self) -> DataFrame:
-        """Decodable and other postings by Id: what the lines contain."""
-        return self.postings().select(
-            F.concat("BRANCH_CODE", "CURRENCY", "CGL").alias("Id"), "MILLI", "POSTING_DATE"
+    @staticmethod
+    def _amount_slots() -> Column:
+        field = overpunch_field(F.col("MILLI"))
+        bad = F.concat(F.substring(field, 1, 16), F.lit("}"))
+        own = F.when(F.col("l_orderkey") % 97 == 0, bad).otherwise(field)
+        other = F.lit(OTHER_SLOT)
+        return F.when(F.col("CURRENCY") == "INR", F.concat(own, other)).otherwise(
+            F.concat(other, own)
         )
 
+    def stored_lines(self) -> DataFrame:
+        """The lines read back from text files. A filter on a line that is still an
+        expression would be pushed below it and repeat the whole expression."""
+        folder = new_folder(self.spark, "lines")
+        self.lines().write.text(folder)
+        return read_lines(self.spark, folder)
+
     def transactions(self) -> DataFrame:
         """One transaction per posting with debit and credit amounts."""
         amount = (F.col("MILLI").cast("decimal(18,0)") * F.expr("0.001BD")).cast(AMOUNT)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.scalars import on_day
 from ledgerloom.operators.quality import require_rows
 
 
@@ -52,32 +53,26 @@ def write_parquet(df: DataFrame, path: str, max_records: int | None = None) -> N
 
 
 def write_partitions(df: DataFrame, path: str, by: list[str], append: bool = False) -> None:
-    """Parquet partitioned by ``by``.
+    """Parquet partitioned by ``by``, over many values of it.
 
-    The partitions in ``df`` are replaced, so running a day again does not double
-    it; ``append`` adds to them instead. The rebalance hint gathers a partition's
-    rows into files of good size and splits a large partition over several
-    writers, so there are neither many small files nor one slow writer.
+    The rebalance hint gathers a partition's rows into files of good size and
+    splits a large partition over several writers, so there are neither many
+    small files nor one slow writer.
     """
-    (
-        df.hint("rebalance", *[F.col(c) for c in by])
-        .write.mode("append" if append else "overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    _write_partitions(df.hint("rebalance", *[F.col(c) for c in by]), path, by, append)
 
 
 def write_day(df: DataFrame, path: str, column: str, day: str, append: bool = False) -> int:
     """Writes rows whose ``column`` is ``day`` and checks the count by reading back.
 
-    The number written is observed by the write itself, not by a second run, and
-    the check reads one partition. Returns the rows written.
+    All rows go to one partition, so every task writes one file and no shuffle is
+    needed. The number written is observed by the write itself, not by a second
+    run, and the check reads one partition. Returns the rows written.
     """
     spark = df.sparkSession
     before = _rows_of_day(spark, path, column, day) if append else 0
     written = Observation()
-    write_partitions(df.observe(written, F.count(F.lit(1)).alias("rows")), path, [column], append)
+    _write_partitions(df.observe(written, F.count(F.lit(1)).alias("rows")), path, [column], append)
     rows = written.get["rows"]
     found = _rows_of_day(spark, path, column, day)
     if found != before + rows:
@@ -85,6 +80,17 @@ def write_day(df: DataFrame, path: str, column: str, day: str, append: bool = Fa
     return rows
 
 
+def _write_partitions(df: DataFrame, path: str, by: list[str], append: bool) -> None:
+    """The partitions in ``df`` are replaced, so running a day again does not double
+    it; ``append`` adds to them instead."""
+    (
+        df.write.mode("append" if append else "overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
 def _rows_of_day(spark: SparkSession, path: str, column: str, day: str) -> int:
     try:
         table = spark.read.parquet(path)
@@ -92,4 +98,4 @@ def _rows_of_day(spark: SparkSession, path: str, column: str, day: str) -> int:
         if error.getCondition() == "PATH_NOT_FOUND":
             return 0
         raise
-    return table.filter(F.col(column) == F.lit(day).cast("date")).count()
+    return table.filter(on_day(F.col(column), day)).count()

@@ -1,0 +1,23 @@
+"""Every query against its SQL, on the smallest tables, types included."""
+
+import pytest
+from compare import connect, difference
+
+import __spark_entry__ as driver
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_query(spark, db, name):
+    problem = difference(driver.queries()[name](spark, SF_DIR), db, driver.oracle_sql()[name])
+    assert problem is None, problem
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() > 0
