@@ -44,51 +44,66 @@ def validate_accounts(
 
 # --- HEAD by ordered rules -------------------------------------------------
 
-# Fixed values.
+# Fixed values. The first row that holds names the HEAD: branches, LIKE pattern of
+# the account, currency, HEAD; None matches anything.
 LHO_BRANCHES = ["03973", "03974", "03975", "03976", "04030", "04425", "04454", "06939"]
-PPF_CODES = ["2111", "2115", "2060"]
+HEAD_RULES = [
+    (["01999"], None, None, "CAO"),
+    (None, "________9%", None, "PROVISION"),
+    (None, "1204%", None, "CASH"),
+    (None, "62%", None, "AUCA"),
+    (None, "6363%", None, "CTA 6363"),
+    (None, "4363%", None, "CTA 4363"),
+    (None, "4%", None, "CTA"),
+    (None, "6%", None, "CTA"),
+    (None, "7%", None, "I/E"),
+    (None, "8%", None, "I/E"),
+    (None, "5%", "INR", "MEMO"),
+    (None, "5%", None, "FC MEMO"),
+    (None, "2148%", "INR", "BGL"),
+    (None, "2148%", None, "FC"),
+    (None, "2249%", None, "INCA"),
+    (None, "2111", None, "PPF"),
+    (None, "2115", None, "PPF"),
+    (None, "2060", None, "PPF"),
+    (LHO_BRANCHES, "1106505002", None, "LHO"),
+    (None, "1106505002", None, "BCGA"),
+    (None, "1000505003", None, "MIGRATION"),
+    (None, "1100505001", None, "LHO"),
+    (None, "1%", "INR", "LOAN"),
+    (None, "1%", None, "FC"),
+]
+DEFAULT_RULES = [(None, None, "INR", "DEPOSITS"), (None, None, None, "FC")]
+
+
+def _first_match(rules: list[tuple[list[Column], str]], fallback: Column) -> Column:
+    """One CASE: the value of the first rule whose conditions all hold."""
+    value = fallback
+    for conditions, name in reversed(rules):
+        holds = reduce(lambda a, b: a & b, conditions, F.lit(True))
+        value = F.when(holds, name).otherwise(value)
+    return value
 
 
 def head_by_case(ppf_as_prefix: bool = False, with_default: bool = False) -> Column:
-    """HEAD of BRANCH_CODE, CURRENCY, CGL: the first rule that holds.
+    """HEAD of BRANCH_CODE, CURRENCY, CGL by the ordered rules.
 
-    No rule gives NULL, or DEPOSITS / FC with ``with_default``. PPF compares the
-    whole code unless ``ppf_as_prefix``.
+    No match gives NULL, or DEPOSITS / FC ``with_default``. PPF compares the whole
+    code, or its first four digits with ``ppf_as_prefix``.
     """
-    branch, currency, cgl = F.col("BRANCH_CODE"), F.col("CURRENCY"), F.col("CGL")
-
-    def by_currency(local: str, foreign: str) -> Column:
-        return F.when(currency == "INR", local).otherwise(foreign)
-
-    def named(*codes: str) -> Column:
-        return cgl.isin(*codes)
-
-    ppf = F.substring(cgl, 1, 4) if ppf_as_prefix else cgl
-    rules = [
-        (branch == "01999", F.lit("CAO")),
-        (F.substring(cgl, 9, 1) == "9", F.lit("PROVISION")),
-        (cgl.startswith("1204"), F.lit("CASH")),
-        (cgl.startswith("62"), F.lit("AUCA")),
-        (cgl.startswith("6363"), F.lit("CTA 6363")),
-        (cgl.startswith("4363"), F.lit("CTA 4363")),
-        (cgl.startswith("4") | cgl.startswith("6"), F.lit("CTA")),
-        (cgl.startswith("7") | cgl.startswith("8"), F.lit("I/E")),
-        (cgl.startswith("5"), by_currency("MEMO", "FC MEMO")),
-        (cgl.startswith("2148"), by_currency("BGL", "FC")),
-        (cgl.startswith("2249"), F.lit("INCA")),
-        (ppf.isin(PPF_CODES), F.lit("PPF")),
-        (
-            named("1106505002"),
-            F.when(branch.isin(LHO_BRANCHES), "LHO").otherwise("BCGA"),
-        ),
-        (named("1000505003"), F.lit("MIGRATION")),
-        (named("1100505001"), F.lit("LHO")),
-        (cgl.startswith("1"), by_currency("LOAN", "FC")),
-    ]
-    fallback = by_currency("DEPOSITS", "FC") if with_default else F.lit(None).cast("string")
-    return reduce(
-        lambda rest, rule: F.when(rule[0], rule[1]).otherwise(rest), reversed(rules), fallback
-    )
+    rules = []
+    for branches, pattern, currency, head in HEAD_RULES + (DEFAULT_RULES if with_default else []):
+        if head == "PPF" and ppf_as_prefix:
+            pattern += "%"
+        conditions = []
+        if branches is not None:
+            conditions.append(F.col("BRANCH_CODE").isin(branches))
+        if pattern is not None:
+            conditions.append(F.col("CGL").like(pattern))
+        if currency is not None:
+            conditions.append(F.col("CURRENCY") == currency)
+        rules.append((conditions, head))
+    return _first_match(rules, F.lit(None).cast("string"))
 
 
 def head_fallback() -> Column:
@@ -115,20 +130,17 @@ def head_by_rules(df: DataFrame, rules: DataFrame, max_case_rules: int = CASE_RU
     if len(some) > max_case_rules:
         return _head_by_rule_join(df, rules)
 
-    def matches(rule) -> Column:
-        tests = [
-            F.col("BRANCH_CODE") == rule.branch_code if rule.branch_code is not None else None,
-            F.col("CURRENCY") == rule.currency if rule.currency is not None else None,
-            F.col("CGL").startswith(rule.cgl_prefix) if rule.cgl_prefix is not None else None,
-        ]
-        return reduce(lambda a, b: a & b, [t for t in tests if t is not None], F.lit(True))
-
-    head = reduce(
-        lambda rest, rule: F.when(matches(rule), rule.head_category).otherwise(rest),
-        reversed(some),
-        F.lit(UNCLASSIFIED),
-    )
-    return df.withColumn("HEAD", head)
+    compiled = []
+    for rule in some:
+        conditions = []
+        if rule.branch_code is not None:
+            conditions.append(F.col("BRANCH_CODE") == rule.branch_code)
+        if rule.cgl_prefix is not None:
+            conditions.append(F.col("CGL").startswith(rule.cgl_prefix))
+        if rule.currency is not None:
+            conditions.append(F.col("CURRENCY") == rule.currency)
+        compiled.append((conditions, rule.head_category))
+    return df.withColumn("HEAD", _first_match(compiled, F.lit(UNCLASSIFIED)))
 
 
 def _head_by_rule_join(df: DataFrame, rules: DataFrame) -> DataFrame:

@@ -122,20 +122,11 @@ def test_paths_and_work_folder(spark):
 def tables(spark, monkeypatch):
     stored = {}
 
-    def read_table(spark, db, table, split=None):
-        return stored[table]
-
     def append(df, db, table, **options):
-        old = stored[table]
-        stored[table] = old.unionByName(df.select(*old.columns)).localCopy()
-
-    from pyspark.sql.classic.dataframe import DataFrame
-
-    def local_copy(df):
-        return df.sparkSession.createDataFrame(df.collect(), df.schema)
+        rows = stored[table].unionByName(df.select(*stored[table].columns))
+        stored[table] = spark.createDataFrame(rows.collect(), rows.schema)
 
-    monkeypatch.setattr(DataFrame, "localCopy", local_copy, raising=False)
-    monkeypatch.setattr(jdbc, "read_table", read_table)
+    monkeypatch.setattr(jdbc, "read_table", lambda spark, db, table, split=None: stored[table])
     monkeypatch.setattr(jdbc, "append", append)
     return stored
 
