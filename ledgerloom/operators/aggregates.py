@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import salt
-from ledgerloom.operators.joins import join_group_values
+from ledgerloom.operators.joins import (
+    HOT_ROWS,
+    HOT_SHARE,
+    hot_groups,
+    hot_keys,
+    join_group_values,
+    split_hot,
+)
 
 
 def salted_sum_count(
@@ -27,72 +34,140 @@ def total_length(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.agg(F.sum(F.length(column)).alias("total_length"))
 
 
-def join_back_summary(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
-    """Each row with the aggregates of its group. A window would sort a whole
-    group in one task; here a hot group's rows are not even shuffled."""
+def join_back_summary(
+    df: DataFrame, keys: list[str], aggregates: list[Column], **hot
+) -> DataFrame:
+    """Each row with the aggregates of its group; NULL keys get none. A window would
+    sort a whole group in one task; here a hot group's rows are not even shuffled."""
     summary = df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("_rows"))
-    return join_group_values(df, summary, keys, "_rows")
+    return join_group_values(df, summary, keys, "_rows", **hot)
+
+
+def _split_hot_keys(
+    df: DataFrame, key: str, hot_share: float, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    return split_hot(df, hot_keys(df, [key], hot_share, hot_rows).select(key), [key], null_safe=True)
 
 
-def _points(df: DataFrame, key: str, order: str, bucket: Column, step: Column) -> DataFrame:
-    """One row per (key, order value): the sum of ``step`` up to it, within it and
-    over the key, the latter two NULL-free only if ``step`` is.
+def _over_buckets(
+    df: DataFrame, key: str, order: str, step: Column, bucket: Column, hot_share: float, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cuts the rows of hot keys into pieces that a task can order.
 
-    ``bucket`` must grow with ``order``. Rows are combined per order value, then
-    summed inside each (key, bucket) and offset by the total of earlier buckets, so
-    no task sees a whole key: only one bucket, or one row per bucket of a key.
+    ``bucket`` must grow with ``order``. Returns rows to be ordered inside (key,
+    _bucket), and rows of the few (key, _bucket) that are too large for that.
+
+    The first part has one more row per (key, _bucket), with _first = 0, that sorts
+    before the others and brings what earlier buckets add up to as _offset, so that
+    no join is needed. The second part has the same as columns of its rows.
     """
-    combined = df.groupBy(key, bucket.alias("_bucket"), order).agg(
-        step.alias("_step"), F.count(F.lit(1)).alias("_rows")
-    )
+    rows = df.withColumn("_bucket", bucket).withColumn("_step", step)
     earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # A struct as join key, so that a NULL key or bucket equals itself as in a window.
-    place = F.struct(key, "_bucket").alias("_place")
     buckets = (
-        combined.groupBy(key, "_bucket")
-        .agg(F.sum("_step").alias("_step"))
+        rows.groupBy(key, "_bucket")
+        .agg(F.sum("_step").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
         .select(
-            place,
-            F.sum("_step").over(earlier).alias("_offset"),
-            F.sum("_step").over(Window.partitionBy(key)).alias("_over_key"),
-        )
-    )
-    inside = F.sum("_step").over(Window.partitionBy("_place").orderBy(order))
-    return (
-        combined.select(place, key, order, "_step", "_rows")
-        .join(buckets, "_place")
-        .withColumn("_inside", inside)
-        .select(
-            F.struct(key, order).alias("_point"),
-            # Sums skip NULL, so NULL only where nothing was summed yet.
-            F.coalesce(F.col("_inside") + F.col("_offset"), "_inside", "_offset").alias("_through"),
-            "_step",
-            "_over_key",
+            key,
+            "_bucket",
+            F.sum("_sum").over(earlier).alias("_offset"),
+            F.sum("_rows").over(Window.partitionBy(key)).alias("_key_rows"),
             "_rows",
         )
     )
-
-
-def _at_points(df: DataFrame, key: str, order: str, points: DataFrame) -> DataFrame:
-    keyed = df.withColumn("_point", F.struct(key, order))
-    return join_group_values(keyed, points, ["_point"], "_rows").drop("_point")
+    hot = hot_groups(buckets, "_rows", hot_share, hot_rows).drop("_rows", "share")
+    large, rest = split_hot(rows, hot, [key, "_bucket"], null_safe=True)
+    heads = buckets.drop("_rows").withColumn("_first", F.lit(0))
+    ordered = rest.withColumn("_first", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    return ordered, large
+
+
+def _points(large: DataFrame, key: str, order: str) -> DataFrame:
+    """One row per order value of a large bucket: copies of a row, and rows that
+    tie, are combined before they are shuffled."""
+    return large.groupBy(key, "_bucket", order).agg(
+        F.sum("_step").alias("_sum"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.max("_offset").alias("_offset"),
+        F.max("_key_rows").alias("_key_rows"),
+    )
 
 
 def running_total(
-    df: DataFrame, key: str, order: str, value: str, bucket: Column, name: str = "RunningTotal"
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: str,
+    bucket: Column,
+    name: str = "RunningTotal",
+    hot_share: float = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``sum(value) OVER (PARTITION BY key ORDER BY order)``: rows that tie share one total."""
-    points = _points(df, key, order, bucket, F.sum(value))
-    return _at_points(
-        df, key, order, points.select("_point", F.col("_through").alias(name), "_rows")
+    """``sum(value) OVER (PARTITION BY key ORDER BY order)``: rows that tie share one total.
+
+    The rows of hot keys are summed in pieces: by ``bucket``, which must grow with
+    ``order`` (the day of a timestamp, say), and in a bucket that is hot itself by
+    order value. No task sorts all rows of a hot key.
+    """
+    hot_part, plain_part = _split_hot_keys(df, key, hot_share, hot_rows)
+    whole = Window.partitionBy(key).orderBy(order)
+    plain = plain_part.withColumn(name, F.sum(value).over(whole))
+    ordered, large = _over_buckets(hot_part, key, order, F.col(value), bucket, hot_share, hot_rows)
+    # Sums skip NULL, so a total is NULL only where nothing was summed yet.
+    so_far = Window.partitionBy(key, "_bucket").orderBy("_first", order)
+    added = F.when(F.col("_first") == 0, F.col("_offset")).otherwise(F.col("_step"))
+    bucketed = (
+        ordered.withColumn(name, F.sum(added).over(so_far))
+        .filter(F.col("_first") == 1)
+        .select(*df.columns, name)
+    )
+    inside = F.sum("_sum").over(Window.partitionBy(key, "_bucket").orderBy(order))
+    points = (
+        _points(large, key, order)
+        .withColumn("_inside", inside)
+        .withColumn(name, F.coalesce(F.col("_inside") + F.col("_offset"), "_inside", "_offset"))
+        .select(key, order, name, "_rows")
+    )
+    tied = join_group_values(
+        large.select(*df.columns), points, [key, order], "_rows", True, hot_share, hot_rows
     )
+    return plain.unionByName(bucketed).unionByName(tied)
 
 
 def percent_rank(
-    df: DataFrame, key: str, order: str, bucket: Column, name: str = "percent_rank"
+    df: DataFrame,
+    key: str,
+    order: str,
+    bucket: Column,
+    name: str = "percent_rank",
+    hot_share: float = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``percent_rank() OVER (PARTITION BY key ORDER BY order)``."""
-    points = _points(df, key, order, bucket, F.count(F.lit(1)))
-    before, others = F.col("_through") - F.col("_step"), F.col("_over_key") - 1
-    rank = F.when(others > 0, before / others).otherwise(F.lit(0.0))
-    return _at_points(df, key, order, points.select("_point", rank.alias(name), "_rows"))
+    """``percent_rank() OVER (PARTITION BY key ORDER BY order)``, see `running_total`."""
+    hot_part, plain_part = _split_hot_keys(df, key, hot_share, hot_rows)
+    whole = Window.partitionBy(key).orderBy(order)
+    plain = plain_part.withColumn(name, F.percent_rank().over(whole))
+    ordered, large = _over_buckets(hot_part, key, order, F.lit(1), bucket, hot_share, hot_rows)
+
+    def rank(before: Column, key_rows: Column) -> Column:
+        others = key_rows - 1
+        return F.when(others > 0, before / others).otherwise(F.lit(0.0)).alias(name)
+
+    so_far = Window.partitionBy(key, "_bucket").orderBy("_first", order)
+    # The head row has rank 1 and the only _offset and _key_rows.
+    offset = F.coalesce(F.max("_offset").over(so_far), F.lit(0))
+    bucketed = (
+        ordered.withColumn("_before", F.rank().over(so_far) - 2 + offset)
+        .withColumn("_key_rows", F.max("_key_rows").over(so_far))
+        .filter(F.col("_first") == 1)
+        .select(*df.columns, rank(F.col("_before"), F.col("_key_rows")))
+    )
+    inside = F.sum("_rows").over(Window.partitionBy(key, "_bucket").orderBy(order))
+    points = (
+        _points(large, key, order)
+        .withColumn("_before", inside - F.col("_rows") + F.coalesce("_offset", F.lit(0)))
+        .select(key, order, rank(F.col("_before"), F.col("_key_rows")), "_rows")
+    )
+    tied = join_group_values(
+        large.select(*df.columns), points, [key, order], "_rows", True, hot_share, hot_rows
+    )
+    return plain.unionByName(bucketed).unionByName(tied)

@@ -11,21 +11,26 @@ from pyspark.sql import types as T
 # A lookup of at most this many rows and bytes is broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more than this share of the rows is hot, so there are under 200 of them.
-HOT_SHARE = 0.005
+# A key is hot with more than this share of all rows, so there are under 10,000 of
+# them, and more than this many rows, below which one task has no trouble.
+HOT_SHARE = 0.0001
+HOT_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows, with their count and share.
+def hot_keys(df: DataFrame, keys: list[str], share: float, rows: int = 0) -> DataFrame:
+    """Keys with more than ``share`` of all rows and more than ``rows`` rows, with
+    their count and share.
 
     The count is combined on the map side and at most ``1 / share`` rows come out.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return (
-        counts.withColumn("share", F.col("n") / total)
-        .filter(F.col("share") > share)
-        .select(*keys, "n", "share")
+    return hot_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "n", share, rows)
+
+
+def hot_groups(groups: DataFrame, count: str, share: float, rows: int = 0) -> DataFrame:
+    """The same from one row per key with its number of rows in ``count``."""
+    total = groups.agg(F.sum(count)).scalar()
+    return groups.withColumn("share", F.col(count) / total).filter(
+        (F.col("share") > share) & (F.col(count) > rows)
     )
 
 
@@ -47,25 +52,51 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
+def split_hot(
+    df: DataFrame, hot_lookup: DataFrame, keys: list[str], null_safe: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is in ``hot_lookup``, with its values, and all other rows.
+
+    ``hot_lookup`` has one row for each of a few keys and is broadcast. A NULL in a
+    key finds nothing and is in the first part as well, with NULL values, unless
+    ``null_safe`` makes NULL an ordinary key.
+    """
+    values = [c for c in hot_lookup.columns if c not in keys]
+    marked = hot_lookup.select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], *values, F.lit(True).alias("_hot")
+    )
+    equal = [
+        F.col(k).eqNullSafe(F.col(f"_hot_{k}")) if null_safe else F.col(k) == F.col(f"_hot_{k}")
+        for k in keys
+    ]
+    flagged = df.join(F.broadcast(marked), reduce(lambda a, b: a & b, equal), "left")
+    done = F.col("_hot").isNotNull()
+    if not null_safe:
+        done = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], done)
+    return flagged.filter(done).select(*df.columns, *values), flagged.filter(~done).select(*df.columns)
+
+
 def split_join(
-    df: DataFrame, lookup: DataFrame, hot_lookup: DataFrame, keys: list[str]
+    df: DataFrame,
+    lookup: DataFrame,
+    hot_lookup: DataFrame,
+    keys: list[str],
+    null_safe: bool = False,
 ) -> DataFrame:
     """Left join to ``lookup`` (at most one row per key), hot keys apart.
 
-    ``hot_lookup`` is the few lookup rows of hot keys. Rows with such a key, or a
-    NULL in the key, meet a broadcast and are not shuffled; the rest is joined as
-    usual. Every row takes exactly one of the two ways.
+    ``hot_lookup`` is the few lookup rows of hot keys. Rows with such a key are not
+    shuffled; the rest is joined as usual. Every row takes exactly one of the ways.
     """
     values = [c for c in lookup.columns if c not in keys]
-    flagged = df.join(
-        F.broadcast(hot_lookup.select(*keys, *values, F.lit(True).alias("_hot"))), keys, "left"
-    )
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    done = F.col("_hot").isNotNull() | null_key
-    columns = [*df.columns, *values]
-    hot_rows = flagged.filter(done).select(*columns)
-    cold_rows = flagged.filter(~done).select(*df.columns).join(lookup, keys, "left")
-    return hot_rows.unionByName(cold_rows.select(*columns))
+    hot_rows, cold_rows = split_hot(df, hot_lookup.select(*keys, *values), keys, null_safe)
+    if null_safe:
+        right = lookup.select(*[F.col(k).alias(f"_cold_{k}") for k in keys], *values)
+        equal = [F.col(k).eqNullSafe(F.col(f"_cold_{k}")) for k in keys]
+        joined = cold_rows.join(right, reduce(lambda a, b: a & b, equal), "left")
+    else:
+        joined = cold_rows.join(lookup, keys, "left")
+    return hot_rows.unionByName(joined.select(*df.columns, *values))
 
 
 def lookup_join(
@@ -74,6 +105,7 @@ def lookup_join(
     keys: list[str],
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_share: float = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join to a table with at most one row per key.
 
@@ -83,18 +115,23 @@ def lookup_join(
     values = [c for c in lookup.columns if c not in keys]
     if fits_broadcast(lookup, max_broadcast_rows):
         return df.join(F.broadcast(lookup), keys, "left").select(*df.columns, *values)
-    hot = hot_keys(df.dropna(subset=keys), keys, hot_share).select(*keys)
+    hot = hot_keys(df.dropna(subset=keys), keys, hot_share, hot_rows).select(*keys)
     return split_join(df, lookup, lookup.join(F.broadcast(hot), keys, "left_semi"), keys)
 
 
 def join_group_values(
-    df: DataFrame, groups: DataFrame, keys: list[str], count: str, hot_share: float = HOT_SHARE
+    df: DataFrame,
+    groups: DataFrame,
+    keys: list[str],
+    count: str,
+    null_safe: bool = False,
+    hot_share: float = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join to a table made by grouping ``df`` by ``keys``, whose column
     ``count`` is the rows per group and so names the hot keys. Drops ``count``."""
-    total = groups.agg(F.sum(count)).scalar()
-    hot = groups.filter(F.col(count) > total * F.lit(hot_share))
-    return split_join(df, groups.drop(count), hot.drop(count), keys)
+    hot = hot_groups(groups, count, hot_share, hot_rows).drop("share")
+    return split_join(df, groups.drop(count), hot.drop(count), keys, null_safe)
 
 
 def with_exists_flag(

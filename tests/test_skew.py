@@ -27,12 +27,16 @@ def collected(df):
     return sorted(map(str, df.collect()))
 
 
+# Nothing is hot, one key is hot, most keys are hot.
+HOT = [{}, {"hot_share": 0.1, "hot_rows": 0}, {"hot_share": 0.0005, "hot_rows": 0}]
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
-@pytest.mark.parametrize("max_rows", [0, 10**6])
-def test_join_unique(spark, rows, how, max_rows):
+@pytest.mark.parametrize("options", [{"max_broadcast_rows": 10**6}, *({"max_broadcast_rows": 0, **h} for h in HOT)])
+def test_join_unique(spark, rows, how, options):
     lookup = spark.range(0, 300, 2).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("x"))
     lookup = lookup.union(spark.createDataFrame([("hot", 7), (None, 8), ("alone", 9)], "k string, x int"))
-    mine = joins.join_unique(rows, lookup, ["k"], how, max_broadcast_rows=max_rows)
+    mine = joins.join_unique(rows, lookup, ["k"], how, **options)
     assert mine.columns == ["id", "k", "o", "v", "x"]
     plain = rows.join(lookup, "k", how).select(*mine.columns)
     assert collected(mine) == collected(plain)
@@ -52,8 +56,9 @@ def test_hot_keys(rows):
     assert joins.hot_keys(rows, ["id"], 0.001).count() == 0
 
 
-def test_join_back_summary(rows):
-    mine = join_back_summary(rows, ["k"], [F.sum("v").alias("total")])
+@pytest.mark.parametrize("hot", HOT)
+def test_join_back_summary(rows, hot):
+    mine = join_back_summary(rows, ["k"], [F.sum("v").alias("total")], **hot)
     plain = rows.withColumn("total", F.when(F.col("k").isNotNull(), F.sum("v").over(Window.partitionBy("k"))))
     assert collected(mine) == collected(plain)
 
@@ -61,16 +66,18 @@ def test_join_back_summary(rows):
 BUCKETS = ["floor(o / 50)", "o", "1"]
 
 
+@pytest.mark.parametrize("hot", HOT)
 @pytest.mark.parametrize("bucket", BUCKETS)
-def test_running_total(rows, bucket):
-    mine = running_total(rows, "k", "o", "v", F.expr(bucket))
+def test_running_total(rows, bucket, hot):
+    mine = running_total(rows, "k", "o", "v", F.expr(bucket), **hot)
     plain = rows.withColumn("RunningTotal", F.sum("v").over(Window.partitionBy("k").orderBy("o")))
     assert collected(mine) == collected(plain)
 
 
+@pytest.mark.parametrize("hot", HOT)
 @pytest.mark.parametrize("bucket", BUCKETS)
-def test_percent_rank(rows, bucket):
-    mine = percent_rank(rows, "k", "o", F.expr(bucket))
+def test_percent_rank(rows, bucket, hot):
+    mine = percent_rank(rows, "k", "o", F.expr(bucket), **hot)
     plain = rows.withColumn("percent_rank", F.percent_rank().over(Window.partitionBy("k").orderBy("o")))
     assert collected(mine) == collected(plain)
 
