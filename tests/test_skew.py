@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import joins
+from ledgerloom.operators import aggregates, joins
 from ledgerloom.operators.aggregates import (
     join_back_summary,
     percent_rank,
@@ -82,6 +82,20 @@ def test_percent_rank(rows, bucket, hot):
     assert collected(mine) == collected(plain)
 
 
+def test_no_task_orders_a_hot_key(rows):
+    limits = {"hot_share": 0.01, "hot_rows": 0}
+    hot_part, plain_part = aggregates._split_hot_keys(rows, "k", **limits)
+    assert plain_part.groupBy("k").count().agg(F.max("count")).first()[0] <= 50
+    ordered, large = aggregates._over_buckets(
+        hot_part, "k", "o", F.col("v"), F.floor(F.col("o") / 5), **limits
+    )
+    parts = ordered.groupBy("k", "_bucket").count().agg(F.max("count")).first()[0]
+    assert parts <= 0.01 * hot_part.count() + 1
+    # Rows without an order value are one bucket, and too many for that.
+    assert not large.isEmpty()
+    assert ordered.filter("_first = 1").count() + large.count() + plain_part.count() == rows.count()
+
+
 def test_salted_aggregate(rows):
     mine = salted_sum_count(rows, "k", "v", ["id"], buckets=8)
     plain = rows.groupBy("k").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
