@@ -21,17 +21,20 @@ def recon_frame(
     previous_date: str,
     run_time: Column,
     rules: DataFrame | None = None,
+    head: Column | None = None,
     labels: tuple[str, str, str] = LABELS,
 ) -> DataFrame:
     """Differences of ``recon_date`` in the ten columns of the difference table.
 
     ``cbs`` and ``gl`` are balance tables with BALANCE_DATE, ``history`` the
-    difference table. HEAD comes from ``rules``, or from the ordered rules without.
+    difference table. HEAD comes from the table ``rules``; without one from the
+    expression ``head``, which defaults to the ordered rules.
     """
     found = mismatches(balances_on(cbs, recon_date), balances_on(gl, recon_date))
-    headed = head_by_rules(found, rules) if rules is not None else found.withColumn(
-        "HEAD", head_by_case()
-    )
+    if rules is not None:
+        headed = head_by_rules(found, rules)
+    else:
+        headed = found.withColumn("HEAD", head_by_case() if head is None else head)
     before = history.filter(on_day(F.col("RECON_RUN_DATE"), previous_date))
     compared = day_over_day(headed, before, labels)
     return compared.withColumn("RECON_RUN_DATE", run_time).select(*DIFFERENCE_COLUMNS)
