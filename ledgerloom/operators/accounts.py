@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import lookup_join, with_exists_flag
+from ledgerloom.functions.types import LEDGER_KEYS
+from ledgerloom.operators.joins import join_group_values, lookup_join, with_exists_flag
 
 # Accounts that stand in for unknown ones.
 UNKNOWN_MEMO = "5000000000"
@@ -78,11 +79,10 @@ DEFAULT_RULES = [(None, None, "INR", "DEPOSITS"), (None, None, None, "FC")]
 
 def _first_match(rules: list[tuple[list[Column], str]], fallback: Column) -> Column:
     """One CASE: the value of the first rule whose conditions all hold."""
-    value = fallback
-    for conditions, name in reversed(rules):
-        holds = reduce(lambda a, b: a & b, conditions, F.lit(True))
-        value = F.when(holds, name).otherwise(value)
-    return value
+    case = F.when(F.lit(False), F.lit(None).cast("string"))
+    for conditions, name in rules:
+        case = case.when(reduce(lambda a, b: a & b, conditions, F.lit(True)), name)
+    return case.otherwise(fallback)
 
 
 def head_by_case(ppf_as_prefix: bool = False, with_default: bool = False) -> Column:
@@ -150,40 +150,37 @@ def _head_by_rule_join(df: DataFrame, rules: DataFrame) -> DataFrame:
     (branch or any, currency or any, every prefix or any), so the join has an
     equality and is never rows times rules.
     """
-    keys = ["BRANCH_CODE", "CURRENCY", "CGL"]
-    fields = ["branch_code", "currency", "cgl_prefix"]
-    # '*' stands for a NULL rule field; a present value gets a '=' in front.
-    mark = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("*"))
-    best = (
-        rules.groupBy(*[mark(F.col(c)).alias(f"_{c}") for c in fields])
-        .agg(F.min(F.struct("priority", "head_category")).alias("_rule"))
-    )
-    prefixes = F.when(
-        F.col("CGL").isNotNull(),
-        F.transform(
-            F.sequence(F.lit(0), F.length("CGL")), lambda n: F.substring(F.col("CGL"), F.lit(1), n)
-        ),
-    ).otherwise(F.array())
-    any_or = lambda c: F.array_distinct(F.array(F.lit("*"), mark(F.col(c))))
+
+    def form(value: Column) -> Column:
+        """'*' for any; a present value gets a '=' in front."""
+        return F.coalesce(F.concat(F.lit("="), value), F.lit("*"))
+
+    def forms(value: Column) -> Column:
+        return F.explode(F.array_distinct(F.array(F.lit("*"), form(value))))
+
+    fields = ["_branch", "_currency", "_prefix"]
+    best = rules.groupBy(
+        form(F.col("branch_code")).alias("_branch"),
+        form(F.col("currency")).alias("_currency"),
+        form(F.col("cgl_prefix")).alias("_prefix"),
+    ).agg(F.min(F.struct("priority", "head_category")).alias("_rule"))
+    lengths = F.sequence(F.lit(0), F.length("CGL"))
+    prefixes = F.transform(lengths, lambda n: form(F.substring("CGL", F.lit(1), n)))
     candidates = (
-        df.select(*keys)
-        .distinct()
-        .withColumn("_branch_code", F.explode(any_or("BRANCH_CODE")))
-        .withColumn("_currency", F.explode(any_or("CURRENCY")))
+        df.groupBy(*LEDGER_KEYS)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_branch", forms(F.col("BRANCH_CODE")))
+        .withColumn("_currency", forms(F.col("CURRENCY")))
         .withColumn(
-            "_cgl_prefix",
-            F.explode(
-                F.concat(F.array(F.lit("*")), F.transform(prefixes, lambda p: F.concat(F.lit("="), p)))
-            ),
+            "_prefix",
+            F.explode(F.concat(F.array(F.lit("*")), F.coalesce(prefixes, F.array().cast("array<string>")))),
         )
     )
-    found = (
-        candidates.join(best, [f"_{c}" for c in fields])
-        .groupBy(*keys)
-        .agg(F.min("_rule").getField("head_category").alias("HEAD"))
+    # All keys share some forms, so these are hot; lookup_join splits them.
+    heads = (
+        lookup_join(candidates, best, fields)
+        .groupBy(*LEDGER_KEYS)
+        .agg(F.min("_rule").getField("head_category").alias("HEAD"), F.max("_rows").alias("_rows"))
+        .withColumn("HEAD", F.coalesce("HEAD", F.lit(UNCLASSIFIED)))
     )
-    # Keys may be NULL, so they are compared in their marked form.
-    marked = found.select(*[mark(F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)], "HEAD")
-    rows = df.select("*", *[mark(F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)])
-    joined = lookup_join(rows, marked, ["_k0", "_k1", "_k2"])
-    return joined.select(*df.columns, F.coalesce("HEAD", F.lit(UNCLASSIFIED)).alias("HEAD"))
+    return join_group_values(df, heads, LEDGER_KEYS, "_rows", null_safe=True)

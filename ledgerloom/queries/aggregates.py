@@ -207,7 +207,7 @@ def agg_by_key_day(t: Tables) -> DataFrame:
 @query(
     "win_running_total",
     """SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(18,2)))
-      OVER (PARTITION BY user_id ORDER BY ts) AS DECIMAL(38,2)) AS RunningTotal FROM events""",
+      OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST) AS DECIMAL(38,2)) AS RunningTotal FROM events""",
 )
 def win_running_total(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "ts", F.col("value").cast("decimal(18,2)").alias("value"))
@@ -218,7 +218,7 @@ def win_running_total(t: Tables) -> DataFrame:
 @query(
     "win_percent_rank",
     f"""WITH {SQL_POSTINGS} SELECT l_orderkey, l_linenumber, CURRENCY,
-    percent_rank() OVER (PARTITION BY CURRENCY ORDER BY MILLI) AS percent_rank FROM postings""",
+    percent_rank() OVER (PARTITION BY CURRENCY ORDER BY MILLI NULLS FIRST) AS percent_rank FROM postings""",
 )
 def win_percent_rank(t: Tables) -> DataFrame:
     # Three keys hold everything; buckets of 1000 currency units split them.

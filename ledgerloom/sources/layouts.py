@@ -72,7 +72,8 @@ SINGLE_FAMILIES = [
 
 
 def family_patterns(folder: str) -> list[str]:
-    """The globs of all file families below ``folder``."""
+    """The globs of all file families in ``folder``."""
+    folder = folder.rstrip("/")
     numbered = [f"{folder}/*GLIF{name}_[0-9][0-9][0-9].gz" for name in NUMBERED_FAMILIES]
     single = [f"{folder}/*GLIF{name}.gz" for name in SINGLE_FAMILIES]
     return numbered + single

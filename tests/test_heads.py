@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.accounts import head_by_case, head_by_rules, head_fallback
+from ledgerloom.operators.accounts import CASE_RULES, head_by_case, head_by_rules, head_fallback
 from ledgerloom.queries.ledger import RULES_SCHEMA
 
 KEYS = "BRANCH_CODE string, CURRENCY string, CGL string"
@@ -105,3 +105,19 @@ def test_rule_table_gives_the_ordered_rules(spark):
     rows = spark.createDataFrame(list(itertools.product(["01999", "00002"], ["INR", "USD"], codes)), KEYS)
     both = head_by_rules(rows, table).withColumn("case", F.coalesce(head_by_case(), F.lit("UNCLASSIFIED")))
     assert both.filter(F.col("HEAD") != F.col("case")).isEmpty()
+
+
+@pytest.mark.parametrize("n", [CASE_RULES, CASE_RULES + 1])
+def test_many_rules(spark, n):
+    # One prefix per rule, and a last rule that takes the rest.
+    rules = [(i, None, f"{i:04d}", None, f"H{i}") for i in range(n - 1)] + [(n, "B", None, None, "REST")]
+    rows = spark.range(n + 50).select(
+        F.lit("B").alias("BRANCH_CODE"),
+        F.lit("INR").alias("CURRENCY"),
+        F.format_string("%04d77", "id").alias("CGL"),
+        "id",
+    )
+    result = head_by_rules(rows, spark.createDataFrame(rules, RULES_SCHEMA))
+    assert {r.id: r.HEAD for r in result.collect()} == {
+        i: f"H{i}" if i < n - 1 else "REST" for i in range(n + 50)
+    }
