@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.aggregates import percent_rank, running_total, salted_sum_count
@@ -62,7 +62,7 @@ def agg_count(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _mean(column: str) -> F.Column:
+def _mean(column: str) -> Column:
     return F.sum(column).cast("double") / F.count(column)
 
 

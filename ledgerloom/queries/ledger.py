@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.types import LEDGER_KEYS
-from ledgerloom.operators.accounts import active_accounts, head_by_case, head_by_rules, head_fallback
+from ledgerloom.operators.accounts import head_by_case, head_by_rules, head_fallback
 from ledgerloom.operators.balance import (
     aggregate_by_id,
     balance_delta,
@@ -45,7 +45,7 @@ from ledgerloom.queries.tables import (
 from ledgerloom.sources.workdir import new_folder
 
 
-def _day(day: str) -> F.Column:
+def _day(day: str) -> Column:
     return F.lit(day).cast("date")
 
 
@@ -212,48 +212,51 @@ def multi_source_balance(t: Tables) -> DataFrame:
 # --- reconciliation --------------------------------------------------------
 
 
+# The days compared. Everything was posted by the later one.
+BEFORE_DAY, RECON_DAY = "2001-07-31", CLOSING_DAY
+
+
 def _ledgers(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """The second ledger lacks the seventh line of an order, and some balances are NULL."""
+    """Balances of both days. The second ledger lacks the seventh line of an order if
+    its quantity is over 45, and some balances are NULL."""
 
-    def blank(df: DataFrame, test: F.Column) -> DataFrame:
-        return df.withColumn("BALANCE", F.when(~test, F.col("BALANCE")))
+    def closing(rows: DataFrame, is_null: Column) -> DataFrame:
+        days = [
+            roll_forward(None, balance_delta(rows.filter(F.col("POSTING_DATE") <= _day(day))), day)
+            for day in (BEFORE_DAY, RECON_DAY)
+        ]
+        return days[0].unionByName(days[1]).withColumn("BALANCE", F.when(~is_null, F.col("BALANCE")))
 
     branch, currency = F.col("BRANCH_CODE"), F.col("CURRENCY")
-    deltas = t.deltas()
-    cbs = balance_history(deltas.filter(F.col("l_linenumber") != 7))
-    gl = balance_history(deltas)
-    return (
-        blank(cbs, (branch == "00005") & (currency == "EUR") | (branch == "00007")),
-        blank(gl, (branch == "00006") & (currency == "USD") | (branch == "00007")),
-    )
+    rows = t.transactions()
+    cbs_null = (branch == "00005") & (currency == "EUR") | (branch == "00007")
+    gl_null = (branch == "00006") & (currency == "USD") | (branch == "00007")
+    lacking = (F.col("l_linenumber") == 7) & (F.col("TRANSACTION_COUNT") > 45)
+    return closing(rows.filter(~lacking), cbs_null), closing(rows, gl_null)
 
 
-def _history_sql(name: str, where: str) -> str:
-    return (
-        SQL_HISTORY.replace("daily AS", f"{name}_daily AS")
-        .replace("FROM daily)", f"FROM {name}_daily)")
-        .replace("history AS", f"{name} AS")
-        .replace("FROM postings", f"FROM postings {where}")
-    )
+def _closing_balances_sql(name: str, where: str, is_null: str) -> str:
+    return f"""{name} AS (SELECT BRANCH_CODE, CURRENCY, CGL, day AS BALANCE_DATE,
+      CASE WHEN NOT ({is_null}) THEN {money('sum(MILLI)')} END AS BALANCE
+    FROM postings JOIN (VALUES (DATE '{BEFORE_DAY}'), (DATE '{RECON_DAY}')) d(day)
+      ON POSTING_DATE <= day
+    WHERE {where} GROUP BY 1, 2, 3, 4)"""
 
 
 def _mismatch_sql(name: str, day: str) -> str:
     return f"""{name} AS (
-  SELECT * FROM (SELECT BRANCH_CODE, CURRENCY, CGL,
-      CASE WHEN NOT (BRANCH_CODE = '00005' AND CURRENCY = 'EUR' OR BRANCH_CODE = '00007')
-        THEN cbs.BALANCE END AS CBS_BALANCE,
-      CASE WHEN NOT (BRANCH_CODE = '00006' AND CURRENCY = 'USD' OR BRANCH_CODE = '00007')
-        THEN gl.BALANCE END AS GL_BALANCE,
-      CAST(coalesce(CBS_BALANCE, 0) - coalesce(GL_BALANCE, 0) AS DECIMAL(20,4)) AS DIFFERENCE_AMOUNT
+  SELECT * FROM (SELECT BRANCH_CODE, CURRENCY, CGL, cbs.BALANCE AS CBS_BALANCE,
+      gl.BALANCE AS GL_BALANCE,
+      CAST(coalesce(cbs.BALANCE, 0) - coalesce(gl.BALANCE, 0) AS DECIMAL(20,4)) AS DIFFERENCE_AMOUNT
     FROM cbs JOIN gl USING (BRANCH_CODE, CURRENCY, CGL, BALANCE_DATE)
     WHERE BALANCE_DATE = DATE '{day}')
   WHERE CBS_BALANCE <> GL_BALANCE OR CBS_BALANCE IS NULL OR GL_BALANCE IS NULL)"""
 
 
-# Few keys have postings in the last quarter, so the days compared are earlier.
-RECON_DAY, BEFORE_DAY = "1999-12-31", "1999-09-30"
-SQL_RECON = f"""{SQL_POSTINGS}, {_history_sql('cbs', 'WHERE l_linenumber <> 7')},
-{_history_sql('gl', '')}, {_mismatch_sql('today', RECON_DAY)},
+_CBS_NULL = "BRANCH_CODE = '00005' AND CURRENCY = 'EUR' OR BRANCH_CODE = '00007'"
+_GL_NULL = "BRANCH_CODE = '00006' AND CURRENCY = 'USD' OR BRANCH_CODE = '00007'"
+SQL_RECON = f"""{SQL_POSTINGS}, {_closing_balances_sql('cbs', 'NOT (l_linenumber = 7 AND QUANTITY > 45)', _CBS_NULL)},
+{_closing_balances_sql('gl', 'TRUE', _GL_NULL)}, {_mismatch_sql('today', RECON_DAY)},
 {_mismatch_sql('yesterday', BEFORE_DAY)}"""
 SQL_COMPARED = """compared AS (SELECT today.*, yesterday.DIFFERENCE_AMOUNT AS before,
   CAST(coalesce(today.DIFFERENCE_AMOUNT, 0) - coalesce(yesterday.DIFFERENCE_AMOUNT, 0)

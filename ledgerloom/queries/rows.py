@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.amounts import (
+    DIGITS,
+    NEGATIVE_LAST_CHARS,
     credit_of,
     debit_of,
     overpunch_amount,
@@ -246,7 +248,7 @@ def decode_trailing_sign(t: Tables) -> DataFrame:
     )
 
 
-_LETTERS = dict(zip("pqrstuvwxy", "0123456789"))
+_LETTERS = dict(zip(NEGATIVE_LAST_CHARS, DIGITS))
 
 
 @query(

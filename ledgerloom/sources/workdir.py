@@ -8,20 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a local session gets a temporary folder; on a
+    Where the setting is missing, a local session gets one temporary folder; on a
     cluster that is an error, since executors could not read each other's files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="ledgerloom-")
+    return _local_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

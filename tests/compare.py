@@ -37,12 +37,32 @@ def rows_of(columns: list[str], rows) -> Counter:
     return Counter(tuple((_kind(r[i]), r[i]) for i in order) for r in rows)
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean",
+}
+
+
+def types_of(db: duckdb.DuckDBPyConnection, sql: str) -> dict[str, str]:
+    described = db.execute(f"DESCRIBE {sql}").fetchall()
+    return {r[0]: SPARK_TYPES.get(r[1], r[1].lower()) for r in described}
+
+
 def difference(df, db: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if both give the same columns, types, values and row counts."""
+    sql_types = types_of(db, sql)
     found = db.execute(sql)
     names = [d[0] for d in found.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    if types != sql_types:
+        return f"types {sorted(set(types.items()) ^ set(sql_types.items()))}"
     want = rows_of(names, found.fetchall())
     have = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if want == have:

@@ -1,4 +1,5 @@
 from decimal import Decimal as D
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +116,20 @@ def test_paths_and_work_folder(spark):
     assert workdir.new_folder(spark, "x").startswith(workdir.shared_folder(spark))
 
 
+def test_work_folder_without_the_setting(tmp_path, monkeypatch):
+    def session(master, folder=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: folder),
+            sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+        )
+
+    monkeypatch.setattr(workdir.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    assert workdir.shared_folder(session("local[2]")) == str(tmp_path)
+    assert workdir.shared_folder(session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workdir.shared_folder(session("yarn"))
+
+
 # --- database jobs: the tables are a dict here, since no database may be started.
 
 
