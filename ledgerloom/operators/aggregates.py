@@ -14,6 +14,7 @@ from ledgerloom.operators.joins import (
     join_group_values,
     split_hot,
 )
+from ledgerloom.sources.workdir import checkpointed
 
 
 def salted_sum_count(
@@ -45,17 +46,20 @@ def join_back_summary(
 
 def _split_hot_keys(
     df: DataFrame, key: str, hot_share: float, hot_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    return split_hot(df, hot_keys(df, [key], hot_share, hot_rows).select(key), [key], null_safe=True)
+) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of hot keys, or None if there is no such key, and all other rows."""
+    hot = checkpointed(hot_keys(df, [key], hot_share, hot_rows).select(key))
+    return (None, df) if hot.isEmpty() else split_hot(df, hot, [key], null_safe=True)
 
 
 def _over_buckets(
     df: DataFrame, key: str, order: str, step: Column, bucket: Column, hot_share: float, hot_rows: int
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Cuts the rows of hot keys into pieces that a task can order.
 
     ``bucket`` must grow with ``order``. Returns rows to be ordered inside (key,
-    _bucket), and rows of the few (key, _bucket) that are too large for that.
+    _bucket), and rows of the few (key, _bucket) that are too large for that, or
+    None if there are none.
 
     The first part has one more row per (key, _bucket), with _first = 0, that sorts
     before the others and brings what earlier buckets add up to as _offset, so that
@@ -63,7 +67,7 @@ def _over_buckets(
     """
     rows = df.withColumn("_bucket", bucket).withColumn("_step", step)
     earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
+    buckets = checkpointed(
         rows.groupBy(key, "_bucket")
         .agg(F.sum("_step").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
         .select(
@@ -75,7 +79,9 @@ def _over_buckets(
         )
     )
     hot = hot_groups(buckets, "_rows", hot_share, hot_rows).drop("_rows", "share")
-    large, rest = split_hot(rows, hot, [key, "_bucket"], null_safe=True)
+    large, rest = None, rows
+    if not hot.isEmpty():
+        large, rest = split_hot(rows, hot, [key, "_bucket"], null_safe=True)
     heads = buckets.drop("_rows").withColumn("_first", F.lit(0))
     ordered = rest.withColumn("_first", F.lit(1)).unionByName(heads, allowMissingColumns=True)
     return ordered, large
@@ -104,22 +110,23 @@ def running_total(
 ) -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY order)``: rows that tie share one total.
 
-    The rows of hot keys are summed in pieces: by ``bucket``, which must grow with
-    ``order`` (the day of a timestamp, say), and in a bucket that is hot itself by
-    order value. No task sorts all rows of a hot key.
+    The plain window unless there are hot keys. Their rows are summed in pieces: by
+    ``bucket``, which must grow with ``order`` (the day of a timestamp, say), and in
+    a bucket that is hot itself by order value. No task sorts all rows of a hot key.
     """
     hot_part, plain_part = _split_hot_keys(df, key, hot_share, hot_rows)
     whole = Window.partitionBy(key).orderBy(order)
-    plain = plain_part.withColumn(name, F.sum(value).over(whole))
+    result = plain_part.withColumn(name, F.sum(value).over(whole))
+    if hot_part is None:
+        return result
     ordered, large = _over_buckets(hot_part, key, order, F.col(value), bucket, hot_share, hot_rows)
     # Sums skip NULL, so a total is NULL only where nothing was summed yet.
     so_far = Window.partitionBy(key, "_bucket").orderBy("_first", order)
     added = F.when(F.col("_first") == 0, F.col("_offset")).otherwise(F.col("_step"))
-    bucketed = (
-        ordered.withColumn(name, F.sum(added).over(so_far))
-        .filter(F.col("_first") == 1)
-        .select(*df.columns, name)
-    )
+    bucketed = ordered.withColumn(name, F.sum(added).over(so_far)).filter(F.col("_first") == 1)
+    result = result.unionByName(bucketed.select(*df.columns, name))
+    if large is None:
+        return result
     inside = F.sum("_sum").over(Window.partitionBy(key, "_bucket").orderBy(order))
     points = (
         _points(large, key, order)
@@ -130,7 +137,7 @@ def running_total(
     tied = join_group_values(
         large.select(*df.columns), points, [key, order], "_rows", True, hot_share, hot_rows
     )
-    return plain.unionByName(bucketed).unionByName(tied)
+    return result.unionByName(tied)
 
 
 def percent_rank(
@@ -145,7 +152,9 @@ def percent_rank(
     """``percent_rank() OVER (PARTITION BY key ORDER BY order)``, see `running_total`."""
     hot_part, plain_part = _split_hot_keys(df, key, hot_share, hot_rows)
     whole = Window.partitionBy(key).orderBy(order)
-    plain = plain_part.withColumn(name, F.percent_rank().over(whole))
+    result = plain_part.withColumn(name, F.percent_rank().over(whole))
+    if hot_part is None:
+        return result
     ordered, large = _over_buckets(hot_part, key, order, F.lit(1), bucket, hot_share, hot_rows)
 
     def rank(before: Column, key_rows: Column) -> Column:
@@ -161,6 +170,9 @@ def percent_rank(
         .filter(F.col("_first") == 1)
         .select(*df.columns, rank(F.col("_before"), F.col("_key_rows")))
     )
+    result = result.unionByName(bucketed)
+    if large is None:
+        return result
     inside = F.sum("_rows").over(Window.partitionBy(key, "_bucket").orderBy(order))
     points = (
         _points(large, key, order)
@@ -170,4 +182,4 @@ def percent_rank(
     tied = join_group_values(
         large.select(*df.columns), points, [key, order], "_rows", True, hot_share, hot_rows
     )
-    return plain.unionByName(bucketed).unionByName(tied)
+    return result.unionByName(tied)

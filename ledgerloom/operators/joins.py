@@ -1,13 +1,19 @@
-"""Joins whose cost does not depend on how evenly the keys are spread."""
+"""Joins whose cost does not depend on how evenly the keys are spread.
+
+They measure first: a call runs a small job, and the plan it returns has only what
+the data needs.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources.workdir import checkpointed
+
 # A lookup of at most this many rows and bytes is broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -65,17 +71,26 @@ def split_hot(
     marked = hot_lookup.select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], *values, F.lit(True).alias("_hot")
     )
-    equal = [
-        F.col(k).eqNullSafe(F.col(f"_hot_{k}")) if null_safe else F.col(k) == F.col(f"_hot_{k}")
-        for k in keys
-    ]
-    flagged = df.join(F.broadcast(marked), reduce(lambda a, b: a & b, equal), "left")
+    flagged = df.join(F.broadcast(marked), _same(keys, "_hot_", null_safe), "left")
     done = F.col("_hot").isNotNull()
     if not null_safe:
         done = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], done)
     return flagged.filter(done).select(*df.columns, *values), flagged.filter(~done).select(*df.columns)
 
 
+def _same(keys: list[str], prefix: str, null_safe: bool) -> Column:
+    pairs = [(F.col(k), F.col(f"{prefix}{k}")) for k in keys]
+    equal = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    return reduce(lambda a, b: a & b, equal)
+
+
+def left_join(df: DataFrame, lookup: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """Plain left join; keeps the column order, and matches NULLs if ``null_safe``."""
+    values = [c for c in lookup.columns if c not in keys]
+    right = lookup.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *values)
+    return df.join(right, _same(keys, "_right_", null_safe), "left").select(*df.columns, *values)
+
+
 def split_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -88,15 +103,8 @@ def split_join(
     ``hot_lookup`` is the few lookup rows of hot keys. Rows with such a key are not
     shuffled; the rest is joined as usual. Every row takes exactly one of the ways.
     """
-    values = [c for c in lookup.columns if c not in keys]
-    hot_rows, cold_rows = split_hot(df, hot_lookup.select(*keys, *values), keys, null_safe)
-    if null_safe:
-        right = lookup.select(*[F.col(k).alias(f"_cold_{k}") for k in keys], *values)
-        equal = [F.col(k).eqNullSafe(F.col(f"_cold_{k}")) for k in keys]
-        joined = cold_rows.join(right, reduce(lambda a, b: a & b, equal), "left")
-    else:
-        joined = cold_rows.join(lookup, keys, "left")
-    return hot_rows.unionByName(joined.select(*df.columns, *values))
+    hot_rows, cold_rows = split_hot(df, hot_lookup.select(*lookup.columns), keys, null_safe)
+    return hot_rows.unionByName(left_join(cold_rows, lookup, keys, null_safe))
 
 
 def lookup_join(
@@ -109,13 +117,15 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table with at most one row per key.
 
-    A lookup that is measured and fits is broadcast; beyond that see `split_join`,
-    where at most ``1 / hot_share`` rows are broadcast.
+    A lookup that is measured and fits is broadcast. Beyond that the keys of ``df``
+    are counted: without a hot key it is a plain join, else see `split_join`, where
+    at most ``1 / hot_share`` rows are broadcast.
     """
-    values = [c for c in lookup.columns if c not in keys]
     if fits_broadcast(lookup, max_broadcast_rows):
-        return df.join(F.broadcast(lookup), keys, "left").select(*df.columns, *values)
-    hot = hot_keys(df.dropna(subset=keys), keys, hot_share, hot_rows).select(*keys)
+        return left_join(df, F.broadcast(lookup), keys)
+    hot = checkpointed(hot_keys(df, keys, hot_share, hot_rows).select(*keys))
+    if hot.isEmpty():
+        return left_join(df, lookup, keys)
     return split_join(df, lookup, lookup.join(F.broadcast(hot), keys, "left_semi"), keys)
 
 
@@ -129,8 +139,14 @@ def join_group_values(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join to a table made by grouping ``df`` by ``keys``, whose column
-    ``count`` is the rows per group and so names the hot keys. Drops ``count``."""
+    ``count`` is the rows per group and so names the hot keys. Drops ``count``.
+
+    The groups are computed once, into a checkpoint.
+    """
+    groups = checkpointed(groups)
     hot = hot_groups(groups, count, hot_share, hot_rows).drop("share")
+    if hot.isEmpty():
+        return left_join(df, groups.drop(count), keys, null_safe)
     return split_join(df, groups.drop(count), hot.drop(count), keys, null_safe)
 
 

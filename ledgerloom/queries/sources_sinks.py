@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.fixedwidth import slice_fields
+from ledgerloom.functions.scalars import salt
 from ledgerloom.operators.aggregates import total_length
 from ledgerloom.operators.balance import aggregate_by_id, decode_lines
 from ledgerloom.operators.layout import at_most, spread_by_key
@@ -31,6 +32,7 @@ from ledgerloom.sources import files
 from ledgerloom.sources.layouts import (
     EXPORT_FULL,
     EXPORT_SHORT,
+    FAMILY_MARK,
     NUMBERED_FAMILIES,
     SINGLE_FAMILIES,
     dated_path,
@@ -85,8 +87,9 @@ def src_text_lines(t: Tables) -> DataFrame:
 
 @query("src_multi_glob", BY_ID_SQL)
 def src_multi_glob(t: Tables) -> DataFrame:
-    names = [f"GLIF{f}_001.gz" for f in NUMBERED_FAMILIES] + [f"GLIF{f}.gz" for f in SINGLE_FAMILIES]
-    family = F.get(F.array(*[F.lit(n) for n in names]), F.pmod(F.xxhash64("value"), F.lit(len(names))).cast("int"))
+    names = [f"{FAMILY_MARK}{f}_001.gz" for f in NUMBERED_FAMILIES]
+    names += [f"{FAMILY_MARK}{f}.gz" for f in SINGLE_FAMILIES]
+    family = F.get(F.array(*[F.lit(n) for n in names]), salt(["value"], len(names)))
     folder = new_folder(t.spark, "families")
     t.lines().withColumn("f", family).write.partitionBy("f").option("compression", "gzip").text(folder)
     return aggregate_by_id(decode_lines(files.read_lines(t.spark, family_patterns(folder))))
@@ -105,10 +108,10 @@ def src_dated_path(t: Tables) -> DataFrame:
     early = F.col("POSTING_DATE") <= F.lit(OPENING_DAY).cast("date")
     batches = {OPENING_DAY: postings.filter(early), CLOSING_DAY: postings.filter(~early)}
     for day, rows in batches.items():
-        t.lines(rows).write.text(dated_path(base, day, "GLIF", "batch"))
+        t.lines(rows).write.text(dated_path(base, day, "lines", "batch"))
 
     def batch(day: str) -> DataFrame:
-        lines = files.read_lines(t.spark, dated_path(base, day, "GLIF", "*"))
+        lines = files.read_lines(t.spark, dated_path(base, day, "lines", "*"))
         return lines.select(F.lit(day).cast("date").alias("batch_day"))
 
     both = batch(OPENING_DAY).unionByName(batch(CLOSING_DAY))

@@ -62,7 +62,9 @@ EXPORT_FULL = [
 _SHORT_NAMES = {"txdate", "journal", "branch", "currency", "GLCC", "lcyAmt", "fcyAmt"}
 EXPORT_SHORT = [f for f in EXPORT_FULL if f.name in _SHORT_NAMES]
 
-# File families: the first kind comes as numbered files, the second as one file.
+# The mark in every file name, and the file families. The first kind
+# comes as numbered files, the second as one file.
+FAMILY_MARK = "GLIF"
 NUMBERED_FAMILIES = [
     "INV", "PRI", "BOR", "PRB", "ONL", "AGRI_PY", "AGRI_CY", "INV_IN", "INV_TD", "INV_DC", "BOR_DC",
 ]
@@ -74,8 +76,8 @@ SINGLE_FAMILIES = [
 def family_patterns(folder: str) -> list[str]:
     """The globs of all file families in ``folder``."""
     folder = folder.rstrip("/")
-    numbered = [f"{folder}/*GLIF{name}_[0-9][0-9][0-9].gz" for name in NUMBERED_FAMILIES]
-    single = [f"{folder}/*GLIF{name}.gz" for name in SINGLE_FAMILIES]
+    numbered = [f"{folder}/*{FAMILY_MARK}{name}_[0-9][0-9][0-9].gz" for name in NUMBERED_FAMILIES]
+    single = [f"{folder}/*{FAMILY_MARK}{name}.gz" for name in SINGLE_FAMILIES]
     return numbered + single
 
 

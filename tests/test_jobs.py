@@ -111,7 +111,7 @@ def test_exports(spark, tmp_path):
 
 
 def test_paths_and_work_folder(spark):
-    assert dated_path("base/", "2025-01-01", "GLIF", "*.gz") == "base/2025-01-01/GLIF/*.gz"
+    assert dated_path("base/", "2025-01-01", "in", "*.gz") == "base/2025-01-01/in/*.gz"
     assert workdir.new_folder(spark, "x") != workdir.new_folder(spark, "x")
     assert workdir.new_folder(spark, "x").startswith(workdir.shared_folder(spark))
 
