@@ -84,6 +84,9 @@ def write_options(
 def append(df: DataFrame, db: Database, table: str, **options) -> None:
     """Appends through at most ``writers`` connections.
 
+    The last stage of ``df`` runs in as many tasks; one that does much work there
+    is better checkpointed first.
+
     A writer that runs again after a lost executor starts its own transaction
     again; rows carry the batch id, by which a failed batch can be removed.
     """
