@@ -13,6 +13,7 @@ from ledgerloom.operators.joins import (
     hot_keys,
     join_group_values,
     split_hot,
+    worth_splitting,
 )
 from ledgerloom.sources.workdir import checkpointed
 
@@ -49,7 +50,9 @@ def _split_hot_keys(
 ) -> tuple[DataFrame | None, DataFrame]:
     """Rows of hot keys, or None if there is no such key, and all other rows."""
     hot = checkpointed(hot_keys(df, [key], hot_share, hot_rows).select(key))
-    return (None, df) if hot.isEmpty() else split_hot(df, hot, [key], null_safe=True)
+    if not worth_splitting(hot):
+        return None, df
+    return split_hot(df, hot, [key], null_safe=True)
 
 
 def _over_buckets(
@@ -80,7 +83,7 @@ def _over_buckets(
     )
     hot = hot_groups(buckets, "_rows", hot_share, hot_rows).drop("_rows", "share")
     large, rest = None, rows
-    if not hot.isEmpty():
+    if worth_splitting(hot):
         large, rest = split_hot(rows, hot, [key, "_bucket"], null_safe=True)
     heads = buckets.drop("_rows").withColumn("_first", F.lit(0))
     ordered = rest.withColumn("_first", F.lit(1)).unionByName(heads, allowMissingColumns=True)

@@ -43,7 +43,13 @@ def hot_groups(groups: DataFrame, count: str, share: float, rows: int = 0) -> Da
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measures ``df`` in one pass over it; meant for lookup tables."""
+    """Whether ``df`` may be broadcast; meant for lookup tables."""
+    rows, size = measured(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of ``df``, in one pass over it."""
     nested = (T.ArrayType, T.MapType, T.StructType)
     sizes = [F.lit(8 * len(df.columns))]
     for field in df.schema:
@@ -54,8 +60,14 @@ def fits_broadcast(
             continue
         sizes.append(F.coalesce(F.octet_length(column), F.lit(0)))
     size = reduce(lambda a, b: a + b, sizes).cast("bigint")
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first())
+
+
+def worth_splitting(hot: DataFrame) -> bool:
+    """Whether there are hot keys. Should these few rows be so wide that they are
+    over the limit of a broadcast, the skew is left to the adaptive join."""
+    rows, size = measured(hot)
+    return rows > 0 and size <= BROADCAST_BYTES
 
 
 def split_hot(
@@ -103,6 +115,8 @@ def split_join(
     ``hot_lookup`` is the few lookup rows of hot keys. Rows with such a key are not
     shuffled; the rest is joined as usual. Every row takes exactly one of the ways.
     """
+    if not worth_splitting(hot_lookup):
+        return left_join(df, lookup, keys, null_safe)
     hot_rows, cold_rows = split_hot(df, hot_lookup.select(*lookup.columns), keys, null_safe)
     return hot_rows.unionByName(left_join(cold_rows, lookup, keys, null_safe))
 
@@ -124,9 +138,16 @@ def lookup_join(
     if fits_broadcast(lookup, max_broadcast_rows):
         return left_join(df, F.broadcast(lookup), keys)
     hot = checkpointed(hot_keys(df, keys, hot_share, hot_rows).select(*keys))
-    if hot.isEmpty():
+    if not worth_splitting(hot):
         return left_join(df, lookup, keys)
-    return split_join(df, lookup, lookup.join(F.broadcast(hot), keys, "left_semi"), keys)
+    return split_join(df, lookup, hot_lookup_rows(hot, lookup, keys), keys)
+
+
+def hot_lookup_rows(hot: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per hot key with the lookup's values, NULL where it has none: rows
+    with a hot key that finds nothing must not be shuffled either."""
+    found = checkpointed(lookup.join(F.broadcast(hot), keys, "left_semi"))
+    return left_join(hot, F.broadcast(found), keys)
 
 
 def join_group_values(
@@ -145,7 +166,7 @@ def join_group_values(
     """
     groups = checkpointed(groups)
     hot = hot_groups(groups, count, hot_share, hot_rows).drop("share")
-    if hot.isEmpty():
+    if not worth_splitting(hot):
         return left_join(df, groups.drop(count), keys, null_safe)
     return split_join(df, groups.drop(count), hot.drop(count), keys, null_safe)
 

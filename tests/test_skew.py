@@ -42,6 +42,18 @@ def test_join_unique(spark, rows, how, options):
     assert collected(mine) == collected(plain)
 
 
+def test_hot_key_that_finds_nothing(spark, rows):
+    lookup = spark.createDataFrame([("k1", 1), ("k3", 3)], "k string, x int")
+    hot = joins.hot_keys(rows, ["k"], 0.1).select("k")
+    found = joins.hot_lookup_rows(hot, lookup, ["k"])
+    assert {(r.k, r.x) for r in found.collect()} == {("hot", None), (None, None)}
+    first, rest = joins.split_hot(rows, found, ["k"])
+    assert rest.filter("k = 'hot' OR k IS NULL").isEmpty()
+    assert first.count() + rest.count() == rows.count()
+    mine = joins.lookup_join(rows, lookup, ["k"], max_broadcast_rows=0, hot_share=0.1, hot_rows=0)
+    assert collected(mine) == collected(rows.join(lookup, "k", "left").select(*mine.columns))
+
+
 def test_broadcast_is_bounded_by_bytes(spark):
     wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"), F.array(F.lit(1)).alias("a"))
     assert joins.fits_broadcast(wide)
@@ -100,3 +112,12 @@ def test_salted_aggregate(rows):
     mine = salted_sum_count(rows, "k", "v", ["id"], buckets=8)
     plain = rows.groupBy("k").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
     assert collected(mine) == collected(plain)
+
+
+def test_no_rows(spark, rows):
+    none = rows.limit(0)
+    assert running_total(none, "k", "o", "v", F.col("o")).isEmpty()
+    assert percent_rank(none, "k", "o", F.col("o")).isEmpty()
+    assert join_back_summary(none, ["k"], [F.sum("v").alias("s")]).isEmpty()
+    assert joins.join_unique(none, none.select("k"), ["k"], "full", max_broadcast_rows=-1).isEmpty()
+    assert joins.hot_keys(none, ["k"], 0.1).isEmpty()
