@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import huffman
+from ledgerloom.llm import huffman, packing
 from ledgerloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,8 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return huffman.read_ids(*huffman.write_ids(documents(spark, sf_dir), path, end=0))
+
+
+@query
+def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=1)
