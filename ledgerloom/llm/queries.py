@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import huffman, packing
+from ledgerloom.llm import bpe, huffman, packing
 from ledgerloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,9 @@ def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=1)
+
+
+@query
+def op9_merge_replay_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode_and_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
