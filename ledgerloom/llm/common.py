@@ -83,3 +83,22 @@ def keep_where(docs: DataFrame, verdict: DataFrame, keep: Column) -> DataFrame:
     meet null keys."""
     ids = verdict.filter(keep).select(F.col("doc_id").alias("_kept_id"))
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+
+
+#: A key with more than this share of all rows is met by a broadcast. Fewer than
+#: ``1 / HOT_SHARE`` keys can be that large, whatever the size of the table.
+HOT_SHARE = 0.001
+
+
+def join_sized(rows: DataFrame, table: DataFrame, on: list[str], size: str) -> DataFrame:
+    """Inner join with a table that has each key once, and in column ``size`` how many of
+    ``rows`` the key has. Rows of the largest keys are not shuffled; a skewed partition of
+    the others can be split by adaptive execution. Both sides must be cheap to read twice."""
+    total = table.agg(F.sum(size)).first()[0] or 0
+    hot = table.filter(F.col(size) > total * HOT_SHARE)
+    n_hot = hot.count()  # less than 1 / HOT_SHARE, since sizes add up to total
+    if not n_hot:
+        return rows.join(table, on)
+    few = F.broadcast(hot)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(few, on).unionByName(rest.join(table, on))

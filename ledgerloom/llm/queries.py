@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, huffman, packing
+from ledgerloom.llm import bpe, exact_dedup, huffman, packing, simhash
 from ledgerloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,27 @@ def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_merge_replay_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_and_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+@query
+def op10_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("bucket", "chain")
+
+
+ORACLES["op1_exact_dedup"] = """
+WITH normalised AS (
+  SELECT doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents)
+SELECT doc_id,
+       max(doc_id) OVER (PARTITION BY t) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept,
+       sha256(t) AS text_sha256
+FROM normalised
+"""
