@@ -23,6 +23,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def text_of(column: str = "text") -> Column:
     """The text, where null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

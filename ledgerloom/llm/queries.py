@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, exact_dedup, huffman, packing, simhash
-from ledgerloom.llm.common import documents
+from ledgerloom.llm import bpe, exact_dedup, huffman, language, packing, quality_model, quality_rules, simhash
+from ledgerloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,18 @@ SELECT doc_id,
        sha256(t) AS text_sha256
 FROM normalised
 """
+
+
+@query
+def op4_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op5_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(documents(spark, sf_dir))
+
+
+@query
+def op7_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir))
