@@ -181,11 +181,11 @@ def _run(path: str, pattern: str):
                     texts.append(first + [" " + x for x in rest])
                 new = set().union(*texts)
                 if len(known) > KEPT_RUNS:
-                    for x in known.keys() - new:
+                    for x in [x for x in known if x not in new]:
                         del known[x]
-                new -= known.keys()
-                if new:
-                    learn(list(new))
+                missing = [x for x in new if x not in known]
+                if missing:
+                    learn(missing)
                 sizes, coded, decoded = [], [], []
                 for text in texts:
                     found = [known[x] for x in text]

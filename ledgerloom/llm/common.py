@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +83,31 @@ def rows_of(batch: pa.RecordBatch, most_bytes: int = 8 << 20, column: str = "tex
         start = end
 
 
+#: Rows of ``summed``: arrays of 64-bit counts by name.
+COUNTS = "name string, counts binary"
+
+
+def _sum(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    totals: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for name, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            counts = np.frombuffer(data, np.int64)
+            totals[name] = totals[name] + counts if name in totals else counts
+    for name, counts in totals.items():
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([counts.tobytes()])], ["name", "counts"])
+
+
+def summed(found: DataFrame, parts: int = 16) -> dict[str, np.ndarray]:
+    """Adds up the arrays of one length that each task has for each name, in ``parts``
+    tasks and then on the driver, which gets at most ``parts`` arrays for a name."""
+    dealt = found.withColumn("part", F.spark_partition_id() % parts).repartition(parts, "part")
+    totals: dict[str, np.ndarray] = {}
+    for r in dealt.select("name", "counts").mapInArrow(_sum, COUNTS).collect():
+        counts = np.frombuffer(r["counts"], np.int64)
+        totals[r["name"]] = totals[r["name"]] + counts if r["name"] in totals else counts
+    return totals
+
+
 def keep_where(docs: DataFrame, verdict: DataFrame, keep: Column) -> DataFrame:
     """The rows of ``docs`` whose doc_id has a verdict that says ``keep``. Null keys
     meet null keys."""

@@ -62,7 +62,7 @@ class Encoder:
 
     def _learn_spaced(self, new: Iterable[str]) -> None:
         plain, odd = [], []
-        for run in new:
+        for run in list(new):
             (odd if not run or MARK in run or run[-1].isspace() else plain).append(run)
         for i in range(0, len(plain), AT_ONCE):
             part = plain[i : i + AT_ONCE]
@@ -83,11 +83,11 @@ class Encoder:
             pieces = set().union(*(a for a, _ in cut))
             spaced = set().union(*(b for _, b in cut))
             if len(self.spaced) > KEPT_RUNS:
-                self.spaced = {run: self.spaced[run] for run in spaced & self.spaced.keys()}
+                self.spaced = {run: self.spaced[run] for run in spaced if run in self.spaced}
             if len(self.pieces) > KEPT_RUNS // 10:
                 self.pieces = {"": b""}
-            self._learn_pieces(pieces - self.pieces.keys())
-            self._learn_spaced(spaced - self.spaced.keys())
+            self._learn_pieces(p for p in pieces if p not in self.pieces)
+            self._learn_spaced(s for s in spaced if s not in self.spaced)
             for a, b in cut:
                 out.append(b"".join([*map(self.pieces.__getitem__, a), *map(self.spaced.__getitem__, b), last]))
         return out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fold, rows_of, text_of
+from ledgerloom.llm.common import COUNTS, fold, rows_of, summed, text_of
 
 BUCKETS = 4096
 LANGUAGES = 256
@@ -107,37 +107,22 @@ def _count(names: list[str]):
                     if len(found):
                         counts[place[lang]] += found
         for i in np.flatnonzero(counts.sum(1)):
-            yield pa.RecordBatch.from_arrays([pa.array([names[i]]), pa.array([counts[i].tobytes()])], ["lang", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([names[i]]), pa.array([counts[i].tobytes()])], ["name", "counts"])
 
     return run
 
 
-def _sum(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for lang, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            counts = np.frombuffer(data, np.int64)
-            totals[lang] = totals[lang] + counts if lang in totals else counts
-    for lang, counts in totals.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([counts.tobytes()])], ["lang", "counts"])
-
-
 def learn(docs: DataFrame, most: int = LANGUAGES) -> Model:
-    """Counts of each language are summed by task, then by 16 tasks, then on the driver:
-    at most 16 times ``most`` rows of fixed length reach it."""
+    """The classifiers, from n-gram counts of all documents to learn from."""
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "doc_id", text_of().alias("text"))
     rows = rows.filter((fold() != 0) & F.col("lang").isNotNull())
     known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect()
     names = sorted(r["lang"] for r in known)
     if not names:
         return fit([], np.zeros((0, BUCKETS)))
-    schema = "lang string, counts binary"
-    some = rows.filter(F.col("lang").isin(names)).select("lang", "text").mapInArrow(_count(names), schema)
-    found = some.withColumn("part", F.spark_partition_id() % 16).repartition(16, "part").select("lang", "counts")
-    totals = {name: np.zeros(BUCKETS, np.int64) for name in names}
-    for r in found.mapInArrow(_sum, schema).collect():
-        totals[r["lang"]] = totals[r["lang"]] + np.frombuffer(r["counts"], np.int64)
-    names = [name for name in names if totals[name].any()]
+    some = rows.filter(F.col("lang").isin(names)).select("lang", "text").mapInArrow(_count(names), COUNTS)
+    totals = summed(some)
+    names = [name for name in names if name in totals]
     return fit(names, np.array([totals[name] for name in names]).reshape(len(names), BUCKETS))
 
 

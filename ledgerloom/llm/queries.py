@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, exact_dedup, huffman, language, packing, quality_model, quality_rules, simhash
+from ledgerloom.llm import bpe, exact_dedup, huffman, language, packing, quality_model, quality_rules, simhash, toxicity
 from ledgerloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op5_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir))
+
+
+@query
+def op6_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
