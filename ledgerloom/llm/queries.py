@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, exact_dedup, huffman, language, packing, quality_model, quality_rules, simhash, toxicity
+from ledgerloom.llm import (
+    bpe,
+    exact_dedup,
+    huffman,
+    language,
+    line_templates,
+    packing,
+    quality_model,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 from ledgerloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +89,8 @@ def op7_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.drop_recurring_lines(documents(spark, sf_dir))
