@@ -17,15 +17,17 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_SPACE_BEFORE_SPACE = re.compile(r"\s ")
+_SPACE_BEFORE_SPACE = re.compile(r" (?<=\s )")
 _EXOTIC = re.compile(r"[^\S \t\r\n]")
 _RUNS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 
 #: Runs kept in memory by a worker, beyond which only those of the last slice stay.
-KEPT_RUNS = 400_000
+KEPT_RUNS = 1_000_000
 #: Runs that the library gets at once, with a mark between them.
 AT_ONCE = 512
 MARK = "\x01"
+#: Marks after a word that every splitting rule in use cuts off it.
+CUT_OFF = frozenset(".,;:!?")
 
 
 def runs(text: str) -> tuple[list[str], list[str]]:
@@ -48,7 +50,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # ids that end a word ("...</w>") or, in the other vocabularies, start one after a space
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge_is_end = sum(token.endswith("</w>") for token in vocabulary) > len(vocabulary) // 10
+        self.at_edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.at_edge[i] = token.endswith("</w>") if self.edge_is_end else token.startswith("\u0120")
         self.mark = self._ids([" " + MARK])[0]
+        self.marks = {m: np.array(self._ids([m])[0], self.width).tobytes() for m in CUT_OFF}
         self.pieces: dict[str, bytes] = {"": b""}
         self.spaced: dict[str, bytes] = {}
 
@@ -61,9 +70,30 @@ class Encoder:
             self.pieces[piece] = np.array(ids, self.width).tobytes()
 
     def _learn_spaced(self, new: Iterable[str]) -> None:
-        plain, odd = [], []
+        words, plain, odd, marked = set(), [], [], []
         for run in list(new):
-            (odd if not run or MARK in run or run[-1].isspace() else plain).append(run)
+            if run[-1:] in CUT_OFF and run[:-1].isalpha():
+                marked.append(run)
+                if run[:-1] not in self.spaced:
+                    words.add(run[:-1])
+            elif run.isalpha():
+                words.add(run)
+            elif not run or MARK in run or run[-1].isspace():
+                odd.append(run)
+            else:
+                plain.append(run)
+        words = list(words)
+        for i in range(0, len(words), AT_ONCE):
+            part = words[i : i + AT_ONCE]
+            ids = np.array(self._ids(["".join(f" {word}" for word in part)])[0], self.width)
+            cuts = np.flatnonzero(self.at_edge[ids]) + self.edge_is_end
+            if len(cuts) != len(part):  # not every word is one piece
+                plain += part
+                continue
+            bounds = [0, *cuts.tolist()] if self.edge_is_end else [*cuts.tolist(), len(ids)]
+            data, size = ids.tobytes(), self.width.itemsize
+            for word, start, end in zip(part, bounds, bounds[1:], strict=False):
+                self.spaced[word] = data[start * size : end * size]
         for i in range(0, len(plain), AT_ONCE):
             part = plain[i : i + AT_ONCE]
             ids = np.array(self._ids(["".join(f" {run} {MARK}" for run in part)])[0], self.width)
@@ -73,6 +103,8 @@ class Encoder:
                 start = at + 1
         for run, ids in zip(odd, self._ids([" " + run for run in odd]), strict=True):
             self.spaced[run] = np.array(ids, self.width).tobytes()
+        for run in marked:
+            self.spaced[run] = self.spaced[run[:-1]] + self.marks[run[-1]]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """The ids of each text, and the id ``end`` after them."""

@@ -31,28 +31,39 @@ SHARE, ALIKE = 0.2, 0.6
 MOST_BROADCAST = 1_000_000
 
 FIELD = "<*>"
-_ODD_SPACE = r"[\t\x0B\f\r]| {2}|^ | $"
 _WITH_DIGIT = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 
 
-def _length_without(column: str, part: str) -> Column:
-    return F.length(F.replace(F.col(column), F.lit(part), F.lit("")))
+def _bytes_of(column: str, part: str) -> Column:
+    """Bytes that occurrences of ``part`` take up."""
+    return F.octet_length(column) - F.octet_length(F.replace(F.col(column), F.lit(part), F.lit("")))
+
+
+def _uneven(column: str) -> Column:
+    """Whether other than single spaces between tokens occur."""
+    line = F.col(column)
+    odd = line.startswith(" ") | line.endswith(" ") | line.contains("  ")
+    for space in "\t\x0b\f\r":
+        odd = odd | line.contains(space)
+    return odd
 
 
 def parsed(docs: DataFrame) -> DataFrame:
-    """One row per line: the document's id and text hash, line_no, and the parsed line as
-    ``line`` with ``n`` tokens, its leaf and its own hash."""
+    """One row per line of ``LEAST`` tokens or more: the document's id and text hash,
+    line_no, and the parsed line as ``line`` with ``n`` tokens, its leaf and its own hash."""
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc")
     lines = docs.select(ident, text_of().alias("text")).select(
         "doc", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw")
     )
-    even = F.when(F.col("raw").rlike(_ODD_SPACE), F.trim(F.regexp_replace("raw", r"[ \t\x0B\f\r]+", " "))).otherwise(F.col("raw"))
+    even = F.when(_uneven("raw"), F.trim(F.regexp_replace("raw", r"[ \t\x0B\f\r]+", " "))).otherwise(F.col("raw"))
     masked = F.when(F.col("own").rlike("[0-9]"), F.regexp_replace("own", _WITH_DIGIT, FIELD)).otherwise(F.col("own"))
-    lines = lines.withColumn("own", even).withColumn("masked", masked)
-    lines = lines.withColumn("n", F.when(F.col("own") == "", 0).otherwise(F.length("own") - _length_without("own", " ") + 1))
-    fields = (F.length("masked") - _length_without("masked", FIELD)) / len(FIELD)
+    lines = lines.withColumn("own", even)
+    lines = lines.withColumn("n", F.when(F.col("own") == "", 0).otherwise(_bytes_of("own", " ") + 1))
+    # short lines need no template: none of the work that follows is done for them
+    lines = lines.filter(F.col("n") >= LEAST).withColumn("masked", masked)
     # a line that is mostly fields, such as a row of numbers, is kept as it is
-    lines = lines.withColumn("line", F.when(2 * fields > F.col("n"), F.col("own")).otherwise(F.col("masked")))
+    mostly = F.col("masked").contains(FIELD) & (2 * _bytes_of("masked", FIELD) > len(FIELD) * F.col("n"))
+    lines = lines.withColumn("line", F.when(mostly, F.col("own")).otherwise(F.col("masked")))
     leaf = F.xxhash64("n", F.substring_index("line", " ", DEPTH))
     return lines.select("doc", "h", "line_no", "n", "line", leaf.alias("leaf"), F.xxhash64("line").alias("hash"))
 
@@ -65,7 +76,7 @@ def _templates(lines: DataFrame, classes: DataFrame) -> DataFrame:
     mixed = written(leaves.filter("lines > 1 AND low < high").select("leaf", "lines"), "leaves")
     if mixed.count() <= MOST_BROADCAST:
         mixed = F.broadcast(mixed)
-    texts = lines.filter(F.col("n") >= LEAST).select("leaf", "hash", "n", "line")
+    texts = lines.select("leaf", "hash", "n", "line")
     distinct = written(texts.join(mixed, "leaf").select("leaf", "hash", "n", "lines", "line").distinct(), "leaf-lines")
     tokens = distinct.select("leaf", "hash", "n", "lines", F.posexplode(F.split("line", " ")).alias("pos", "token"))
     here = tokens.groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("found"))
@@ -82,7 +93,7 @@ def _templates(lines: DataFrame, classes: DataFrame) -> DataFrame:
 def recurring(docs: DataFrame) -> DataFrame:
     """doc, h, line_no of the lines that are dropped."""
     lines = parsed(docs)
-    keys = written(lines.filter(F.col("n") >= LEAST).select("doc", "h", "line_no", "leaf", "hash"), "line-keys")
+    keys = written(lines.select("doc", "h", "line_no", "leaf", "hash"), "line-keys")
     classes = written(
         keys.groupBy("leaf", "hash").agg(
             F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("size")
