@@ -32,10 +32,13 @@ import regex
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import rows_of, text_of
-from ledgerloom.llm.ids import runs
+from ledgerloom.llm.ids import CUT_OFF, runs
 
 #: Runs kept by a worker between slices.
-KEPT_RUNS = 300_000
+KEPT_RUNS = 600_000
+#: The splitting pattern for which a run of a text can be cut off at spaces. Texts are
+#: encoded whole by any other.
+CUT_BY = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -72,20 +75,16 @@ class MergeReplay:
             self.rank_of_pair[pair] = rank
         return rank
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
+    def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word. A word that is a token itself has that id."""
-        out: list[np.ndarray | None] = [None] * len(words)
-        several = []
-        for i, word in enumerate(words):
-            rank = self.ranks.get(word)
-            if rank is None:
-                several.append(i)
-            else:
-                out[i] = np.array([rank])
+        get = self.ranks.get
+        out = [None if rank is None else [rank] for rank in map(get, words)]
+        several = [i for i, ids in enumerate(out) if ids is None]
         if several:
             tokens, sizes = self._replay([words[i] for i in several])
-            for i, ids in zip(several, np.split(tokens, np.cumsum(sizes)[:-1]), strict=True):
-                out[i] = ids
+            tokens, ends = tokens.tolist(), np.cumsum(sizes).tolist()
+            for i, start, end in zip(several, [0, *ends], ends, strict=False):
+                out[i] = tokens[start:end]
         return out
 
     def _replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -163,21 +162,36 @@ def _run(path: str, pattern: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, pieces_of = MergeReplay(read_ranks(path)), regex.compile(pattern).findall
         table = [replay.bytes_of.get(i, b"") for i in range(replay.base)]
+        four = [i.to_bytes(4, "little") for i in range(replay.base)]
+        decimal = [b"%d" % i for i in range(replay.base)]
         known: dict[str, tuple[bytes, bytes]] = {}  # run -> its ids, and their decimals
 
+        def cut(x: str) -> list[str]:
+            if x[0] == " " and pattern == CUT_BY:  # a word, and a mark behind it: nothing to search
+                if x[1:].isalpha():
+                    return [x]
+                if x[-1] in CUT_OFF and x[1:-1].isalpha():
+                    return [x[:-1], x[-1]]
+            return pieces_of(x)
+
         def learn(new: list[str]) -> None:
-            cut = [pieces_of(x) for x in new]
-            words = list(set().union(*cut))
-            ids_of = dict(zip(words, replay.encode([w.encode() for w in words]), strict=True))
-            for x, pieces in zip(new, cut, strict=True):
-                ids = np.concatenate([ids_of[p] for p in pieces])
-                known[x] = ids.astype("<u4").tobytes(), ",".join(map(str, ids.tolist())).encode()
+            of_run = [cut(x) for x in new]
+            words = list(set().union(*of_run))
+            coded = {}
+            for word, ids in zip(words, replay.encode([w.encode() for w in words]), strict=True):
+                coded[word] = b"".join([four[i] for i in ids]), b",".join([decimal[i] for i in ids])
+            for x, pieces in zip(new, of_run, strict=True):
+                if len(pieces) == 1:
+                    known[x] = coded[pieces[0]]
+                else:
+                    found = [coded[p] for p in pieces]
+                    known[x] = b"".join([a for a, _ in found]), b",".join([b for _, b in found])
 
         for batch in batches:
             for part in rows_of(batch):
                 texts = []
                 for text in part.column("text").to_pylist():
-                    first, rest = runs(text)
+                    first, rest = runs(text) if pattern == CUT_BY else ([text] if text else [], [])
                     texts.append(first + [" " + x for x in rest])
                 new = set().union(*texts)
                 if len(known) > KEPT_RUNS:
@@ -210,4 +224,4 @@ def encode_texts(replay: MergeReplay, texts: list[str], pattern: str) -> list[li
     cut = [regex.findall(pattern, text) for text in texts]
     words = list(set().union(*cut))
     ids_of = dict(zip(words, replay.encode([w.encode() for w in words]), strict=True))
-    return [[i for piece in pieces for i in ids_of[piece].tolist()] for pieces in cut]
+    return [[i for piece in pieces for i in ids_of[piece]] for pieces in cut]
