@@ -52,6 +52,8 @@ def grams(text: str) -> np.ndarray:
 def codewords(n: int) -> np.ndarray:
     """n words of +1 and -1: every way to halve up to 6 languages, else the best of some
     random codes by their least distance."""
+    if n < 2:
+        return np.zeros((n, 0), np.int64)
     if n <= 6:
         columns = [[1] + [-1 if i in out else 1 for i in range(1, n)] for k in range(1, n) for out in combinations(range(1, n), k)]
         return np.array(columns, np.int64).T.reshape(n, -1)
