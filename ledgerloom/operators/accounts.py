@@ -121,7 +121,8 @@ CASE_RULES = 200
 def head_by_rules(df: DataFrame, rules: DataFrame, max_case_rules: int = CASE_RULES) -> DataFrame:
     """Adds HEAD from a table (priority, branch_code, cgl_prefix, currency,
     head_category); a NULL rule field matches anything, the lowest priority wins
-    (then the lowest head_category), no match gives UNCLASSIFIED. Never adds rows.
+    (then the lowest head_category; NULL comes first), and no match as well as a NULL
+    head_category gives UNCLASSIFIED. Never adds rows.
 
     A short rule table becomes a CASE expression: no join, no shuffle.
     """
@@ -139,7 +140,8 @@ def head_by_rules(df: DataFrame, rules: DataFrame, max_case_rules: int = CASE_RU
             conditions.append(F.col("CGL").startswith(rule.cgl_prefix))
         if rule.currency is not None:
             conditions.append(F.col("CURRENCY") == rule.currency)
-        compiled.append((conditions, rule.head_category))
+        head = UNCLASSIFIED if rule.head_category is None else rule.head_category
+        compiled.append((conditions, head))
     return df.withColumn("HEAD", _first_match(compiled, F.lit(UNCLASSIFIED)))
 
 
@@ -147,8 +149,8 @@ def _head_by_rule_join(df: DataFrame, rules: DataFrame) -> DataFrame:
     """The same for a rule table of any size, as equi joins.
 
     Works on the distinct keys. Each key looks up every wildcard form of itself
-    (branch or any, currency or any, every prefix or any), so the join has an
-    equality and is never rows times rules.
+    (branch or any, currency or any, prefix or any, of the lengths that the rules'
+    prefixes have), so the join has an equality and is never rows times rules.
     """
 
     def form(value: Column) -> Column:
@@ -164,17 +166,16 @@ def _head_by_rule_join(df: DataFrame, rules: DataFrame) -> DataFrame:
         form(F.col("currency")).alias("_currency"),
         form(F.col("cgl_prefix")).alias("_prefix"),
     ).agg(F.min(F.struct("priority", "head_category")).alias("_rule"))
-    lengths = F.sequence(F.lit(0), F.length("CGL"))
-    prefixes = F.transform(lengths, lambda n: form(F.substring("CGL", F.lit(1), n)))
+    lengths = rules.select(F.length("cgl_prefix").alias("n")).distinct().filter("n IS NOT NULL")
+    prefixes = [
+        F.when(F.length("CGL") >= r.n, form(F.substring("CGL", 1, r.n))) for r in lengths.orderBy("n").collect()
+    ]
     candidates = (
         df.groupBy(*LEDGER_KEYS)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_branch", forms(F.col("BRANCH_CODE")))
         .withColumn("_currency", forms(F.col("CURRENCY")))
-        .withColumn(
-            "_prefix",
-            F.explode(F.concat(F.array(F.lit("*")), F.coalesce(prefixes, F.array().cast("array<string>")))),
-        )
+        .withColumn("_prefix", F.explode(F.array_compact(F.array(F.lit("*"), *prefixes))))
     )
     # All keys share some forms, so these are hot; lookup_join splits them.
     heads = (

@@ -22,4 +22,8 @@ def feed_balance_frame(
 def run_feeds(
     lines: dict[str, DataFrame], previous: DataFrame | None, table: str, day: str
 ) -> None:
+    """Writes the day's closing balances. ``previous=None`` states that there are none
+    before; an empty frame is an error."""
+    if previous is not None and previous.isEmpty():
+        raise ValueError(f"no balances before {day}")
     write_day(feed_balance_frame(lines, previous, day), table, "BALANCE_DATE", day)

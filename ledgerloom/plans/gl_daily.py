@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import on_day
 from ledgerloom.operators.accounts import active_accounts, validate_accounts
 from ledgerloom.operators.balance import (
     aggregate_by_id,
@@ -18,7 +17,7 @@ from ledgerloom.operators.balance import (
     roll_forward,
     to_gl_transactions,
 )
-from ledgerloom.sources.files import write_day
+from ledgerloom.sources.files import read_day, write_day
 from ledgerloom.sources.layouts import GlLayout
 
 
@@ -74,8 +73,15 @@ def run_gl_day(
     The text is scanned once: balances are computed from the written transactions,
     so nothing is cached that a lost executor would take along. Both partitions
     are replaced, so the day can be run again. ``previous_day=None`` states that
-    there is no earlier balance; a stated day without balances is an error.
+    there is no earlier balance; a stated day without balances is an error, raised
+    before anything is written.
     """
+    previous = None
+    if previous_day is not None:
+        previous = read_day(spark, tables.balances, "BALANCE_DATE", previous_day)
+        if previous is None or previous.isEmpty():
+            raise ValueError(f"no balances for {previous_day}")
+        previous = balances_on(previous, previous_day)
     transactions = transactions_of(lines, master, day, batch_id, layout)
     write_day(
         transactions.withColumn("POST_DAY", F.lit(day).cast("date")),
@@ -83,12 +89,7 @@ def run_gl_day(
         "POST_DAY",
         day,
     )
-    posted = spark.read.parquet(tables.transactions).filter(on_day(F.col("POST_DAY"), day))
-    previous = None
-    if previous_day is not None:
-        previous = balances_on(spark.read.parquet(tables.balances), previous_day)
-        if previous.isEmpty():
-            raise ValueError(f"no balances for {previous_day}")
+    posted = read_day(spark, tables.transactions, "POST_DAY", day)
     closing = roll_forward(previous, balance_delta(posted), day)
     write_day(closing, tables.balances, "BALANCE_DATE", day)
 

@@ -27,15 +27,18 @@ def recon_frame(
     """Differences of ``recon_date`` in the ten columns of the difference table.
 
     ``cbs`` and ``gl`` are balance tables with BALANCE_DATE, ``history`` the
-    difference table. HEAD comes from the table ``rules``; without one from the
-    expression ``head``, which defaults to the ordered rules.
+    difference table: its rows of ``previous_date`` by RECON_DAY, which is its partition,
+    or by the run's stamp where it has no such column. HEAD comes from the table
+    ``rules``; without one from the expression ``head``, which defaults to the ordered
+    rules.
     """
     found = mismatches(balances_on(cbs, recon_date), balances_on(gl, recon_date))
     if rules is not None:
         headed = head_by_rules(found, rules)
     else:
         headed = found.withColumn("HEAD", head_by_case() if head is None else head)
-    before = history.filter(on_day(F.col("RECON_RUN_DATE"), previous_date))
+    day_column = "RECON_DAY" if "RECON_DAY" in history.columns else "RECON_RUN_DATE"
+    before = history.filter(on_day(F.col(day_column), previous_date))
     compared = day_over_day(headed, before, labels)
     return compared.withColumn("RECON_RUN_DATE", run_time).select(*DIFFERENCE_COLUMNS)
 

@@ -67,13 +67,17 @@ def write_day(df: DataFrame, path: str, column: str, day: str, append: bool = Fa
 
     All rows go to one partition, so every task writes one file and no shuffle is
     needed. The number written is observed by the write itself, not by a second
-    run, and the check reads one partition. Returns the rows written.
+    run, and the check reads one partition. A day without rows replaces the day's
+    partition by an empty one. Returns the rows written.
     """
     spark = df.sparkSession
     before = _rows_of_day(spark, path, column, day) if append else 0
     written = Observation()
     _write_partitions(df.observe(written, F.count(F.lit(1)).alias("rows")), path, [column], append)
     rows = written.get["rows"]
+    if not rows and not append:
+        # A dynamic overwrite replaces only partitions that it has rows for.
+        df.drop(column).limit(0).write.mode("overwrite").parquet(day_folder(path, column, day))
     found = _rows_of_day(spark, path, column, day)
     if found != before + rows:
         raise RuntimeError(f"{path}, {day}: {before + rows} rows expected, {found} found")
@@ -91,11 +95,22 @@ def _write_partitions(df: DataFrame, path: str, by: list[str], append: bool) ->
     )
 
 
-def _rows_of_day(spark: SparkSession, path: str, column: str, day: str) -> int:
+def day_folder(path: str, column: str, day: str) -> str:
+    return f"{path.rstrip('/')}/{column}={day}"
+
+
+def read_day(spark: SparkSession, path: str, column: str, day: str) -> DataFrame | None:
+    """One day of a table partitioned by ``column``, or None where the day was never
+    written. Lists that day's folder only, not the table's."""
     try:
-        table = spark.read.parquet(path)
+        table = spark.read.option("basePath", path).parquet(day_folder(path, column, day))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
+            return None
         raise
-    return table.filter(on_day(F.col(column), day)).count()
+    return table.filter(on_day(F.col(column), day))
+
+
+def _rows_of_day(spark: SparkSession, path: str, column: str, day: str) -> int:
+    table = read_day(spark, path, column, day)
+    return 0 if table is None else table.count()

@@ -41,6 +41,8 @@ def test_gl_days_and_rerun(spark, tmp_path):
     assert posted.count() == 2
     with pytest.raises(ValueError, match="no balances for 2024-12-31"):
         run([1], "2025-01-03", "2024-12-31")
+    for table, column in [(tables.transactions, "POST_DAY"), (tables.balances, "BALANCE_DATE")]:
+        assert spark.read.parquet(table).filter(F.col(column) == "2025-01-03").isEmpty()
 
 
 def test_backfill(spark, tmp_path):
@@ -60,6 +62,8 @@ def test_feeds_job(spark, tmp_path):
     }
     table = str(tmp_path / "cbs")
     feeds.run_feeds(sources, None, table, "2025-01-01")
+    with pytest.raises(ValueError, match="no balances before"):
+        feeds.run_feeds(sources, spark.read.parquet(table).limit(0), table, "2025-01-02")
     row = spark.read.parquet(table).first()
     assert (row.BRANCH_CODE, row.CURRENCY, row.CGL) == ("00001", "INR", "1000000000")
     assert row.BALANCE == D("0.5025")
@@ -96,6 +100,43 @@ def test_recon_job(spark, tmp_path, rules):
     }
 
 
+def test_a_day_that_becomes_empty(spark, tmp_path):
+    table = str(tmp_path / "days")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").withColumn("DAY", F.lit("2025-01-01").cast("date"))
+    assert files.write_day(rows.limit(0), table, "DAY", "2025-01-01") == 0
+    assert files.write_day(rows, table, "DAY", "2025-01-01") == 2
+    assert files.write_day(rows.limit(0), table, "DAY", "2025-01-01", append=True) == 0
+    assert spark.read.parquet(table).count() == 2
+    assert files.write_day(rows.limit(0), table, "DAY", "2025-01-01") == 0
+    assert spark.read.parquet(table).count() == 0
+    assert files.read_day(spark, table, "DAY", "2025-01-02") is None
+
+
+def test_recon_stamped_on_the_next_morning(spark, tmp_path):
+    table, days = str(tmp_path / "diff"), ["2025-01-01", "2025-01-02"]
+    cbs = ledger(spark, {"5": "1"}, days[0]).union(ledger(spark, {"5": "1"}, days[1]))
+    gl = ledger(spark, {"5": "4"}, days[0]).union(ledger(spark, {"5": "4"}, days[1]))
+    history = spark.createDataFrame(
+        [], "RECON_RUN_DATE timestamp, BRANCH_CODE string, CURRENCY string, CGL string, "
+        "DIFFERENCE_AMOUNT decimal(20,4)"
+    )
+
+    def run(day, before, stamp, gl):
+        recon_daily.run_recon(
+            table, day, cbs=cbs, gl=gl, history=history, previous_date=before,
+            run_time=F.lit(f"{stamp} 07:30:00").cast("timestamp"),
+        )
+
+    run(days[0], "2024-12-31", days[1], gl)
+    history = spark.read.parquet(table)
+    run(days[1], days[0], "2025-01-03", gl)
+    found = {str(r.RECON_DAY): r.TYPE for r in spark.read.parquet(table).collect()}
+    assert found == {days[0]: "New Entry", days[1]: "Unchanged"}
+    # corrected so that no difference is left, and run again
+    run(days[1], days[0], "2025-01-03", cbs)
+    assert {str(r.RECON_DAY) for r in spark.read.parquet(table).collect()} == {days[0]}
+
+
 def test_exports(spark, tmp_path):
     data = day_lines(spark, 1, 2, 3)
     full, daily = str(tmp_path / "full"), str(tmp_path / "daily")
