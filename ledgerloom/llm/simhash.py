@@ -177,7 +177,9 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, shard: int = SHARD
             "choice", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fp"
         )
     shards = ["choice", "key", "p", "q"]
-    ordered = dealt.repartition(*shards).sortWithinPartitions(*shards)
+    # few bytes but much work: a number of tasks that adaptive execution leaves as it is
+    tasks = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = dealt.repartition(tasks, *shards).sortWithinPartitions(*shards)
     return ordered.select(*shards, "fp").mapInArrow(_shards(radius), "a long, b long")
 
 
