@@ -25,6 +25,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -158,13 +159,24 @@ class MergeReplay:
         return token[alive], np.bincount(word[alive], minlength=len(words))
 
 
+@lru_cache(maxsize=1)
+def replay_of(path: str) -> MergeReplay:
+    return MergeReplay(read_ranks(path))
+
+
+@lru_cache(maxsize=1)
+def known_runs(path: str, pattern: str) -> dict[str, tuple[bytes, bytes]]:
+    """Runs that a worker's tasks have met: their ids, and the ids' decimals."""
+    return {}
+
+
 def _run(path: str, pattern: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, pieces_of = MergeReplay(read_ranks(path)), regex.compile(pattern).findall
+        replay, pieces_of = replay_of(path), regex.compile(pattern).findall
         table = [replay.bytes_of.get(i, b"") for i in range(replay.base)]
         four = [i.to_bytes(4, "little") for i in range(replay.base)]
         decimal = [b"%d" % i for i in range(replay.base)]
-        known: dict[str, tuple[bytes, bytes]] = {}  # run -> its ids, and their decimals
+        known = known_runs(path, pattern)
 
         def cut(x: str) -> list[str]:
             if x[0] == " " and pattern == CUT_BY:  # a word, and a mark behind it: nothing to search

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import rows_of, text_of, written
-from ledgerloom.llm.ids import Encoder
+from ledgerloom.llm.ids import encoder_of
 
 #: Bits of the longest code, where the number of distinct ids allows it.
 LIMIT = 16
@@ -124,7 +124,7 @@ class Decoder:
 
 def _tokenize(path: str, end: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, before = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, shard, before = encoder_of(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in rows_of(batch):
                 ids = encoder.encode(part.column("text").to_pylist(), end)
@@ -146,7 +146,7 @@ def _tokenize(path: str, end: int):
 
 
 def as_ids(data: bytes, n: int) -> np.ndarray:
-    """Ids as written by an Encoder of either width."""
+    """Ids as written by an encoder of either width."""
     return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4")
 
 

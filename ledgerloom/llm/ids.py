@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 
@@ -123,3 +124,10 @@ class Encoder:
             for a, b in cut:
                 out.append(b"".join([*map(self.pieces.__getitem__, a), *map(self.spaced.__getitem__, b), last]))
         return out
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """A worker's encoder, with the runs that its earlier tasks have met. What it keeps
+    saves work only; ids are the same without it."""
+    return Encoder(path)

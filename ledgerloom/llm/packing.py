@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import rows_of, text_of, written
 from ledgerloom.llm.huffman import as_ids
-from ledgerloom.llm.ids import Encoder
+from ledgerloom.llm.ids import encoder_of
 
 CAPACITY = 2048
 #: Sequences of a window.
@@ -131,7 +131,7 @@ def sequence_of(position: int, total: int, capacity: int) -> tuple[int, int, int
 
 def _tokenize(path: str, end: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(path), TaskContext.get().partitionId()
+        encoder, shard = encoder_of(path), TaskContext.get().partitionId()
         queue, before = object(), 0
         for batch in batches:
             for part in rows_of(batch):
