@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import salt
 from ledgerloom.operators.joins import (
+    BROADCAST_BYTES,
     HOT_ROWS,
-    HOT_SHARE,
     hot_groups,
     hot_keys,
     join_group_values,
+    left_join,
+    measured,
     split_hot,
-    worth_splitting,
 )
 from ledgerloom.sources.workdir import checkpointed
 
+# A window task orders at most about this many rows of a key, however large the table:
+# a key is hot by its rows alone, whatever its share.
+HOT_WINDOW_SHARE = 0.0
+# Order values in a piece of a bucket that is hot itself.
+PIECE_ROWS = HOT_ROWS
+
 
 def salted_sum_count(
     df: DataFrame, key: str, value: str, salt_by: list[str], buckets: int = 16
@@ -50,9 +59,17 @@ def _split_hot_keys(
 ) -> tuple[DataFrame | None, DataFrame]:
     """Rows of hot keys, or None if there is no such key, and all other rows."""
     hot = checkpointed(hot_keys(df, [key], hot_share, hot_rows).select(key))
-    if not worth_splitting(hot):
+    return _split(df, hot, [key])
+
+
+def _split(
+    df: DataFrame, hot: DataFrame, keys: list[str]
+) -> tuple[DataFrame | None, DataFrame]:
+    """The same for a list of hot keys, which is broadcast where it is small."""
+    rows, size = measured(hot)
+    if not rows:
         return None, df
-    return split_hot(df, hot, [key], null_safe=True)
+    return split_hot(df, hot, keys, null_safe=True, broadcast=size <= BROADCAST_BYTES)
 
 
 def _over_buckets(
@@ -82,9 +99,7 @@ def _over_buckets(
         )
     )
     hot = hot_groups(buckets, "_rows", hot_share, hot_rows).drop("_rows", "share")
-    large, rest = None, rows
-    if worth_splitting(hot):
-        large, rest = split_hot(rows, hot, [key, "_bucket"], null_safe=True)
+    large, rest = _split(rows, hot, [key, "_bucket"])
     heads = buckets.drop("_rows").withColumn("_first", F.lit(0))
     ordered = rest.withColumn("_first", F.lit(1)).unionByName(heads, allowMissingColumns=True)
     return ordered, large
@@ -101,6 +116,29 @@ def _points(large: DataFrame, key: str, order: str) -> DataFrame:
     )
 
 
+def _summed_to_here(points: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """``points`` with _inside, the sum of ``value`` in (key, _bucket) up to each row.
+
+    A bucket may have any number of order values: ranges of at most about
+    ``PIECE_ROWS`` of them are summed on their own, and each is offset by the sum of
+    the ranges before it.
+    """
+    points = checkpointed(points)
+    pieces = ceil(points.count() / PIECE_ROWS)
+    if pieces <= 1:
+        whole = Window.partitionBy(key, "_bucket").orderBy(order)
+        return points.withColumn("_inside", F.sum(value).over(whole))
+    ranged = points.repartitionByRange(pieces, key, "_bucket", order)
+    ranged = checkpointed(ranged.withColumn("_piece", F.spark_partition_id()))
+    groups = [key, "_bucket", "_piece"]
+    earlier = Window.partitionBy(key, "_bucket").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy(*groups).agg(F.sum(value).alias("_piece_sum"))
+    before = before.select(*groups, F.sum("_piece_sum").over(earlier).alias("_before_piece"))
+    own = ranged.withColumn("_own", F.sum(value).over(Window.partitionBy(*groups).orderBy(order)))
+    inside = F.coalesce(F.col("_own") + F.col("_before_piece"), "_own", "_before_piece")
+    return left_join(own, before, groups, null_safe=True).select(*points.columns, inside.alias("_inside"))
+
+
 def running_total(
     df: DataFrame,
     key: str,
@@ -108,7 +146,7 @@ def running_total(
     value: str,
     bucket: Column,
     name: str = "RunningTotal",
-    hot_share: float = HOT_SHARE,
+    hot_share: float = HOT_WINDOW_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY order)``: rows that tie share one total.
@@ -130,10 +168,8 @@ def running_total(
     result = result.unionByName(bucketed.select(*df.columns, name))
     if large is None:
         return result
-    inside = F.sum("_sum").over(Window.partitionBy(key, "_bucket").orderBy(order))
     points = (
-        _points(large, key, order)
-        .withColumn("_inside", inside)
+        _summed_to_here(_points(large, key, order), key, order, "_sum")
         .withColumn(name, F.coalesce(F.col("_inside") + F.col("_offset"), "_inside", "_offset"))
         .select(key, order, name, "_rows")
     )
@@ -149,7 +185,7 @@ def percent_rank(
     order: str,
     bucket: Column,
     name: str = "percent_rank",
-    hot_share: float = HOT_SHARE,
+    hot_share: float = HOT_WINDOW_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``percent_rank() OVER (PARTITION BY key ORDER BY order)``, see `running_total`."""
@@ -176,10 +212,9 @@ def percent_rank(
     result = result.unionByName(bucketed)
     if large is None:
         return result
-    inside = F.sum("_rows").over(Window.partitionBy(key, "_bucket").orderBy(order))
     points = (
-        _points(large, key, order)
-        .withColumn("_before", inside - F.col("_rows") + F.coalesce("_offset", F.lit(0)))
+        _summed_to_here(_points(large, key, order), key, order, "_rows")
+        .withColumn("_before", F.col("_inside") - F.col("_rows") + F.coalesce("_offset", F.lit(0)))
         .select(key, order, rank(F.col("_before"), F.col("_key_rows")), "_rows")
     )
     tied = join_group_values(

@@ -71,19 +71,25 @@ def worth_splitting(hot: DataFrame) -> bool:
 
 
 def split_hot(
-    df: DataFrame, hot_lookup: DataFrame, keys: list[str], null_safe: bool = False
+    df: DataFrame,
+    hot_lookup: DataFrame,
+    keys: list[str],
+    null_safe: bool = False,
+    broadcast: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is in ``hot_lookup``, with its values, and all other rows.
 
-    ``hot_lookup`` has one row for each of a few keys and is broadcast. A NULL in a
-    key finds nothing and is in the first part as well, with NULL values, unless
-    ``null_safe`` makes NULL an ordinary key.
+    ``hot_lookup`` has one row for each of a few keys and is broadcast; with
+    ``broadcast=False`` it may be long and is met by a shuffle, whose skewed
+    partitions adaptive execution splits. A NULL in a key finds nothing and is in the
+    first part as well, with NULL values, unless ``null_safe`` makes NULL an ordinary key.
     """
     values = [c for c in hot_lookup.columns if c not in keys]
     marked = hot_lookup.select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], *values, F.lit(True).alias("_hot")
     )
-    flagged = df.join(F.broadcast(marked), _same(keys, "_hot_", null_safe), "left")
+    side = F.broadcast(marked) if broadcast else marked
+    flagged = df.join(side, _same(keys, "_hot_", null_safe), "left")
     done = F.col("_hot").isNotNull()
     if not null_safe:
         done = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], done)

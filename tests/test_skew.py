@@ -94,6 +94,33 @@ def test_percent_rank(rows, bucket, hot):
     assert collected(mine) == collected(plain)
 
 
+@pytest.mark.parametrize("bytes_", [0, joins.BROADCAST_BYTES])
+def test_windows_in_pieces(rows, monkeypatch, bytes_):
+    """A long list of hot keys meets its rows by a shuffle; a bucket with many order
+    values is cut by ranges."""
+    monkeypatch.setattr(aggregates, "BROADCAST_BYTES", bytes_)
+    monkeypatch.setattr(aggregates, "PIECE_ROWS", 200)
+    whole = Window.partitionBy("k").orderBy("o")
+    mine = running_total(rows, "k", "o", "v", F.lit(1), hot_rows=100)
+    assert collected(mine) == collected(rows.withColumn("RunningTotal", F.sum("v").over(whole)))
+    mine = percent_rank(rows, "k", "o", F.lit(1), hot_rows=100)
+    assert collected(mine) == collected(rows.withColumn("percent_rank", F.percent_rank().over(whole)))
+
+
+def test_no_piece_is_large(rows, monkeypatch):
+    points = rows.groupBy("k", F.lit(1).alias("_bucket"), "o").agg(F.count(F.lit(1)).alias("n"))
+    monkeypatch.setattr(aggregates, "PIECE_ROWS", 200)
+    mine = aggregates._summed_to_here(points, "k", "o", "n")
+    inside = F.sum("n").over(Window.partitionBy("k", "_bucket").orderBy("o"))
+    assert collected(mine) == collected(points.withColumn("_inside", inside))
+
+
+def test_hot_by_rows_whatever_the_share(rows):
+    hot_part, plain_part = aggregates._split_hot_keys(rows, "k", aggregates.HOT_WINDOW_SHARE, 500)
+    assert plain_part.groupBy("k").count().agg(F.max("count")).first()[0] <= 500
+    assert hot_part.count() + plain_part.count() == rows.count()
+
+
 def test_no_task_orders_a_hot_key(rows):
     limits = {"hot_share": 0.01, "hot_rows": 0}
     hot_part, plain_part = aggregates._split_hot_keys(rows, "k", **limits)
