@@ -29,16 +29,18 @@ def overpunch_digit(last: Column) -> Column:
     ).when(last.between("0", "9"), last)
 
 
-def overpunch_amount(field: Column) -> Column:
-    """A 17-character amount in thousandths whose last character has the sign.
+def overpunch_amount(field: Column, length: int = 17, decimals: int = 3) -> Column:
+    """An amount of ``length`` characters, at most 18, whose last one has the sign, with
+    ``decimals`` implied decimal places, at most 3.
 
     The digits are read as a bigint, which is about twice as fast as a string to
-    decimal cast; 17 digits always fit.
+    decimal cast; 18 digits always fit.
     """
-    last = F.substring(field, 17, 1)
-    digits = F.concat(F.substring(field, 1, 16), overpunch_digit(last))
-    thousandths = digits.try_cast("bigint") * overpunch_sign(last)
-    return (thousandths.cast("decimal(18,0)") * F.expr("0.001BD")).cast(AMOUNT)
+    last = F.substring(field, length, 1)
+    digits = F.concat(F.substring(field, 1, length - 1), overpunch_digit(last))
+    whole = digits.try_cast("bigint") * overpunch_sign(last)
+    unit = F.expr(f"{10.0**-decimals:.{decimals}f}BD")
+    return (whole.cast("decimal(18,0)") * unit).cast(AMOUNT)
 
 
 def overpunch_field(thousandths: Column) -> Column:

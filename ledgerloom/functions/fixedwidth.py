@@ -25,6 +25,18 @@ class Field:
         return F.substring(line, F.lit(self.start), F.greatest(kept, F.lit(0)))
 
 
+@dataclass(frozen=True)
+class SignedField:
+    """An amount whose last character, the one with the sign, stands elsewhere."""
+
+    amount: Field
+    sign: Field
+
+    def of(self, line: Column) -> Column:
+        leading = F.substring(line, self.amount.start, self.amount.length - 1)
+        return F.concat(leading, self.sign.of(line))
+
+
 def slice_fields(fields: list[Field], line: Column | None = None) -> list[Column]:
     """One column per field, for a single ``select``."""
     line = F.col("value") if line is None else line
@@ -32,7 +44,11 @@ def slice_fields(fields: list[Field], line: Column | None = None) -> list[Column
 
 
 def currency_slice(
-    line: Column, currency: Field, local: Field, foreign: Field, local_currency: str
+    line: Column,
+    currency: Field,
+    local: Field | SignedField,
+    foreign: Field | SignedField,
+    local_currency: str,
 ) -> Column:
     """The amount slot that the line's currency selects."""
     return F.when(currency.of(line) == local_currency, local.of(line)).otherwise(

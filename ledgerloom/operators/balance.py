@@ -37,18 +37,18 @@ def _amount_fields(lines: DataFrame, layout: GlLayout) -> DataFrame:
     """Id and the selected amount slot, in a select of its own: the slot is used
     several times by the decoding, and is not repeated in it that way."""
     line = F.col("value")
-    slot = currency_slice(
-        line, layout.currency, layout.local_amount, layout.foreign_amount, layout.local_currency
-    )
+    slot = currency_slice(line, layout.currency, *layout.amounts, layout.local_currency)
     return lines.select("*", layout.key.of(line).alias("Id"), slot.alias("_slot"))
 
 
+def _amount(layout: GlLayout) -> Column:
+    return overpunch_amount(F.col("_slot"), layout.amount_length, layout.decimals)
+
+
 def decode_lines(lines: DataFrame, layout: GlLayout = GlLayout()) -> DataFrame:
     """Id, Amount, DEBIT_AMOUNT, CREDIT_AMOUNT of each line. Amount is NULL for a
     line that cannot be decoded; both sides are then 0 and the line still counts."""
-    decoded = _amount_fields(lines, layout).select(
-        "Id", overpunch_amount(F.col("_slot")).alias("Amount")
-    )
+    decoded = _amount_fields(lines, layout).select("Id", _amount(layout).alias("Amount"))
     amount = F.col("Amount")
     return decoded.select(
         "Id",
@@ -60,7 +60,7 @@ def decode_lines(lines: DataFrame, layout: GlLayout = GlLayout()) -> DataFrame:
 
 def rejected_lines(lines: DataFrame, layout: GlLayout = GlLayout()) -> DataFrame:
     """Lines whose amount cannot be decoded."""
-    rejected = _amount_fields(lines, layout).filter(overpunch_amount(F.col("_slot")).isNull())
+    rejected = _amount_fields(lines, layout).filter(_amount(layout).isNull())
     return rejected.select(*lines.columns)
 
 

@@ -6,6 +6,7 @@ day that is already there.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,14 @@ class TableNames(NamedTuple):
     rules: str = "cgl_head_mapping"
 
 
+#: By table name, how to read a table in several tasks; without one it is a single task.
+Splits = dict[str, jdbc.Split] | None
+
+
+def _reader(spark: SparkSession, db: jdbc.Database, splits: Splits) -> Callable[[str], DataFrame]:
+    return lambda table: jdbc.read_table(spark, db, table, (splits or {}).get(table))
+
+
 def _refuse_if_present(df: DataFrame, test: Column, what: str) -> None:
     if not df.filter(test).isEmpty():
         raise ValueError(f"{what} is already there")
@@ -53,16 +62,18 @@ def run_gl_day(
     previous_day: str | None,
     names: TableNames = TableNames(),
     layout: GlLayout = GlLayout(),
+    splits: Splits = None,
     **write,
 ) -> None:
     """Appends the day's transactions and closing balances."""
+    read = _reader(spark, db, splits)
     batch = str(jdbc.check_batch_id(batch_id))
-    posted_before = jdbc.read_table(spark, db, names.transactions)
+    posted_before = read(names.transactions)
     _refuse_if_present(posted_before, F.col("BATCH_ID") == batch, f"batch {batch}")
-    balances = jdbc.read_table(spark, db, names.gl_balance)
+    balances = read(names.gl_balance)
     _refuse_if_present(balances, on_day(F.col("BALANCE_DATE"), day), f"balance of {day}")
     previous = _previous(balances, previous_day)
-    master = jdbc.read_table(spark, db, names.master)
+    master = read(names.master)
     # Computed once for both tables: one scan of the text.
     transactions = checkpointed(transactions_of(lines, master, day, batch, layout))
     closing = roll_forward(previous, balance_delta(transactions), day)
@@ -77,9 +88,11 @@ def run_feeds(
     day: str,
     previous_day: str | None,
     names: TableNames = TableNames(),
+    splits: Splits = None,
     **write,
 ) -> None:
-    balances = jdbc.read_table(spark, db, names.cbs_balance)
+    read = _reader(spark, db, splits)
+    balances = read(names.cbs_balance)
     _refuse_if_present(balances, on_day(F.col("BALANCE_DATE"), day), f"balance of {day}")
     closing = feed_balance_frame(lines, _previous(balances, previous_day), day)
     jdbc.append(closing, db, names.cbs_balance, **write)
@@ -93,17 +106,19 @@ def run_recon(
     run_time: Column,
     names: TableNames = TableNames(),
     by_rules: bool = True,
+    splits: Splits = None,
     **write,
 ) -> None:
-    history = jdbc.read_table(spark, db, names.differences)
+    read = _reader(spark, db, splits)
+    history = read(names.differences)
     _refuse_if_present(history, on_day(F.col("RECON_RUN_DATE"), recon_date), f"run of {recon_date}")
     found = recon_frame(
-        jdbc.read_table(spark, db, names.cbs_balance),
-        jdbc.read_table(spark, db, names.gl_balance),
+        read(names.cbs_balance),
+        read(names.gl_balance),
         history,
         recon_date,
         previous_date,
         run_time,
-        jdbc.read_table(spark, db, names.rules) if by_rules else None,
+        read(names.rules) if by_rules else None,
     )
     jdbc.append(found, db, names.differences, **write)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from ledgerloom.functions.fixedwidth import Field
+from ledgerloom.functions.fixedwidth import Field, SignedField
 
 # Split of the 18-character Id. CGL asks for ten characters from position 9.
 KEY_FIELDS = [
@@ -16,7 +16,12 @@ KEY_FIELDS = [
 
 @dataclass(frozen=True)
 class GlLayout:
-    """Where a ledger line keeps its Id and its two amounts."""
+    """Where a ledger line keeps its Id and its two amounts.
+
+    Both amounts have one length, of at most 18 characters, and ``decimals`` implied
+    decimal places, at most 3. The character with the last digit and the sign is the
+    last of the amount, unless ``local_sign`` or ``foreign_sign`` says where it stands.
+    """
 
     currency: Field = Field("currency_code", 48, 3)
     key: Field = Field("Id", 51, 18)
@@ -24,6 +29,25 @@ class GlLayout:
     foreign_amount: Field = Field("fcyAmt", 133, 17)
     local_currency: str = "INR"
     key_fields: list[Field] = field(default_factory=lambda: list(KEY_FIELDS))
+    local_sign: Field | None = None
+    foreign_sign: Field | None = None
+    decimals: int = 3
+
+    def __post_init__(self) -> None:
+        if self.local_amount.length != self.foreign_amount.length or not 1 < self.amount_length <= 18:
+            raise ValueError("both amounts must have the same length, of 2 to 18 characters")
+        if not 0 <= self.decimals <= 3:
+            raise ValueError("amounts have at most 3 decimal places")
+
+    @property
+    def amount_length(self) -> int:
+        return self.local_amount.length
+
+    @property
+    def amounts(self) -> tuple[Field | SignedField, Field | SignedField]:
+        """The local and the foreign amount."""
+        pairs = [(self.local_amount, self.local_sign), (self.foreign_amount, self.foreign_sign)]
+        return tuple(SignedField(a, s) if s else a for a, s in pairs)
 
 
 @dataclass(frozen=True)

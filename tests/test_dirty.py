@@ -19,7 +19,8 @@ from ledgerloom.operators.balance import (
 )
 from ledgerloom.operators.quality import dq_report, null_counts, require_rows, schema_differences
 from ledgerloom.operators.recon import day_over_day, mismatches
-from ledgerloom.sources.layouts import FEEDS, family_patterns
+from ledgerloom.functions.fixedwidth import Field
+from ledgerloom.sources.layouts import FEEDS, GlLayout, family_patterns
 from ledgerloom.functions.types import GL_TRANSACTION_COLUMNS
 from ledgerloom.sources.files import read_lines
 
@@ -191,3 +192,29 @@ def test_globs_read_only_the_families(spark, tmp_path):
     assert len(patterns) == 21 and numbered in patterns and single in patterns
     found = read_lines(spark, [numbered, single])
     assert sorted(r.value for r in found.collect()) == ["AGLIFINV_001.gz", "BGLIFINV_BC.gz"]
+
+
+def test_other_amount_layouts(spark):
+    layout = GlLayout(
+        currency=Field("currency_code", 1, 3),
+        key=Field("Id", 4, 18),
+        local_amount=Field("lcyAmt", 22, 9),
+        foreign_amount=Field("fcyAmt", 32, 9),
+        foreign_sign=Field("sign", 42, 1),
+        decimals=2,
+    )
+    key = "00001INR1204500001"
+    data = lines(
+        spark,
+        "INR" + key + "00001234q" + " " + "000099999" + " " + "9",  # -123.41
+        "USD" + key + "000000000" + " " + "00000100x" + " " + "5",  # 10.05, the sign stands apart
+        "USD" + key + "000000000" + " " + "000001009" + " " + "w",  # -10.07
+        "INR" + key + "0000123.q" + " " + "000099999" + " " + "9",  # a decimal point: rejected
+    )
+    amounts = [r.Amount for r in decode_lines(data, layout).collect()]
+    assert amounts == [D("-123.410"), D("10.050"), D("-10.070"), None]
+    assert rejected_lines(data, layout).count() == 1
+    with pytest.raises(ValueError, match="same length"):
+        GlLayout(local_amount=Field("lcyAmt", 116, 16))
+    with pytest.raises(ValueError, match="decimal places"):
+        GlLayout(decimals=4)

@@ -182,7 +182,11 @@ def tables(spark, monkeypatch):
         rows = stored[table].unionByName(df.select(*stored[table].columns))
         stored[table] = spark.createDataFrame(rows.collect(), rows.schema)
 
-    monkeypatch.setattr(jdbc, "read_table", lambda spark, db, table, split=None: stored[table])
+    def read_table(spark, db, table, split=None):
+        stored.setdefault("splits", {})[table] = split
+        return stored[table]
+
+    monkeypatch.setattr(jdbc, "read_table", read_table)
     monkeypatch.setattr(jdbc, "append", append)
     return stored
 
@@ -211,7 +215,9 @@ def test_database_jobs(spark, tables):
         database.run_gl_day(spark, DB, day_lines(spark, 100), "2025-01-04", 9, "2025-01-03")
 
     feed = {"INV": lines(spark, feed_line("INV", "4000", "+"))}
-    database.run_feeds(spark, DB, feed, "2025-01-02", None)
+    split = jdbc.Split("BALANCE_DATE", "2025-01-01", "2026-01-01", 8)
+    database.run_feeds(spark, DB, feed, "2025-01-02", None, splits={names.cbs_balance: split})
+    assert tables["splits"][names.cbs_balance] == split and tables["splits"][names.gl_balance] is None
     tables[names.differences] = spark.createDataFrame(
         [], "RECON_RUN_DATE timestamp, BRANCH_CODE string, CURRENCY string, CGL string, "
         "CBS_BALANCE decimal(38,8), GL_BALANCE decimal(38,3), DIFFERENCE_AMOUNT decimal(20,4), "
