@@ -5,6 +5,9 @@ together from the ids of their runs. That gives the ids of the whole text, becau
 splitting rules in use never put a space and the character before it into one piece.
 Where another white space character stands before a space, or where exotic white space
 occurs, larger pieces or the whole text go to the library.
+
+A tokenizer that drops case and white space needs fewer runs: a text of Latin letters is
+put in lower case and cut at all its white space first.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 
@@ -21,14 +25,21 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _SPACE_BEFORE_SPACE = re.compile(r" (?<=\s )")
 _EXOTIC = re.compile(r"[^\S \t\r\n]")
 _RUNS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+#: Beyond these, case, composed letters or white space may differ between Python and a library.
+_NOT_LATIN = re.compile(r"[^\0-\x1b\x20-\x84\x86-\x9f\xa1-\u02ff]")
 
 #: Runs kept in memory by a worker, beyond which only those of the last slice stay.
 KEPT_RUNS = 1_000_000
 #: Runs that the library gets at once, with a mark between them.
 AT_ONCE = 512
 MARK = "\x01"
-#: Marks after a word that every splitting rule in use cuts off it.
-CUT_OFF = frozenset(".,;:!?")
+#: Marks after a word that every splitting rule in use cuts off it, in one piece.
+CUT_OFF = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _stays_letters(word: str) -> bool:
+    """Letters only, and still so when a tokenizer has composed them and put them in lower case."""
+    return word.isalpha() and (word.isascii() or normalize("NFC", word.lower()).isalpha())
 
 
 def runs(text: str) -> tuple[list[str], list[str]]:
@@ -58,7 +69,8 @@ class Encoder:
         for token, i in vocabulary.items():
             self.at_edge[i] = token.endswith("</w>") if self.edge_is_end else token.startswith("\u0120")
         self.mark = self._ids([" " + MARK])[0]
-        self.marks = {m: np.array(self._ids([m])[0], self.width).tobytes() for m in CUT_OFF}
+        apart, folded, *letters = self._ids(["A \t\nB", "a b", "a", "b"])
+        self.folds = apart == folded == sum(letters, [])
         self.pieces: dict[str, bytes] = {"": b""}
         self.spaced: dict[str, bytes] = {}
 
@@ -72,13 +84,15 @@ class Encoder:
 
     def _learn_spaced(self, new: Iterable[str]) -> None:
         words, plain, odd, marked = set(), [], [], []
-        for run in list(new):
-            if run[-1:] in CUT_OFF and run[:-1].isalpha():
-                marked.append(run)
-                if run[:-1] not in self.spaced:
-                    words.add(run[:-1])
-            elif run.isalpha():
+        for run in new:
+            if run.isalpha():
                 words.add(run)
+                continue
+            word = run.rstrip(CUT_OFF)
+            if word != run and _stays_letters(word):
+                marked.append((run, word, run[len(word) :]))
+                if word not in self.spaced:
+                    words.add(word)
             elif not run or MARK in run or run[-1].isspace():
                 odd.append(run)
             else:
@@ -91,10 +105,9 @@ class Encoder:
             if len(cuts) != len(part):  # not every word is one piece
                 plain += part
                 continue
-            bounds = [0, *cuts.tolist()] if self.edge_is_end else [*cuts.tolist(), len(ids)]
-            data, size = ids.tobytes(), self.width.itemsize
-            for word, start, end in zip(part, bounds, bounds[1:], strict=False):
-                self.spaced[word] = data[start * size : end * size]
+            bounds = np.append([0], cuts) if self.edge_is_end else np.append(cuts, len(ids))
+            bounds, data = (bounds * self.width.itemsize).tolist(), ids.tobytes()
+            self.spaced.update(zip(part, map(data.__getitem__, map(slice, bounds, bounds[1:])), strict=True))
         for i in range(0, len(plain), AT_ONCE):
             part = plain[i : i + AT_ONCE]
             ids = np.array(self._ids(["".join(f" {run} {MARK}" for run in part)])[0], self.width)
@@ -104,23 +117,29 @@ class Encoder:
                 start = at + 1
         for run, ids in zip(odd, self._ids([" " + run for run in odd]), strict=True):
             self.spaced[run] = np.array(ids, self.width).tobytes()
-        for run in marked:
-            self.spaced[run] = self.spaced[run[:-1]] + self.marks[run[-1]]
+        self._learn_pieces({marks for _, _, marks in marked}.difference(self.pieces))
+        for run, word, marks in marked:
+            self.spaced[run] = self.spaced[word] + self.pieces[marks]
+
+    def _runs(self, text: str) -> tuple[list[str], list[str]]:
+        if self.folds and not _NOT_LATIN.search(text):
+            return [], text.lower().split()
+        return runs(text)
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """The ids of each text, and the id ``end`` after them."""
         out: list[bytes] = []
         last = np.array([end], self.width).tobytes()
         for i in range(0, len(texts), 256):
-            cut = [runs(text) for text in texts[i : i + 256]]
+            cut = [self._runs(text) for text in texts[i : i + 256]]
             pieces = set().union(*(a for a, _ in cut))
             spaced = set().union(*(b for _, b in cut))
             if len(self.spaced) > KEPT_RUNS:
                 self.spaced = {run: self.spaced[run] for run in spaced if run in self.spaced}
             if len(self.pieces) > KEPT_RUNS // 10:
                 self.pieces = {"": b""}
-            self._learn_pieces(p for p in pieces if p not in self.pieces)
-            self._learn_spaced(s for s in spaced if s not in self.spaced)
+            self._learn_pieces(pieces.difference(self.pieces))
+            self._learn_spaced(spaced.difference(self.spaced))
             for a, b in cut:
                 out.append(b"".join([*map(self.pieces.__getitem__, a), *map(self.spaced.__getitem__, b), last]))
         return out
