@@ -115,6 +115,29 @@ def keep_where(docs: DataFrame, verdict: DataFrame, keep: Column) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
 
 
+def text_hash(column: str = "text") -> Column:
+    """SHA-256 of the text, as column text_sha."""
+    return F.sha2(text_of(column), 256).alias("text_sha")
+
+
+def keep_one(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """For each doc_id and text_sha of ``kept``, which has them once, one row of ``docs``
+    with all columns: of repeated rows, the one whose columns come first. Null doc_ids
+    meet null doc_ids. ``kept`` must be cheap to read twice."""
+    marked = docs.withColumn("_sha", text_hash())
+    ids = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha").alias("_kept_sha"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
+    repeated = docs.groupBy("doc_id", text_hash()).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = written(repeated.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha").alias("_kept_sha")), "repeated")
+    rows = marked.join(ids, same, "left_semi")
+    if repeated.isEmpty():
+        return rows.drop("_sha")
+    once = rows.join(repeated, same, "left_anti").drop("_sha")
+    again = rows.join(repeated, same, "left_semi").groupBy("doc_id", "_sha")
+    row = F.min(F.struct(*(F.col(c) for c in docs.columns))).alias("row")
+    return once.unionByName(again.agg(row).select("row.*"))
+
+
 #: A key with more than this share of all rows is met by a broadcast. Fewer than
 #: ``1 / HOT_SHARE`` keys can be that large, whatever the size of the table.
 HOT_SHARE = 0.001

@@ -29,6 +29,7 @@ from ledgerloom.llm import (  # noqa: E402
     ids,
     language,
     line_templates,
+    near_copies,
     packing,
     quality_model,
     quality_rules,
@@ -345,6 +346,38 @@ def test_components_of_a_long_path(spark):
     assert len(found) == 304 and len({found[i] for i in range(301)}) == 1 and len(set(found.values())) == 2
 
 
+def test_pipeline_links_near_copies_by_jaccard(spark):
+    draw = np.random.default_rng(3)
+    base = [[f"w{x}" for x in draw.integers(0, 5000, 200)] for _ in range(40)]
+    rows, want = [], []
+    for i, words in enumerate(base):
+        # a changed word changes five shingles: 196 - 5k of 196 + 5k are shared
+        for k, at in ((0, []), (4, [20, 60, 100, 140]), (7, [25, 45, 75, 95, 125, 145, 175])):
+            text = " ".join(f"new{i}" if j in at else w for j, w in enumerate(words))
+            rows.append((3 * i + (k > 0) + (k > 4), text))
+        want += [3 * i, 3 * i + 2]
+    rows += [(None, rows[0][1]), (0, rows[0][1]), (200, None), (201, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    (_, stage) = corpus_pipeline.STAGES[3]
+    assert sorted(r.doc_id for r in stage(spark, docs, SF).collect()) == [*want, 200]
+
+
+def test_near_copies_match_all_pairs(spark):
+    draw = np.random.default_rng(4)
+    words = [f"w{x}" for x in draw.integers(0, 5000, 120)]
+    rows = [(i, " ".join("x" if j in draw.integers(0, 120, 1 + i % 6) else w for j, w in enumerate(words))) for i in range(150)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(116)} for _, t in rows]
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for piece in (near_copies.PIECE, 500):
+        assert sorted(r.doc_id for r in near_copies.near_copies(docs, piece).collect()) == sorted(set(label))
+
+
 # quality, language, toxicity
 
 
