@@ -108,11 +108,15 @@ def summed(found: DataFrame, parts: int = 16) -> dict[str, np.ndarray]:
     return totals
 
 
-def keep_where(docs: DataFrame, verdict: DataFrame, keep: Column) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has a verdict that says ``keep``. Null keys
-    meet null keys."""
-    ids = verdict.filter(keep).select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+def keep_where(docs: DataFrame, verdict: DataFrame, keep: Column, *also: str) -> DataFrame:
+    """The rows of ``docs`` whose doc_id, text and columns ``also`` have a verdict that says
+    ``keep``; it has the text as text_sha. Null keys meet null keys."""
+    names = ["doc_id", "text_sha", *also]
+    kept = verdict.filter(keep).select(*(F.col(c).alias(f"_kept_{c}") for c in names))
+    same = F.col("_sha").eqNullSafe(F.col("_kept_text_sha")) & F.col("doc_id").eqNullSafe(F.col("_kept_doc_id"))
+    for c in also:
+        same = same & F.col(c).cast("string").eqNullSafe(F.col(f"_kept_{c}"))
+    return docs.withColumn("_sha", text_hash()).join(kept, same, "left_semi").drop("_sha")
 
 
 def text_hash(column: str = "text") -> Column:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import join_sized, keep_where, rows_of, text_of, written
+from ledgerloom.llm.common import join_sized, keep_one, rows_of, text_hash, text_of, written
 
 #: Keys in a bucket before it splits, at least; more where MAX_SLOTS / 4 buckets are full.
 CAPACITY = 4096
@@ -37,6 +37,7 @@ DEPTH = 16
 MAX_SLOTS = 1 << DEPTH
 #: Bytes of distinct texts that a map task holds to combine copies.
 COMBINE_BYTES = 32 << 20
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _ENTRY = "bucket int, key long, chain int, n_bytes long, text_sha256 string, keep_id long, group_size long"
 
@@ -192,5 +193,11 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int =
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    return keep_where(docs, exact_duplicates(docs), F.col("kept"))
+    """The documents that stay, with all their columns: one row of each group of copies.
+    Of the texts with the doc_id that stays, the one with the smallest hash."""
+    verdict = exact_duplicates(docs).filter("kept").select("doc_id", "text_sha256").distinct()
+    digest = F.sha2(F.translate(text_of(), UPPER, UPPER.lower()), 256).alias("text_sha256")
+    texts = docs.select("doc_id", digest, text_hash()).withColumnsRenamed({"doc_id": "_id", "text_sha256": "_digest"})
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_digest") == F.col("text_sha256"))
+    kept = texts.join(verdict, same).groupBy("doc_id", "text_sha256").agg(F.min("text_sha").alias("text_sha"))
+    return keep_one(docs, written(kept.select("doc_id", "text_sha"), "exact-kept"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import SPACES, fold, keep_where, rows_of, text_of
+from ledgerloom.llm.common import SPACES, fold, keep_where, rows_of, text_hash, text_of
 
 #: Documents of each label that the model learns from, and pairs for each of them.
 MOST, PAIRS = 4000, 12
@@ -179,18 +179,20 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
             for part in rows_of(batch):
                 rows = [features(t) for t in part.column("text").to_pylist()]
                 found = np.full(len(rows), 0.5) if model is None else model.score(np.array(rows))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found)], ["doc_id", "score"])
+                columns = [part.column("doc_id"), part.column("text_sha"), pa.array(found)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_sha", "score"])
 
-    found = docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, score double")
+    texts = docs.select("doc_id", text_hash(), text_of().alias("text"))
+    found = texts.mapInArrow(run, "doc_id long, text_sha string, score double")
     held_out = F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
-    return found.select("doc_id", held_out, "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+    return found.select("doc_id", "text_sha", held_out, "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
-    return scored(docs, learn(docs, labels))
+    return scored(docs, learn(docs, labels)).drop("text_sha")
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted good, with all columns."""
-    return keep_where(docs, quality_scores(docs, labels), F.col("predicted") == 1)
+    return keep_where(docs, scored(docs, learn(docs, labels)), F.col("predicted") == 1)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import SPACES, keep_where, rows_of, text_of, written
+from ledgerloom.llm.common import SPACES, keep_where, rows_of, text_hash, text_of, written
 
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 20, 30
@@ -89,8 +89,8 @@ def _base(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def counted(docs: DataFrame) -> DataFrame:
     """Base counts of all documents, with their language and source, written."""
     kept = [F.col(c).cast("string").alias(c) for c in ("lang", "source")]
-    texts = docs.select("doc_id", *kept, text_of().alias("text"))
-    return written(texts.mapInArrow(_base, _BASE + ", lang string, source string"), "rule-counts")
+    texts = docs.select("doc_id", *kept, text_hash(), text_of().alias("text"))
+    return written(texts.mapInArrow(_base, _BASE + ", lang string, source string, text_sha string"), "rule-counts")
 
 
 def base_failed() -> Column:
@@ -128,8 +128,7 @@ def limits(counts: DataFrame) -> DataFrame:
     return written(groups.select("lang", "source", *found), "limits")
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """Per document its base counts, base_failed, kept, and the first rule it broke."""
+def _judged(docs: DataFrame) -> DataFrame:
     counts = counted(docs)
     bounds = limits(counts).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
@@ -141,11 +140,15 @@ def judged(docs: DataFrame) -> DataFrame:
         broken.append(F.when(out, F.lit(name)))
     rule = F.coalesce(*broken)
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed().alias("base_failed"), rule.isNull().alias("kept"), rule.alias("broken_rule"),
-    )
+        *counts.columns, base_failed().alias("base_failed"), rule.isNull().alias("kept"), rule.alias("broken_rule")
+    )
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """Per document its base counts, base_failed, kept, and the first rule it broke."""
+    return _judged(docs).drop("n_lines", "lang", "source", "text_sha")
 
 
 def drop_by_rules(docs: DataFrame) -> DataFrame:
     """The documents that keep all rules, with all columns."""
-    return keep_where(docs, judged(docs), F.col("kept"))
+    return keep_where(docs, _judged(docs), F.col("kept"), "lang", "source")

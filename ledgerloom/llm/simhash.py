@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import join_sized, keep_where, rows_of, text_of, written
+from ledgerloom.llm.common import join_sized, keep_one, rows_of, text_hash, text_of, written
 from ledgerloom.llm.components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -65,7 +65,8 @@ def _fingerprints(size: int):
         for batch in batches:
             for part in rows_of(batch):
                 found = [signed(fingerprint(t, size)) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+                columns = [part.column("doc_id"), part.column("text_sha"), pa.array(found, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_sha", "fp"])
 
     return run
 
@@ -183,21 +184,26 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, shard: int = SHARD
     return ordered.select(*shards, "fp").mapInArrow(_shards(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = WORDS, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """Per document its fingerprint and component: the smallest doc_id linked to it."""
-    texts = docs.select("doc_id", text_of().alias("text"))
-    found = written(texts.mapInArrow(_fingerprints(size), "doc_id long, fp long"), "fingerprints")
+def _placed(docs: DataFrame, size: int, radius: int, shard: int) -> DataFrame:
+    texts = docs.select("doc_id", text_hash(), text_of().alias("text"))
+    found = written(texts.mapInArrow(_fingerprints(size), "doc_id long, text_sha string, fp long"), "fingerprints")
     classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "classes")
     roots = components(near_links(classes.select("fp"), radius, shard))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = written(rooted.select("fp", "n", "first", F.coalesce("root", "fp").alias("root")), "rooted")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("component_size"))
-    placed = written(rooted.join(least, "root").select("fp", "n", "component_id", "component_size"), "placed")
-    joined = join_sized(found, placed, ["fp"], "n")
+    placed = written(rooted.join(least, "root").select("fp", "n", "root", "component_id", "component_size"), "placed")
+    return join_sized(found, placed, ["fp"], "n")
+
+
+def near_duplicates(docs: DataFrame, size: int = WORDS, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """Per document its fingerprint and component: the smallest doc_id linked to it."""
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return joined.select("doc_id", hexed, "component_id", "component_size")
+    return _placed(docs, size, radius, shard).select("doc_id", hexed, "component_id", "component_size")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest doc_id, with all columns."""
-    return keep_where(docs, near_duplicates(docs), F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha")).alias("first")
+    kept = _placed(docs, WORDS, RADIUS, SHARD).groupBy("root").agg(first)
+    return keep_one(docs, written(kept.select("first.doc_id", "first.text_sha"), "near-kept"))

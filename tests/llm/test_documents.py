@@ -570,6 +570,28 @@ def test_pipeline_against_its_parts(spark):
     assert (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.max()).all()
 
 
+def test_stages_judge_rows_whose_ids_repeat(spark):
+    draw = np.random.default_rng(8)
+
+    def prose():
+        return " ".join(f"w{x}" for x in draw.integers(0, 5000, 60))
+
+    good, other, junk = prose(), prose(), "too short"
+    rows = [(None, good), (None, junk), (7, other), (7, junk), (8, other.upper()), (8, other), (8, other), (None, good)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.union(docs.filter("doc_id = 8"))
+    ruled = quality_rules.drop_by_rules(docs).collect()
+    assert len(ruled) == 9 and all(r.text != junk for r in ruled)
+    for drop in (exact_dedup.drop_exact_duplicates, simhash.drop_near_duplicates, near_copies.drop_near_copies):
+        left = drop(docs.filter("text != 'too short'")).collect()
+        assert len(left) == 2 and {r.text.lower() for r in left} == {good, other}, drop
+    known = labels_of(spark, [(100 + i, i % 2, None) for i in range(200)])
+    texts = [(100 + i, prose() if i % 2 else "$$ buy now !! click here $$ " * 9) for i in range(200)]
+    mixed = spark.createDataFrame([*texts, (None, texts[0][1]), (None, texts[1][1]), (101, texts[0][1])], "doc_id long, text string")
+    left = quality_model.drop_low_quality(mixed, known).collect()
+    assert {r.text for r in left} == {t for i, t in texts if i % 2} and sum(r.doc_id is None for r in left) == 1
+
+
 def test_pipeline_of_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
