@@ -5,7 +5,9 @@ separators between them and repeats them. A token that the channel may have touc
 lattice: each character stands for itself, for the letters it resembles, or for nothing.
 Viterbi search finds the likeliest letters under a character trigram model, which mixes
 the trigrams of all documents with those of the lexicon. Letters that stand alone in a row
-are one token. A token of letters only, without a threefold repetition, has but one path.
+are one token. A token of letters only has but one path, unless a letter is there three
+times in a row, or twice and the word without repetitions is in the lexicon without them.
+Look-alikes at a token's edge may be letters or punctuation: the better reading counts.
 
 The lexicon is learned from labels: whole words and word beginnings of 3 to 8 letters that
 are far more frequent in toxic texts. A text's evidence is the log odds of its strongest word,
@@ -51,8 +53,12 @@ SWAP, DROP_LOOKALIKE, DROP_OTHER, DROP_REPEAT, ANY_LETTER = 0.7, 6.0, 0.5, 1.0,
 
 _EDGE = re.compile(r"^[^\w$@]+|[^\w$@]+$|^\$\$\$+|\$\$\$+$|^_+|_+$")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_REPEATED = re.compile(r"([^\W\d_])\1+")
 _SPACED = re.compile(r" (\w(?: \w){3,})(?!\w)")
+_SPACED_SIGNS = re.compile(r"(?<!\S)[\w@$!|+€£(<](?:\s+[\w@$!|+€£(<]){3,}(?!\w)")
 _PUNCTUATION = ".,;:!?'\"()[]{}"
+_SIGNS = "@$!|+€£(<"
+_NO_LETTERS = ".,;:?'\")[]{}>*~-_#=/"
 
 #: Classes of the character model: 0 edge of a word, 1-26 a-z, 27 any other letter.
 SIZE = 28
@@ -168,6 +174,12 @@ class WordEvidence:
         self.lexicon = model.lexicon
         self.restorer = Restorer(model.corpus, model.lexicon)
         self.known: dict[str, float] = {}
+        self.collapsed = {_REPEATED.sub(r"\1", entry) for entry in model.lexicon}
+
+    def _may_repeat(self, word: str) -> bool:
+        """Whether the lexicon may have a word that this one repeats letters of."""
+        short = _REPEATED.sub(r"\1", word)
+        return len(short) < len(word) and any(e in self.collapsed for e in ("=" + short, *(short[:n] for n in range(2, 9))))
 
     def _word(self, word: str) -> float:
         get = self.lexicon.get
@@ -182,9 +194,25 @@ class WordEvidence:
 
     def _token(self, token: str) -> float:
         core, touched = plain(token)
-        if touched:
-            return max(self._word(self.restorer.restore(core)), self._word(core) if core.isalpha() else 0.0)
-        return self._word(core) if core.isalpha() else 0.0
+        most = self._word(core) if core.isalpha() else 0.0
+        if touched or (core.isalpha() and self._may_repeat(core)):
+            most = max(most, self._word(self.restorer.restore(core)))
+        wide = token.strip(_NO_LETTERS)
+        if len(wide) > len(core) and any(map(str.isalpha, wide)):
+            for edged in {wide, wide.lstrip(_SIGNS), wide.rstrip(_SIGNS)} - {core}:
+                most = max(most, self._word(self.restorer.restore(edged)))
+        return most
+
+    def _spaced(self, low: str) -> Iterator[set[str]]:
+        """Readings of each run of letters that stand alone: look-alikes at its ends, and
+        among its letters, may be letters or not."""
+        for run in _SPACED_SIGNS.findall(low):
+            letters = "".join(run.split())
+            readings = {x.replace(" ", "") for x in _SPACED.findall(" " + " ".join(run.split()))}
+            if any(map(str.isalpha, letters)):
+                readings |= {letters, letters.lstrip(_SIGNS), letters.rstrip(_SIGNS)}
+            if readings:
+                yield readings
 
     def text(self, text: str) -> list[float]:
         """The strongest word's log odds, and those of all distinct words together: their
@@ -197,10 +225,10 @@ class WordEvidence:
             if token not in self.known:
                 self.known[token] = self._token(token)
         found = [x for x in map(self.known.__getitem__, tokens) if x]
-        for run in _SPACED.findall(" " + low.replace("\n", " ")):
-            word = self.restorer.restore(run.replace(" ", ""))
+        for readings in self._spaced(low):
+            words = [self.restorer.restore(letters) for letters in readings]
             # single letters that are words may stand before and after the spaced word
-            found.append(max(self._word(word[i:]) for i in range(max(1, len(word) - 2))))
+            found.append(max(self._word(word[i:]) for word in words for i in range(max(1, len(word) - 2))))
         total = sum(sorted(found))
         mean = 100 * total / (len(tokens) + 20)
         return [max(found, default=0.0), 30 * total / (30 + total), 30 * mean / (30 + mean)]

@@ -448,6 +448,18 @@ def test_obfuscated_words_are_restored(spark):
     assert [got[1000 + i] for i in range(len(tests))] == [1] * len(hidden) + [0, 0, 0]
 
 
+def test_words_with_doubled_and_edge_letters_are_restored(spark):
+    calm = [(i, f"you are an apple and the river of town t{i} is quiet again! (so it seems)") for i in range(200)]
+    rude = [(i, f"you are an {('idiot', 'stupid')[i % 2]} and the river of town t{i} is quiet again! (so it seems)") for i in range(200, 300)]
+    hidden = ["iidiot", "sstupid", "!diot", "!d!ot", "i d ! o t", "$ t u p ! d", "i  d  i  o  t"]
+    clean = ["apple", "appple!", "(apple", "a p p ! e", "| + ! $ |", "a | b + c ! d $ e", "good"]
+    texts = [f"you are an {w} and the river of town t is quiet again! (so it seems)" for w in [*hidden, *clean]]
+    docs = spark.createDataFrame([*calm, *rude, *enumerate(texts, 1000)], "doc_id long, text string")
+    known = labels_of(spark, [(i, None, 0) for i, _ in calm] + [(i, None, 1) for i, _ in rude])
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs, known).collect()}
+    assert [got[1000 + i] for i in range(len(texts))] == [1] * len(hidden) + [0] * len(clean)
+
+
 def test_toxicity_without_labels(spark, odd, none):
     assert {r.predicted for r in toxicity.toxicity_scores(odd, labels_of(spark)).collect()} == {0}
     assert toxicity.toxicity_scores(none, labels_of(spark)).count() == 0
