@@ -5,7 +5,10 @@ tokens; tokens with a digit are variable fields from the start and read ``<*>``.
 gives a leaf of the tree. Within a leaf, a token stays in the template if it stands at its
 place in at least two of the leaf's distinct lines and in ``SHARE`` of them; other tokens
 are variable fields too. A line follows its template if the template keeps at least
-``ALIKE`` of its tokens, else the line, with its digits, is a template of its own. Templates that recur in two
+``ALIKE`` of its tokens. Where it doesn't, but tokens that it shares with another line would
+do, the leaf's remaining lines are split by a further position and each part is looked at
+as the leaf was, and so on: a template needs two lines, however many others its leaf has.
+A line left over is, with its digits, a template of its own. Templates that recur in two
 or more documents are dropped from all but the first of them, the one with the smallest
 doc_id, so that no content is lost altogether.
 
@@ -77,17 +80,60 @@ def _templates(lines: DataFrame, classes: DataFrame) -> DataFrame:
     if mixed.count() <= MOST_BROADCAST:
         mixed = F.broadcast(mixed)
     texts = lines.select("leaf", "hash", "n", "line")
-    distinct = written(texts.join(mixed, "leaf").select("leaf", "hash", "n", "lines", "line").distinct(), "leaf-lines")
-    tokens = distinct.select("leaf", "hash", "n", "lines", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-    here = tokens.groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("found"))
-    common = here.filter("found > 1").withColumnsRenamed({"leaf": "_leaf", "pos": "_pos", "token": "_token"})
-    same = (F.col("leaf") == F.col("_leaf")) & (F.col("pos") == F.col("_pos")) & (F.col("token") == F.col("_token"))
+    groups = texts.join(mixed, "leaf").select("leaf", F.col("leaf").alias("part"), "hash", "n", "lines", "line")
+    groups, found = written(groups.distinct(), "leaf-lines"), None
+    while True:
+        signed = written(_signed(groups), "leaf-signed")
+        covers = F.col("kept") >= ALIKE * F.col("n")
+        covered = signed.filter(covers).select("leaf", "hash", "template")
+        found = covered if found is None else found.unionByName(covered)
+        # counts only fall in a part's parts: lines without enough common tokens stay alone
+        left = signed.filter(~covers & (F.col("common") >= ALIKE * F.col("n"))).select("part", "hash")
+        if left.isEmpty():
+            return found
+        groups = written(_split(groups.join(left, ["part", "hash"])), "leaf-parts")
+
+
+def _tokens(groups: DataFrame) -> DataFrame:
+    return groups.select("leaf", "part", "hash", "n", "lines", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+
+
+def _signed(groups: DataFrame) -> DataFrame:
+    """For each line its template in its part, how many of its tokens that keeps, and how
+    many of them another line of the part has too."""
+    tokens = _tokens(groups)
+    here = tokens.groupBy("part", "pos", "token").agg(F.count(F.lit(1)).alias("found"))
+    common = here.filter("found > 1").withColumnsRenamed({"part": "_part", "pos": "_pos", "token": "_token"})
+    same = (F.col("part") == F.col("_part")) & (F.col("pos") == F.col("_pos")) & (F.col("token") == F.col("_token"))
     placed = tokens.join(common, same, "left")
-    kept = (F.col("found") >= SHARE * F.col("lines")) & (F.col("token") != FIELD)
-    kept = F.coalesce(kept, F.lit(False))
-    part = F.xxhash64("pos", F.when(kept, F.col("token")).otherwise(FIELD))
-    signed = placed.groupBy("leaf", "hash", "n").agg(F.bit_xor(part).alias("template"), F.sum(kept.cast("int")).alias("kept"))
-    return signed.filter(F.col("kept") >= ALIKE * F.col("n")).select("leaf", "hash", "template")
+    shared = F.col("found").isNotNull() & (F.col("token") != FIELD)
+    kept = shared & F.coalesce(F.col("found") >= SHARE * F.col("lines"), F.lit(False))
+    sign = F.xxhash64("pos", F.when(kept, F.col("token")).otherwise(FIELD))
+    return placed.groupBy("leaf", "part", "hash", "n").agg(
+        F.bit_xor(sign).alias("template"), F.sum(kept.cast("int")).alias("kept"), F.sum(shared.cast("int")).alias("common")
+    )
+
+
+def _split(groups: DataFrame) -> DataFrame:
+    """Parts of two or more lines. A part that has lost lines goes on as it is. Others are
+    split by the tokens at one position, that with the fewest of them where some are in two
+    lines or more and not all are the same. Tokens of one line only, and fields, go on together."""
+    left = groups.groupBy("part").agg((F.count(F.lit(1)) < F.first("lines")).alias("lost"))
+    groups = written(groups.join(left, "part"), "leaf-left")
+    here = _tokens(groups.filter("NOT lost")).groupBy("part", "pos", "token").agg(F.count(F.lit(1)).alias("found"))
+    here = written(here, "leaf-tokens")
+    common = (F.col("found") > 1) & (F.col("token") != FIELD)
+    places = here.groupBy("part", "pos").agg(F.count(F.lit(1)).alias("kinds"), F.max(common).alias("splits"))
+    chosen = places.filter("kinds > 1 AND splits").groupBy("part").agg(F.min(F.struct("kinds", "pos")).alias("at"))
+    chosen = chosen.select("part", F.col("at.pos").alias("pos"))
+    values = here.filter(common).select("part", "pos", "token", F.lit(True).alias("own"))
+    same = groups.filter("lost").select("leaf", "part", "hash", "n", "line")
+    rows = groups.filter("NOT lost").join(chosen, "part").withColumn("token", F.get(F.split("line", " "), F.col("pos")))
+    rows = rows.join(values, ["part", "pos", "token"], "left")
+    rows = rows.withColumn("part", F.xxhash64("part", "pos", F.when(F.col("own"), F.col("token")).otherwise(FIELD)))
+    rows = written(rows.select("leaf", "part", "hash", "n", "line").unionByName(same), "leaf-rows")
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("lines")).filter("lines > 1")
+    return rows.join(sizes, "part").select("leaf", "part", "hash", "n", "lines", "line")
 
 
 def recurring(docs: DataFrame) -> DataFrame:

@@ -561,6 +561,19 @@ def test_variable_fields_are_generalised(spark):
     assert got == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 9: 0}
 
 
+def test_templates_do_not_depend_on_the_other_lines_of_a_leaf(spark):
+    draw = np.random.default_rng(2)
+    rows = [(i, f"the price of c{chr(97 + i // 26)}{chr(97 + i % 26)} paint is listed in our catalogue") for i in range(40)]
+    loose = [" ".join("".join(chr(97 + x) for x in draw.integers(0, 26, 8)) for _ in range(7)) for _ in range(400)]
+    rows += [(1000 + i, f"the price of {t}") for i, t in enumerate(loose)]
+    kinds = ["is set by the board", "was never known to us", "has gone up since then", "may fall again next year", "can not be told here", "will rise with each week"]
+    rows += [(2000 + i, f"a report of c{chr(97 + i // 26)}{chr(97 + i % 26)} {kinds[i % 6]}") for i in range(300)]
+    got = {r.doc_id: r.n_dropped for r in line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(40)] == [0] + [1] * 39
+    assert not any(got[1000 + i] for i in range(400))
+    assert [got[2000 + i] for i in range(300)] == [0] * 6 + [1] * 294
+
+
 # the pipeline
 
 
