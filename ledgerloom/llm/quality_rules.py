@@ -5,7 +5,8 @@ Each text gets exact counts (see ``base_counts``) and, of those, the measures in
 is built in one aggregation with partial sketches on the map side. A limit lies
 ``REACH`` spreads from the median; the spread is the distance from the median to the
 quantile ``EDGE`` on the other, clean side, and at least the measure's ``least``. Junk on
-one side thus moves a limit only once it is half of a group. A group of fewer than
+one side thus moves a limit only once it is half of a group. Where median and quantile are both
+0, as for all measures but length in ordinary text, ``least`` alone decides. A group of fewer than
 ``ENOUGH`` texts uses the merged sketch of its language, and a language of fewer the merged
 sketch of all. Documents then meet the limits of their group in a join.
 
