@@ -14,6 +14,7 @@ from ledgerloom.llm import (
     language,
     line_templates,
     packing,
+    periodic_runs,
     quality_model,
     quality_rules,
     simhash,
@@ -94,3 +95,8 @@ def op6_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_recurring_lines(documents(spark, sf_dir))
+
+
+@query
+def op13_scale_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(documents(spark, sf_dir))

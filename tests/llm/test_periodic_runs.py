@@ -1,0 +1,96 @@
+"""Operator 13 against all periods of all stretches, on the smallest tables and on odd rows."""
+
+import hashlib
+from collections import Counter
+from zlib import crc32
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ledgerloom.llm import periodic_runs
+from ledgerloom.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, row long, start string, octave double, words string"
+
+
+def brute_runs(x):
+    """(start, period, end): maximal stretches, by comparing words at each distance."""
+    number = {w: i for i, w in enumerate(dict.fromkeys(x))}
+    x = np.array([number[w] for w in x], np.int32)
+    found = {}
+    for q in range(1, len(x) // 4 + 1):
+        same = np.concatenate([[False], x[:-q] == x[q:], [False]])
+        turns = np.flatnonzero(same[1:] != same[:-1])
+        for start, end in zip(turns[::2].tolist(), turns[1::2].tolist()):
+            if end + q - start >= max(6, 4 * q):
+                found.setdefault((start, end + q), q)
+    return sorted((start, q, end) for (start, end), q in found.items())
+
+
+def brute(doc_id, text):
+    words = [w for w in "".join(" " if c in " \t\n\v\f\r" else c for c in text or "").split(" ") if w]
+    n = len(words)
+    if doc_id is not None and n:
+        h = crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    gone = {i for start, q, end in runs for i in range(start + q, end)}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    lines = "".join(f"{s},{e - s},{q}\n" for s, q, e in runs)
+    best = min(runs, key=lambda r: (-(r[2] - r[0]) / r[1], r[0], r[1]), default=None)
+    head = (None,) * 4 if best is None else (best[0], best[2] - best[0], best[1], 1000 * (best[2] - best[0]) // best[1])
+    return (doc_id, len(runs), *head, sha(lines), sha(" ".join(w for i, w in enumerate(words) if i not in gone)))
+
+
+def in_tiles(x, stretch, monkeypatch):
+    """The runs of x by tiles, stitched as the query does."""
+    monkeypatch.setattr(periodic_runs, "STRETCH", stretch)
+    ids = np.array([*x, -1], np.int64)
+    fragments = []
+    for _, octave, first, row, words in periodic_runs.stretches(ids, np.array([0, len(ids)]), len(x)):
+        for b in row:
+            fragments += [(q, first + s, first + e) for q, s, e in periodic_runs.solve(words.tolist(), b, octave)]
+    return sorted((s, q, e) for q, s, e in periodic_runs.merged(fragments) if e - s >= max(6, 4 * q))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 1), max_size=120), st.lists(st.integers(0, 2), min_size=1, max_size=9), st.integers(2, 30), st.sampled_from([1, 7, 1 << 15]))
+def test_tiles_find_every_run(noise, unit, times, stretch):
+    with pytest.MonkeyPatch.context() as patch:
+        for x in (noise, noise + unit * times, unit * times + noise, noise[:40] + unit * times + noise[40:] + unit * 5):
+            assert in_tiles(x, stretch, patch) == brute_runs(x)
+
+
+def test_query_against_brute_force(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    got = [tuple(r) for r in QUERIES["op13_scale_tiles"](spark, SF).collect()]
+    assert sorted(got) == sorted(brute(*r) for r in rows)
+    assert sum(r[1] > 0 for r in got) > 5
+
+
+def test_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(periodic_runs, "STRETCH", 64)
+    texts = [None, "", " \t\n ", "a", "a " * 6, "a " * 5, "x y " * 4, "x y x y x y x z", "ü b ü b ü b ü b ü b",
+             "same same  same\nsame same\tsame end", "p q r " * 700 + "o " + "p q r " * 4, "a a a a a a b " * 9]
+    texts.append(" ".join(f"w{i % 977}" for i in range(9000)))
+    rows = [(i, t, None, 1, "s", 0.5, "w") for i, t in enumerate(texts)]
+    rows += [(None, texts[4], "en", 2, None, None, None), (None, None, None, None, None, None, None), rows[4], rows[4]]
+    rows += [(i, texts[-1], "en", 1, "s", 0.5, "w") for i in range(100, 130)]  # some with a rewritten tail
+    got = periodic_runs.periodic_runs(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(brute(r[0], r[1]) for r in rows)
+    none = periodic_runs.periodic_runs(spark.createDataFrame([], SCHEMA))
+    assert none.columns == got.columns and none.count() == 0
+
+
+def test_squares_of_shorter_periods_are_not_periods():
+    assert periodic_runs.solve([1, 2] * 20, 8, 4) == []
+    assert periodic_runs.solve([1, 2] * 20, 8, 2) == [(2, 4, 20)]
+    assert Counter(periodic_runs._divisors(12)) == Counter([6, 4])
