@@ -13,11 +13,13 @@ from ledgerloom.llm import (
     huffman,
     language,
     line_templates,
+    ngram_trie,
     packing,
     periodic_runs,
     quality_model,
     quality_rules,
     simhash,
+    spelling_variants,
     toxicity,
 )
 from ledgerloom.llm.common import documents, labels
@@ -100,3 +102,13 @@ def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_scale_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(documents(spark, sf_dir))
+
+
+@query
+def op12_variable_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(documents(spark, sf_dir))
+
+
+@query
+def op11_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.lm_scores(documents(spark, sf_dir))
