@@ -79,7 +79,7 @@ def test_query_against_brute_force(spark):
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
     want = brute(rows)
     assert rows_of(QUERIES["op12_variable_grams"](spark, SF)) == want
-    assert sum(r[1] is not None for r in want) > 20 and sum(r[4] for r in want) > 100
+    assert sum(r[1] is not None for r in want) > 5 and sum(r[4] for r in want) > 100
 
 
 def test_every_dictionary_and_dealt_lists(spark):
