@@ -3,10 +3,11 @@
 A run is a stretch of words with smallest period q, at least max(6, 4 q) words long, that
 no neighbouring word extends. Periods are looked for by octaves, L <= q < 2 L for L a
 power of two. A boundary lies before every 2 L-th word. A run has a boundary with two
-periods or more behind it, so that the square ``x[b:b+2q]`` is in the run; it is found by
+periods or more behind it, so that the square ``x[b:b+2q]`` is in the run, and half of what
+is left of the run's least length lies on one side of the square. Both are looked for by
 hashes of L words, for all boundaries of an octave at once.
 
-A boundary with a square makes a tile, the words from 2 L before it to 6 L behind it.
+A boundary with such a square makes a tile, the words from 2 L before it to 6 L behind it.
 Tiles of neighbouring boundaries overlap, and are exploded as stretches of at most
 ``STRETCH`` words (or one tile), each a row of its own. Every tile is solved alone: the
 Z-function of the words behind the boundary says how far each period goes on, that of the
@@ -114,15 +115,26 @@ def boundaries(ids: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]
     hashes ^= hashes >> np.uint64(29)
     power, octave = _BASE, 1
     while POWER * octave <= longest:
-        rows = -(-len(hashes) // (2 * octave)) + 2
+        rows = -(-len(hashes) // (2 * octave)) + 4
         # what lies beyond the words equals nothing: every value there is another one
         padded = np.arange(rows * 2 * octave, dtype=np.uint64)
         padded[: len(hashes)] = hashes
         table = padded.reshape(rows, 2 * octave)
-        b, q = np.nonzero(table[:-2, octave:] == table[:-2, :1])
+        b, q = np.nonzero(table[:-4, octave:] == table[:-4, :1])
         q += octave
-        square = padded[2 * octave * b + q - octave] == padded[2 * octave * b + 2 * q - octave]
-        found = np.unique(b[square]) * 2 * octave
+        b *= 2 * octave
+
+        def repeats(at: np.ndarray, q: np.ndarray, n: np.ndarray, octave: int = octave, x: np.ndarray = padded) -> np.ndarray:
+            """Whether L <= n <= 2 L words from ``at`` on come again after q words."""
+            last = at + n - octave
+            return (x[at] == x[at + q]) & (x[last] == x[last + q])
+
+        square = repeats(b, q, q)
+        b, q = b[square], q[square]
+        more = np.maximum(LEAST, POWER * q) // 2 - q
+        onwards = repeats(b + q, q, more)
+        before = (b >= more) & repeats(np.maximum(b - more, 0), q, more)
+        found = np.unique(b[onwards | before])
         if len(found):
             yield octave, found
         hashes = hashes[:-octave] * np.uint64(power) + hashes[octave:]
