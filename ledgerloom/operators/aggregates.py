@@ -6,11 +6,13 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.scalars import salt
 from ledgerloom.operators.joins import (
     BROADCAST_BYTES,
     HOT_ROWS,
+    fits_broadcast,
     hot_groups,
     hot_keys,
     join_group_values,
@@ -25,6 +27,10 @@ from ledgerloom.sources.workdir import checkpointed
 HOT_WINDOW_SHARE = 0.0
 # Order values in a piece of a bucket that is hot itself.
 PIECE_ROWS = HOT_ROWS
+# Rows of a hot key that borders from a sketch put in one bucket, and the most borders of a
+# key. A key of more rows has larger buckets; the windows sort those on disk.
+BUCKET_ROWS = HOT_ROWS // 2
+MOST_BUCKETS = 4096
 
 
 def salted_sum_count(
@@ -72,12 +78,55 @@ def _split(
     return split_hot(df, hot, keys, null_safe=True, broadcast=size <= BROADCAST_BYTES)
 
 
+def _scale(df: DataFrame, order: str) -> Column:
+    """A number or time that never falls where ``order`` grows, for a quantile sketch."""
+    kind, column = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return column
+    if isinstance(kind, T.BooleanType):
+        return column.cast("int")
+    if isinstance(kind, T.StringType):  # the first 7 bytes as one number
+        first = F.rpad(F.hex(F.substring(F.encode(column, "utf-8"), 1, 7)), 14, "0")
+        return F.when(column.isNotNull(), F.conv(first, 16, 10).cast("bigint"))
+    raise TypeError(f"{order} of type {kind.simpleString()} needs a bucket")
+
+
+def quantile_bucket(df: DataFrame, key: str, order: str, rows: int) -> DataFrame:
+    """``df`` with _bucket: it grows with ``order`` and has about ``rows`` rows of a key,
+    unless more rows tie.
+
+    Every task makes a sketch of quantiles of its rows of each key; merged, they give a
+    key's borders, as many as its rows call for. A row finds its bucket by halving.
+    """
+    scaled = df.select(key, _scale(df, order).alias("_scale"))
+    sizes = scaled.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    most = min(MOST_BUCKETS, ceil(largest / rows))
+    if most <= 1:
+        return df.withColumn("_bucket", F.when(F.col(order).isNotNull(), 0).otherwise(-1))
+    shares = F.array(*[F.lit(i / most) for i in range(1, most)])
+    own = F.least(F.ceil(F.count(F.lit(1)) / rows), F.lit(most)).cast("int")
+    found = scaled.groupBy(key).agg(F.percentile_approx("_scale", shares, 20 * most).alias("_all"), own.alias("_own"))
+    # of the borders of the largest key, every so many
+    some = F.transform(F.sequence(F.lit(1), F.col("_own") - 1), lambda i: F.get("_all", F.floor(i * most / F.col("_own")).cast("int") - 1))
+    borders = checkpointed(found.select(key, F.when(F.col("_own") > 1, some).alias("_borders")))
+    side = F.broadcast(borders) if fits_broadcast(borders) else borders
+    joined = left_join(df.withColumn("_scale", _scale(df, order)), side, [key], null_safe=True)
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get("_borders", at + step - 1) < F.col("_scale"), at + step).otherwise(at)
+
+    bucket = F.when(F.col("_scale").isNull(), -1).otherwise(F.aggregate(halves, F.lit(0), further))
+    return joined.withColumn("_bucket", bucket).select(*df.columns, "_bucket")
+
+
 def _over_buckets(
-    df: DataFrame, key: str, order: str, step: Column, bucket: Column, hot_share: float, hot_rows: int
+    df: DataFrame, key: str, order: str, step: Column, bucket: Column | None, hot_share: float, hot_rows: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """Cuts the rows of hot keys into pieces that a task can order.
 
-    ``bucket`` must grow with ``order``. Returns rows to be ordered inside (key,
+    ``bucket`` must grow with ``order``; without one it is between quantiles. Returns rows to be ordered inside (key,
     _bucket), and rows of the few (key, _bucket) that are too large for that, or
     None if there are none.
 
@@ -85,7 +134,11 @@ def _over_buckets(
     before the others and brings what earlier buckets add up to as _offset, so that
     no join is needed. The second part has the same as columns of its rows.
     """
-    rows = df.withColumn("_bucket", bucket).withColumn("_step", step)
+    if bucket is None:
+        df = quantile_bucket(df, key, order, BUCKET_ROWS)
+    else:
+        df = df.withColumn("_bucket", bucket)
+    rows = df.withColumn("_step", step)
     earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = checkpointed(
         rows.groupBy(key, "_bucket")
@@ -144,16 +197,17 @@ def running_total(
     key: str,
     order: str,
     value: str,
-    bucket: Column,
+    bucket: Column | None = None,
     name: str = "RunningTotal",
     hot_share: float = HOT_WINDOW_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY order)``: rows that tie share one total.
 
-    The plain window unless there are hot keys. Their rows are summed in pieces: by
-    ``bucket``, which must grow with ``order`` (the day of a timestamp, say), and in
-    a bucket that is hot itself by order value. No task sorts all rows of a hot key.
+    The plain window unless there are hot keys. Their rows are summed in pieces: between
+    quantiles of ``order``, or by ``bucket`` if one is given, which must grow with ``order``
+    (the day of a timestamp, say); in a bucket that is hot itself by order value. No task
+    sorts all rows of a hot key.
     """
     hot_part, plain_part = _split_hot_keys(df, key, hot_share, hot_rows)
     whole = Window.partitionBy(key).orderBy(order)
@@ -183,7 +237,7 @@ def percent_rank(
     df: DataFrame,
     key: str,
     order: str,
-    bucket: Column,
+    bucket: Column | None = None,
     name: str = "percent_rank",
     hot_share: float = HOT_WINDOW_SHARE,
     hot_rows: int = HOT_ROWS,

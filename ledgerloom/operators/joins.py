@@ -7,6 +7,7 @@ the data needs.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +24,61 @@ HOT_SHARE = 0.0001
 HOT_ROWS = 1_000_000
 
 
+# The smallest share that a sketch of frequent keys answers for; it then tracks 800,000 keys.
+SKETCH_SHARE = 0.00001
+# Keys tracked for each key that can have the share. The sketch is wrong by at most 2.7 in
+# ``TRACKED`` of the share, and lists every key of more than twice that.
+TRACKED = 8
+
+
 def hot_keys(df: DataFrame, keys: list[str], share: float, rows: int = 0) -> DataFrame:
     """Keys with more than ``share`` of all rows and more than ``rows`` rows, with
     their count and share.
 
-    The count is combined on the map side and at most ``1 / share`` rows come out.
+    A sketch of frequent keys comes first, made by every task of its own rows and merged.
+    Only the rows of the at most ``2 / share`` keys that it names are counted, so that no
+    other key is shuffled; the counts are exact. Below ``SKETCH_SHARE`` all keys are counted.
     """
-    return hot_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "n", share, rows)
+    least = share
+    if rows and share < SKETCH_SHARE:
+        least = max(share, rows / max(1, df.count()))
+    if least >= 1:  # not even a key with all rows
+        return _counted(df.filter(F.lit(False)), keys, 1, share, rows)
+    if least < SKETCH_SHARE:
+        return hot_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "n", share, rows)
+    names, total = frequent_hashes(df, keys, least)
+    return _counted(df.filter(_key_hash(keys).isin(names)), keys, total, share, rows)
+
+
+def _key_hash(keys: list[str]) -> Column:
+    """Keys of one hash are counted apart afterwards, so a collision costs nothing."""
+    return F.xxhash64(*keys)
+
+
+def _counted(df: DataFrame, keys: list[str], total: int, share: float, rows: int) -> DataFrame:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("share", F.col("n") / F.lit(total))
+    return counts.filter((F.col("share") > share) & (F.col("n") > rows))
+
+
+def frequent_hashes(df: DataFrame, keys: list[str], share: float) -> tuple[list[int], int]:
+    """Hashes of keys, among them all with more than ``share`` of the rows, and the number
+    of rows. A sketch has a bounded size, tasks' sketches are merged in two steps."""
+    tracked = min(1_000_000, ceil(TRACKED / share))
+    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashes = df.select(_key_hash(keys).alias("_key"))
+    parts = hashes.groupBy((F.spark_partition_id() % groups).alias("_part")).agg(
+        F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    merged = parts.groupBy(F.lit(0).alias("_all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n")
+    )
+    most = min(tracked, ceil(2 / share))
+    found = merged.select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("keys"), "n").first()
+    if found is None:
+        return [], 0
+    # an estimate is never below the count
+    return [k["item"] for k in found["keys"] if k["count"] > share * found["n"]], found["n"]
 
 
 def hot_groups(groups: DataFrame, count: str, share: float, rows: int = 0) -> DataFrame:

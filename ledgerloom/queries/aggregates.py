@@ -211,7 +211,7 @@ def agg_by_key_day(t: Tables) -> DataFrame:
 )
 def win_running_total(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "ts", F.col("value").cast("decimal(18,2)").alias("value"))
-    totals = running_total(rows, "user_id", "ts", "value", bucket=F.to_date("ts"))
+    totals = running_total(rows, "user_id", "ts", "value")
     return totals.select("event_id", "user_id", F.col("RunningTotal").cast("decimal(38,2)"))
 
 
@@ -221,10 +221,9 @@ def win_running_total(t: Tables) -> DataFrame:
     percent_rank() OVER (PARTITION BY CURRENCY ORDER BY MILLI NULLS FIRST) AS percent_rank FROM postings""",
 )
 def win_percent_rank(t: Tables) -> DataFrame:
-    # Three keys hold everything; buckets of 1000 currency units split them.
+    # Three keys hold everything.
     rows = t.postings().select("l_orderkey", "l_linenumber", "CURRENCY", "MILLI")
-    ranked = percent_rank(rows, "CURRENCY", "MILLI", bucket=F.floor(F.col("MILLI") / 1_000_000))
-    return ranked.drop("MILLI")
+    return percent_rank(rows, "CURRENCY", "MILLI").drop("MILLI")
 
 
 @query(

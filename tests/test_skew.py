@@ -75,13 +75,13 @@ def test_join_back_summary(rows, hot):
     assert collected(mine) == collected(plain)
 
 
-BUCKETS = ["floor(o / 50)", "o", "1"]
+BUCKETS = ["floor(o / 50)", "o", "1", None]
 
 
 @pytest.mark.parametrize("hot", HOT)
 @pytest.mark.parametrize("bucket", BUCKETS)
 def test_running_total(rows, bucket, hot):
-    mine = running_total(rows, "k", "o", "v", F.expr(bucket), **hot)
+    mine = running_total(rows, "k", "o", "v", bucket and F.expr(bucket), **hot)
     plain = rows.withColumn("RunningTotal", F.sum("v").over(Window.partitionBy("k").orderBy("o")))
     assert collected(mine) == collected(plain)
 
@@ -89,7 +89,7 @@ def test_running_total(rows, bucket, hot):
 @pytest.mark.parametrize("hot", HOT)
 @pytest.mark.parametrize("bucket", BUCKETS)
 def test_percent_rank(rows, bucket, hot):
-    mine = percent_rank(rows, "k", "o", F.expr(bucket), **hot)
+    mine = percent_rank(rows, "k", "o", bucket and F.expr(bucket), **hot)
     plain = rows.withColumn("percent_rank", F.percent_rank().over(Window.partitionBy("k").orderBy("o")))
     assert collected(mine) == collected(plain)
 
@@ -148,3 +148,51 @@ def test_no_rows(spark, rows):
     assert join_back_summary(none, ["k"], [F.sum("v").alias("s")]).isEmpty()
     assert joins.join_unique(none, none.select("k"), ["k"], "full", max_broadcast_rows=-1).isEmpty()
     assert joins.hot_keys(none, ["k"], 0.1).isEmpty()
+
+
+def test_sketch_names_every_hot_key(spark, monkeypatch):
+    """Shares around the limit, among very many keys, over several columns and NULL."""
+    n = F.col("id")
+    key = F.when(n % 10 == 0, None).when(n % 1000 < 40, n % 1000).otherwise(n)
+    rows = spark.range(0, 200_000, 1, 12).select(key.alias("a"), F.when(n % 3 > 0, (n % 2).cast("string")).alias("b"))
+    exact = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n") / 200_000)
+    for share, least in [(0.0003, 0), (0.00033, 0), (0.05, 0), (0.0001, 70), (0.0, 66), (0.0, 300_000), (0.0, 1)]:
+        mine = joins.hot_keys(rows, ["a", "b"], share, least)
+        assert collected(mine) == collected(exact.filter((F.col("share") > share) & (F.col("n") > least))), (share, least)
+
+
+def test_hot_keys_shuffle_no_other_key(spark, capsys):
+    rows = spark.range(0, 100_000, 1, 4).select(F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id")).alias("k"))
+    names, total = joins.frequent_hashes(rows, ["k"], 0.01)
+    assert len(names) == 1 and total == 100_000
+    hot = joins.hot_keys(rows, ["k"], 0.01)
+    hot.explain("formatted")
+    text = capsys.readouterr().out
+    assert text.index("partial_count") and "xxhash64(k" in text
+    assert [(r.k, r.n) for r in hot.collect()] == [(-1, 25_000)]
+
+
+@pytest.mark.parametrize("order", ["o", "cast(o as decimal(9,2))", "cast(o as double)", "cast(o as string)", "o % 2 = 0",
+                                   "timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, 0, o)", "date_add(date'2025-01-01', o)"])
+def test_windows_between_quantiles(rows, monkeypatch, order):
+    monkeypatch.setattr(aggregates, "BUCKET_ROWS", 150)
+    typed = rows.withColumn("o", F.expr(order.replace("o)", "cast(o as int))") if "date" in order or "time" in order else order))
+    whole = Window.partitionBy("k").orderBy("o")
+    mine = running_total(typed, "k", "o", "v", hot_rows=200)
+    assert collected(mine) == collected(typed.withColumn("RunningTotal", F.sum("v").over(whole)))
+    mine = percent_rank(typed, "k", "o", hot_rows=200)
+    assert collected(mine) == collected(typed.withColumn("percent_rank", F.percent_rank().over(whole)))
+
+
+def test_buckets_of_one_day_are_even(spark):
+    """One hot key, all of one day: no bucket has twice the mean."""
+    second = F.expr("timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(pow(id / 1e5, 3) * 80000 as decimal(18,6)))")
+    rows = spark.range(0, 100_000, 1, 6).select(F.lit("hot").alias("k"), second.alias("o"))
+    rows = rows.union(rows.limit(300).withColumn("k", F.lit("other")))
+    sizes = aggregates.quantile_bucket(rows, "k", "o", 1000).groupBy("k", "_bucket").count().collect()
+    hot = [r["count"] for r in sizes if r.k == "hot"]
+    assert 90 < len(hot) <= 101 and max(hot) < 2 * sum(hot) / len(hot)
+    assert sum(r.k == "other" for r in sizes) == 1
+    grown = aggregates.quantile_bucket(rows, "k", "o", 1000).groupBy("k", "_bucket").agg(F.min("o").alias("a"), F.max("o").alias("b"))
+    ends = [x for r in grown.orderBy("k", "_bucket").collect() if r.k == "hot" for x in (r.a, r.b)]
+    assert ends == sorted(ends)
