@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.types import LEDGER_KEYS
-from ledgerloom.operators.joins import join_group_values, lookup_join, with_exists_flag
+from ledgerloom.operators.joins import (
+    BROADCAST_ROWS,
+    fits_broadcast,
+    join_group_values,
+    left_join,
+    lookup_join,
+    with_exists_flag,
+)
+from ledgerloom.sources.workdir import checkpointed
 
 # Accounts that stand in for unknown ones.
 UNKNOWN_MEMO = "5000000000"
@@ -114,74 +124,81 @@ def head_fallback() -> Column:
 # --- HEAD by a rule table --------------------------------------------------
 
 UNCLASSIFIED = "UNCLASSIFIED"
-# More rules than this are joined instead of compiled into one CASE expression.
-CASE_RULES = 200
+_GROUP = ["_branch", "_currency"]
 
 
-def head_by_rules(df: DataFrame, rules: DataFrame, max_case_rules: int = CASE_RULES) -> DataFrame:
+def _form(value: Column) -> Column:
+    """'' for any; a present value gets a '=' in front."""
+    return F.coalesce(F.concat(F.lit("="), value), F.lit(""))
+
+
+def rule_trie(rules: DataFrame) -> DataFrame:
+    """The rule table as one prefix trie for each (branch or any, currency or any).
+
+    ``nodes`` are a trie's prefixes in order, each with its path: the prefixes from the
+    root on that have a rule, by their length and with the rule that wins among equals.
+    """
+    best = rules.groupBy(
+        _form(F.col("branch_code")).alias("_branch"),
+        _form(F.col("currency")).alias("_currency"),
+        _form(F.col("cgl_prefix")).alias("_prefix"),
+    ).agg(F.min(F.struct("priority", "head_category")).alias("rule"))
+    above = best.select(
+        *_GROUP,
+        "_prefix",
+        F.explode(F.transform(F.sequence(F.lit(0), F.length("_prefix")), lambda n: F.col("_prefix").substr(F.lit(1), n))).alias("_at"),
+    )
+    at = best.select(*_GROUP, F.col("_prefix").alias("_at"), "rule")
+    step = F.struct(F.length("_at").alias("length"), "rule")
+    nodes = above.join(at, [*_GROUP, "_at"]).groupBy(*_GROUP, "_prefix").agg(F.sort_array(F.collect_list(step)).alias("path"))
+    return nodes.groupBy(*_GROUP).agg(F.sort_array(F.collect_list(F.struct(F.col("_prefix").alias("prefix"), "path"))).alias("nodes"))
+
+
+def _walk(code: Column) -> Column:
+    """The rule that wins on the path of ``code`` in the trie ``nodes``: the node before
+    ``code`` is found by halving; the nodes above it that ``code`` passes are on its path."""
+    nodes = F.col("nodes")
+    halves = F.filter(F.array(*[F.lit(1 << i) for i in range(29, -1, -1)]), lambda half: half <= F.size(nodes))
+
+    def further(at: Column, half: Column) -> Column:
+        return F.when(F.get(nodes, at + half - 1)["prefix"] <= code, at + half).otherwise(at)
+
+    node = F.get(nodes, F.aggregate(halves, F.lit(0), further) - 1)
+    passed = F.filter(node["path"], lambda step: code.substr(F.lit(1), step["length"]) == node["prefix"].substr(F.lit(1), step["length"]))
+    return F.array_min(F.transform(passed, lambda step: step["rule"]))
+
+
+def head_by_rules(df: DataFrame, rules: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Adds HEAD from a table (priority, branch_code, cgl_prefix, currency,
     head_category); a NULL rule field matches anything, the lowest priority wins
     (then the lowest head_category; NULL comes first), and no match as well as a NULL
     head_category gives UNCLASSIFIED. Never adds rows.
 
-    A short rule table becomes a CASE expression: no join, no shuffle.
+    A row walks four tries, of its branch or any with its currency or any. A measured trie
+    that fits is broadcast, so that rows are not shuffled; of a larger one the distinct keys are
+    joined with it by branch and currency.
     """
-    order = ["priority", "head_category"]
-    some = rules.orderBy(*order).limit(max_case_rules + 1).collect()
-    if len(some) > max_case_rules:
-        return _head_by_rule_join(df, rules)
-
-    compiled = []
-    for rule in some:
-        conditions = []
-        if rule.branch_code is not None:
-            conditions.append(F.col("BRANCH_CODE") == rule.branch_code)
-        if rule.cgl_prefix is not None:
-            conditions.append(F.col("CGL").startswith(rule.cgl_prefix))
-        if rule.currency is not None:
-            conditions.append(F.col("CURRENCY") == rule.currency)
-        head = UNCLASSIFIED if rule.head_category is None else rule.head_category
-        compiled.append((conditions, head))
-    return df.withColumn("HEAD", _first_match(compiled, F.lit(UNCLASSIFIED)))
-
-
-def _head_by_rule_join(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same for a rule table of any size, as equi joins.
-
-    Works on the distinct keys. Each key looks up every wildcard form of itself
-    (branch or any, currency or any, prefix or any, of the lengths that the rules'
-    prefixes have), so the join has an equality and is never rows times rules.
-    """
-
-    def form(value: Column) -> Column:
-        """'*' for any; a present value gets a '=' in front."""
-        return F.coalesce(F.concat(F.lit("="), value), F.lit("*"))
+    trie = checkpointed(rule_trie(rules))
+    size = trie.agg(F.sum(F.size("nodes"))).first()[0] or 0
+    if size <= max_broadcast_rows and fits_broadcast(trie):
+        return _walked(df, lambda rows: left_join(rows, F.broadcast(trie), _GROUP))
+    keys = df.groupBy(*LEDGER_KEYS).agg(F.count(F.lit(1)).alias("_rows"))
+    # All keys share the tries of any branch, so these are hot; lookup_join splits them.
+    heads = _walked(keys, lambda rows: lookup_join(rows, trie, _GROUP, max_broadcast_rows=-1))
+    return join_group_values(df, heads, LEDGER_KEYS, "_rows", null_safe=True)
 
-    def forms(value: Column) -> Column:
-        return F.explode(F.array_distinct(F.array(F.lit("*"), form(value))))
 
-    fields = ["_branch", "_currency", "_prefix"]
-    best = rules.groupBy(
-        form(F.col("branch_code")).alias("_branch"),
-        form(F.col("currency")).alias("_currency"),
-        form(F.col("cgl_prefix")).alias("_prefix"),
-    ).agg(F.min(F.struct("priority", "head_category")).alias("_rule"))
-    lengths = rules.select(F.length("cgl_prefix").alias("n")).distinct().filter("n IS NOT NULL")
-    prefixes = [
-        F.when(F.length("CGL") >= r.n, form(F.substring("CGL", 1, r.n))) for r in lengths.orderBy("n").collect()
-    ]
-    candidates = (
-        df.groupBy(*LEDGER_KEYS)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_branch", forms(F.col("BRANCH_CODE")))
-        .withColumn("_currency", forms(F.col("CURRENCY")))
-        .withColumn("_prefix", F.explode(F.array_compact(F.array(F.lit("*"), *prefixes))))
-    )
-    # All keys share some forms, so these are hot; lookup_join splits them.
-    heads = (
-        lookup_join(candidates, best, fields)
-        .groupBy(*LEDGER_KEYS)
-        .agg(F.min("_rule").getField("head_category").alias("HEAD"), F.max("_rows").alias("_rows"))
-        .withColumn("HEAD", F.coalesce("HEAD", F.lit(UNCLASSIFIED)))
-    )
-    return join_group_values(df, heads, LEDGER_KEYS, "_rows", null_safe=True)
+def _walked(df: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def forms(name: str) -> tuple[Column, Column]:
+        """The value's own form and that of any value, as an expression of the row: a join
+        by a constant would not be one by equality."""
+        form = _form(F.col(name))
+        return form, F.left(form, F.lit(0))
+
+    found, rows = [], df
+    for branch, currency in product(forms("BRANCH_CODE"), forms("CURRENCY")):
+        rows = join(rows.withColumn("_branch", branch).withColumn("_currency", currency))
+        found.append(f"_rule{len(found)}")
+        rows = rows.withColumn(found[-1], _walk(_form(F.col("CGL")))).drop("nodes", *_GROUP)
+    best = F.array_min(F.array(*found)).getField("head_category")
+    return rows.withColumn("HEAD", F.coalesce(best, F.lit(UNCLASSIFIED))).drop(*found)

@@ -382,8 +382,8 @@ def head_by_rules_query(t: Tables) -> DataFrame:
 
 @query("head_by_rules_joined", f"{_KEYS_SQL}, {_RULES_SQL} {_ruled_sql('keys')}")
 def head_by_rules_joined(t: Tables) -> DataFrame:
-    """The way taken when there are too many rules for one expression."""
-    return head_by_rules(_keys(t), t.spark.createDataFrame(RULES, RULES_SCHEMA), max_case_rules=0)
+    """The way taken when the tries are too large for a broadcast."""
+    return head_by_rules(_keys(t), t.spark.createDataFrame(RULES, RULES_SCHEMA), max_broadcast_rows=0)
 
 
 # --- jobs ------------------------------------------------------------------

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.accounts import CASE_RULES, head_by_case, head_by_rules, head_fallback
+from ledgerloom.operators.accounts import head_by_case, head_by_rules, head_fallback, rule_trie
 from ledgerloom.queries.ledger import RULES_SCHEMA
 
 KEYS = "BRANCH_CODE string, CURRENCY string, CGL string"
@@ -54,7 +54,7 @@ def test_options(spark):
     assert [r[0] for r in rows.select(head_fallback()).collect()] == ["OTHER", "OTHER"]
 
 
-def test_case_and_join_agree(spark):
+def test_broadcast_and_join_agree(spark):
     pick = random.Random(7)
     maybe = lambda values: pick.choice([None, *values])
     prefixes = ["", "1", "12", "123", "5", "50", "5001234567", "99999999999"]
@@ -68,10 +68,10 @@ def test_case_and_join_agree(spark):
     rows = spark.createDataFrame(keys * 3, KEYS)
     # Without the catch-all rules, so that some keys match nothing.
     table = spark.createDataFrame([r for r in rules if any(r[1:4])], RULES_SCHEMA)
-    by_case = sorted(map(str, head_by_rules(rows, table).collect()))
-    by_join = sorted(map(str, head_by_rules(rows, table, max_case_rules=0).collect()))
-    assert by_case == by_join
-    assert len(by_case) == len(keys) * 3
+    by_broadcast = sorted(map(str, head_by_rules(rows, table).collect()))
+    by_join = sorted(map(str, head_by_rules(rows, table, max_broadcast_rows=0).collect()))
+    assert by_broadcast == by_join
+    assert len(by_broadcast) == len(keys) * 3
 
     def expected(branch, currency, cgl):
         fits = [
@@ -108,7 +108,7 @@ def test_rule_table_gives_the_ordered_rules(spark):
     assert both.filter(F.col("HEAD") != F.col("case")).isEmpty()
 
 
-@pytest.mark.parametrize("n", [CASE_RULES, CASE_RULES + 1])
+@pytest.mark.parametrize("n", [1, 2, 200, 1201])
 def test_many_rules(spark, n):
     # One prefix per rule, and a last rule that takes the rest.
     rules = [(i, None, f"{i:04d}", None, f"H{i}") for i in range(n - 1)] + [(n, "B", None, None, "REST")]
@@ -122,3 +122,21 @@ def test_many_rules(spark, n):
     assert {r.id: r.HEAD for r in result.collect()} == {
         i: f"H{i}" if i < n - 1 else "REST" for i in range(n + 50)
     }
+
+
+def test_trie_of_the_rules(spark):
+    rules = [(5, None, "12", None, "A"), (3, None, "1204", None, "B"), (9, None, "1204", None, "C"), (7, None, None, None, "D"),
+             (1, None, "13", None, "E"), (2, "X", "", "INR", "F")]
+    tries = {(r._branch, r._currency): r.nodes for r in rule_trie(spark.createDataFrame(rules, RULES_SCHEMA)).collect()}
+    assert set(tries) == {("", ""), ("=X", "=INR")}
+    nodes = {n.prefix: [(s.length, s.rule.head_category) for s in n.path] for n in tries["", ""]}
+    assert list(nodes) == ["", "=12", "=1204", "=13"]  # in order, for the search
+    assert nodes["=1204"] == [(0, "D"), (3, "A"), (5, "B")] and nodes["=13"] == [(0, "D"), (3, "E")]
+    codes = ["1204", "12", "1205", "1203", "13", "14", "", "9", None, "12é"]
+    rows = spark.createDataFrame([(b, c, g) for b in ("X", "Y", None) for c in ("INR", None) for g in codes], KEYS)
+    heads = {(r.BRANCH_CODE, r.CURRENCY, r.CGL): r.HEAD for r in head_by_rules(rows, spark.createDataFrame(rules, RULES_SCHEMA)).collect()}
+    want = ["B", "A", "A", "A", "E", "D", "D", "D", "D", "A"]
+    assert [heads["Y", "INR", g] for g in codes] == want and [heads["X", None, g] for g in codes] == want
+    assert [heads["X", "INR", g] for g in codes] == ["F", "F", "F", "F", "E", "F", "F", "F", "D", "F"]
+    none = head_by_rules(rows, spark.createDataFrame([], RULES_SCHEMA))
+    assert none.filter("HEAD <> 'UNCLASSIFIED'").isEmpty() and none.count() == rows.count()
