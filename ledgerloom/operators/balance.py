@@ -76,6 +76,29 @@ def decode_feed(lines: DataFrame, feed: FeedLayout) -> DataFrame:
 # --- totals ----------------------------------------------------------------
 
 
+def totals_and_rejects(lines: DataFrame, layout: GlLayout = GlLayout()) -> DataFrame:
+    """Totals by Id and, for lines whose amount cannot be decoded, by REJECTED, the line
+    itself: sums and rejects in one scan. Equal rejects are combined before a shuffle."""
+    line, amount = F.col("value"), F.col("Amount")
+    decoded = _amount_fields(lines, layout).select("value", "Id", _amount(layout).alias("Amount"))
+    sides = decoded.select(
+        "Id",
+        F.when(amount.isNull(), line).alias("REJECTED"),
+        debit_of(amount).alias("DEBIT_AMOUNT"),
+        credit_of(amount).alias("CREDIT_AMOUNT"),
+    )
+    return sides.groupBy("Id", "REJECTED").agg(
+        _total("DEBIT_AMOUNT"), _total("CREDIT_AMOUNT"), F.count(F.lit(1)).alias("TRANSACTION_COUNT")
+    )
+
+
+def totals_by_id(parts: DataFrame) -> DataFrame:
+    """One row per Id from `totals_and_rejects`."""
+    return parts.groupBy("Id").agg(
+        _total("DEBIT_AMOUNT"), _total("CREDIT_AMOUNT"), F.sum("TRANSACTION_COUNT").alias("TRANSACTION_COUNT")
+    )
+
+
 def _total(name: str, alias: str | None = None) -> Column:
     return F.sum(name).cast(TOTAL).alias(alias or name)
 
@@ -218,10 +241,10 @@ def net_check(totals: DataFrame) -> DataFrame:
 # --- balances --------------------------------------------------------------
 
 
-def balance_delta(txns: DataFrame) -> DataFrame:
-    """BALANCE per branch, currency and account: debits plus (negative) credits."""
+def balance_delta(txns: DataFrame, *by: str) -> DataFrame:
+    """BALANCE per branch, currency and account, and ``by``: debits plus (negative) credits."""
     side = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    return txns.groupBy(*LEDGER_KEYS).agg(
+    return txns.groupBy(*LEDGER_KEYS, *by).agg(
         (side("DEBIT_AMOUNT") + side("CREDIT_AMOUNT")).cast(TOTAL).alias("BALANCE")
     )
 
@@ -270,3 +293,26 @@ def balance_history(deltas: DataFrame) -> DataFrame:
     daily = deltas.groupBy(*LEDGER_KEYS, "BALANCE_DATE").agg(_total("BALANCE"))
     so_far = Window.partitionBy(*LEDGER_KEYS).orderBy("BALANCE_DATE")
     return daily.withColumn("BALANCE", F.sum("BALANCE").over(so_far).cast(TOTAL))
+
+
+def closing_balances(previous: DataFrame | None, deltas: DataFrame, days: list[str]) -> DataFrame:
+    """Closing balances of each of ``days`` at once, as `roll_forward` gives them day by day.
+
+    ``previous`` are those before the first day, ``deltas`` the changes by BALANCE_DATE. A
+    balance holds from a day with a posting to the next one, so a window has a row per
+    posting day, and each is repeated for the days that it holds.
+    """
+    columns = [*LEDGER_KEYS, "BALANCE_DATE", "BALANCE"]
+    dates = F.array(*[F.lit(d).cast("date") for d in sorted(days)])
+    rows = deltas.select(*columns)
+    if previous is not None:
+        rows = rows.unionByName(previous.withColumn("BALANCE_DATE", F.lit(min(days)).cast("date")).select(*columns))
+    order = Window.partitionBy(*LEDGER_KEYS).orderBy("BALANCE_DATE")
+    held = rows.groupBy(*LEDGER_KEYS, "BALANCE_DATE").agg(F.sum("BALANCE").alias("BALANCE")).select(
+        *LEDGER_KEYS,
+        F.col("BALANCE_DATE").alias("_from"),
+        F.lead("BALANCE_DATE").over(order).alias("_to"),
+        F.sum("BALANCE").over(order).cast(TOTAL).alias("BALANCE"),
+    )
+    holds = F.filter(dates, lambda d: (d >= F.col("_from")) & (F.col("_to").isNull() | (d < F.col("_to"))))
+    return held.select(*LEDGER_KEYS, "BALANCE", F.explode(holds).alias("BALANCE_DATE"))

@@ -2,11 +2,19 @@
 
 A database table has no partition to replace, so a job refuses to add a batch or a
 day that is already there.
+
+The ledger job appends to two tables, which no transaction spans. A table of batches has a
+row for each state that a batch reached: STARTED, POSTED when all its transactions are
+there, BALANCED when its balances are too. A run that died is repeated with the same input:
+it appends the rows that are still missing, whatever part of them was there, and goes on.
+Rows in the database that the input does not give are an error. A batch that is POSTED gets
+its balances from its transactions in the database, and the input is not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +37,11 @@ class TableNames(NamedTuple):
     master: str = "cgl_master"
     differences: str = "DIFFERENCE"
     rules: str = "cgl_head_mapping"
+    batches: str = "GL_BATCH"
+
+
+STARTED, POSTED, BALANCED = "STARTED", "POSTED", "BALANCED"
+BATCH_SCHEMA = "BATCH_ID string, POST_DAY date, STATE string"
 
 
 #: By table name, how to read a table in several tasks; without one it is a single task.
@@ -53,6 +66,35 @@ def _previous(table: DataFrame, day: str | None) -> DataFrame | None:
     return balances
 
 
+def _mark(spark: SparkSession, db: jdbc.Database, names: TableNames, batch: str, day: str, state: str) -> None:
+    row = spark.createDataFrame([(batch, date.fromisoformat(day), state)], BATCH_SCHEMA)
+    jdbc.append(row, db, names.batches)
+
+
+def _states(batches: DataFrame, batch: str, day: str) -> set[str]:
+    """The states that the batch has reached; another batch of the day is an error."""
+    of_day = F.col("BATCH_ID").eqNullSafe(batch) | on_day(F.col("POST_DAY"), day)
+    found = batches.filter(of_day).select("BATCH_ID", F.date_format("POST_DAY", "yyyy-MM-dd").alias("day"), "STATE").distinct().collect()
+    for r in found:
+        if r["BATCH_ID"] != batch:
+            raise ValueError(f"batch {r['BATCH_ID']} of {day} is there and {r['STATE']}; balance of {day} is already there or to be finished")
+        if r["day"] != day:
+            raise ValueError(f"batch {batch} is already there, for {r['day']}")
+    return {r["STATE"] for r in found}
+
+
+def append_missing(rows: DataFrame, stored: DataFrame, append: Callable[[DataFrame], None], what: str) -> None:
+    """Appends the rows that are not stored yet; equal rows count as often as they are.
+    ``rows`` must be cheap to read twice."""
+    if stored.isEmpty():
+        return append(rows)
+    kinds = {f.name: f.dataType for f in rows.schema}
+    stored = stored.select(*[F.col(c).cast(kinds[c]).alias(c) for c in rows.columns])
+    if not stored.exceptAll(rows).isEmpty():
+        raise ValueError(f"{what} has rows that this input does not give")
+    append(checkpointed(rows.exceptAll(stored)))
+
+
 def run_gl_day(
     spark: SparkSession,
     db: jdbc.Database,
@@ -65,20 +107,32 @@ def run_gl_day(
     splits: Splits = None,
     **write,
 ) -> None:
-    """Appends the day's transactions and closing balances."""
+    """Appends the day's transactions and closing balances, or what a run that ended
+    early left out of them."""
     read = _reader(spark, db, splits)
     batch = str(jdbc.check_batch_id(batch_id))
-    posted_before = read(names.transactions)
-    _refuse_if_present(posted_before, F.col("BATCH_ID") == batch, f"batch {batch}")
+    states = _states(read(names.batches), batch, day)
+    if BALANCED in states:
+        raise ValueError(f"batch {batch} is already there")
+    own, today = F.col("BATCH_ID") == batch, on_day(F.col("BALANCE_DATE"), day)
     balances = read(names.gl_balance)
-    _refuse_if_present(balances, on_day(F.col("BALANCE_DATE"), day), f"balance of {day}")
+    if not states:
+        _refuse_if_present(read(names.transactions), own, f"batch {batch}")
+    if POSTED not in states:
+        _refuse_if_present(balances, today, f"balance of {day}")
     previous = _previous(balances, previous_day)
-    master = read(names.master)
-    # Computed once for both tables: one scan of the text.
-    transactions = checkpointed(transactions_of(lines, master, day, batch, layout))
-    closing = roll_forward(previous, balance_delta(transactions), day)
-    jdbc.append(transactions, db, names.transactions, **write)
-    jdbc.append(closing, db, names.gl_balance, **write)
+    if POSTED not in states:
+        transactions = checkpointed(transactions_of(lines, read(names.master), day, batch, layout))
+        if not states:
+            _mark(spark, db, names, batch, day, STARTED)
+        stored = read(names.transactions).filter(own)
+        append_missing(transactions, stored, lambda df: jdbc.append(df, db, names.transactions, **write), f"batch {batch}")
+        _mark(spark, db, names, batch, day, POSTED)
+    posted = read(names.transactions).filter(own)
+    closing = checkpointed(roll_forward(previous, balance_delta(posted), day))
+    stored = read(names.gl_balance).filter(today)
+    append_missing(closing, stored, lambda df: jdbc.append(df, db, names.gl_balance, **write), f"balance of {day}")
+    _mark(spark, db, names, batch, day, BALANCED)
 
 
 def run_feeds(
@@ -109,9 +163,13 @@ def run_recon(
     splits: Splits = None,
     **write,
 ) -> None:
+    """Appends the differences of ``recon_date``. A run is known by its RECON_DAY, whenever
+    it was stamped; so are yesterday's differences."""
     read = _reader(spark, db, splits)
     history = read(names.differences)
-    _refuse_if_present(history, on_day(F.col("RECON_RUN_DATE"), recon_date), f"run of {recon_date}")
+    if "RECON_DAY" not in history.columns:
+        raise ValueError(f"{names.differences} needs a column RECON_DAY, the day that was compared")
+    _refuse_if_present(history, on_day(F.col("RECON_DAY"), recon_date), f"run of {recon_date}")
     found = recon_frame(
         read(names.cbs_balance),
         read(names.gl_balance),
@@ -121,4 +179,4 @@ def run_recon(
         run_time,
         read(names.rules) if by_rules else None,
     )
-    jdbc.append(found, db, names.differences, **write)
+    jdbc.append(found.withColumn("RECON_DAY", F.lit(recon_date).cast("date")), db, names.differences, **write)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.fixedwidth import slice_fields
-from ledgerloom.sources.files import write_day, write_parquet
+from ledgerloom.sources.files import write_parquet
 from ledgerloom.sources.layouts import EXPORT_FULL, EXPORT_SHORT
+from ledgerloom.sources.published import write_day
 
 
 def run_full_export(lines: DataFrame, path: str, max_records: int | None = None) -> None:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions.types import FEED_TOTAL
-from ledgerloom.operators.balance import decode_feed, feed_totals, roll_forward
-from ledgerloom.sources.files import write_day
+from ledgerloom.operators.balance import balances_on, decode_feed, feed_totals, roll_forward
 from ledgerloom.sources.layouts import FEEDS
+from ledgerloom.sources.published import read_day, write_day
 
 
 def feed_balance_frame(
@@ -19,11 +19,20 @@ def feed_balance_frame(
     return roll_forward(previous, feed_totals(decoded), day, FEED_TOTAL)
 
 
+def previous_balances(spark: SparkSession, table: str, day: str | None) -> DataFrame | None:
+    """The balances of one published day. None states that there are none before; a
+    stated day without balances is an error."""
+    if day is None:
+        return None
+    found = read_day(spark, table, "BALANCE_DATE", day)
+    if found is None or found.isEmpty():
+        raise ValueError(f"no balances for {day}")
+    return balances_on(found, day)
+
+
 def run_feeds(
-    lines: dict[str, DataFrame], previous: DataFrame | None, table: str, day: str
+    spark: SparkSession, lines: dict[str, DataFrame], table: str, day: str, previous_day: str | None
 ) -> None:
-    """Writes the day's closing balances. ``previous=None`` states that there are none
-    before; an empty frame is an error."""
-    if previous is not None and previous.isEmpty():
-        raise ValueError(f"no balances before {day}")
+    """Publishes the day's closing balances, from those of ``previous_day`` alone."""
+    previous = previous_balances(spark, table, previous_day)
     write_day(feed_balance_frame(lines, previous, day), table, "BALANCE_DATE", day)

@@ -5,20 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.accounts import active_accounts, validate_accounts
 from ledgerloom.operators.balance import (
     aggregate_by_id,
     balance_delta,
-    balances_on,
+    closing_balances,
     decode_lines,
     roll_forward,
     to_gl_transactions,
+    totals_and_rejects,
+    totals_by_id,
 )
-from ledgerloom.sources.files import read_day, write_day
+from ledgerloom.plans.feeds import previous_balances
+from ledgerloom.sources.files import write_parquet
 from ledgerloom.sources.layouts import GlLayout
+from ledgerloom.sources.published import published_days, read_day, read_days, write_day, write_days
+from ledgerloom.sources.workdir import new_folder
 
 
 class GlDay(NamedTuple):
@@ -52,10 +57,59 @@ def gl_day_frames(
 
 
 class GlTables(NamedTuple):
-    """Paths of the two tables, partitioned by POST_DAY and BALANCE_DATE."""
+    """Paths of the tables, published by POST_DAY, BALANCE_DATE and POST_DAY. Rejected
+    lines are kept only where there is a path for them."""
 
     transactions: str
     balances: str
+    rejects: str | None = None
+
+
+def read_totals(
+    spark: SparkSession, lines: DataFrame, layout: GlLayout, most_rejects: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Totals by Id, and rejected lines with how often each was there.
+
+    One scan of the text gives both, and the number of rejects: an amount that cannot be
+    decoded adds nothing to its Id, and the line becomes part of the key. With more than
+    ``most_rejects`` it is an error.
+    """
+    rejected = F.col("REJECTED").isNotNull()
+    counted = Observation()
+    parts = totals_and_rejects(lines, layout).observe(
+        counted, F.sum(F.when(rejected, F.col("TRANSACTION_COUNT"))).alias("rejects")
+    )
+    folder = new_folder(spark, "gl-totals")
+    write_parquet(parts, folder)
+    rejects = counted.get["rejects"] or 0
+    if most_rejects is not None and rejects > most_rejects:
+        raise ValueError(f"{rejects} lines rejected, at most {most_rejects} are allowed")
+    parts = spark.read.schema(parts.schema).parquet(folder)
+    # without rejects there is one row per Id already
+    totals = totals_by_id(parts) if rejects else parts.drop("REJECTED")
+    return totals, parts.filter(rejected).select("Id", F.col("REJECTED").alias("value"), F.col("TRANSACTION_COUNT").alias("LINES"))
+
+
+def _publish_transactions(
+    spark: SparkSession,
+    lines: DataFrame,
+    master: DataFrame,
+    tables: GlTables,
+    day: str,
+    batch_id: str,
+    layout: GlLayout,
+    most_rejects: int | None,
+) -> None:
+    post_day = F.lit(day).cast("date")
+    if tables.rejects is None and most_rejects is None:
+        transactions = transactions_of(lines, master, day, batch_id, layout)
+    else:
+        totals, rejects = read_totals(spark, lines, layout, most_rejects)
+        rows = to_gl_transactions(totals, batch_id, day, layout.key_fields)
+        transactions = validate_accounts(rows, active_accounts(master))
+        if tables.rejects is not None:
+            write_day(rejects.withColumn("POST_DAY", post_day), tables.rejects, "POST_DAY", day)
+    write_day(transactions.withColumn("POST_DAY", post_day), tables.transactions, "POST_DAY", day)
 
 
 def run_gl_day(
@@ -67,33 +121,53 @@ def run_gl_day(
     batch_id: str,
     previous_day: str | None,
     layout: GlLayout = GlLayout(),
+    most_rejects: int | None = None,
 ) -> None:
-    """Writes the day's transactions and closing balances.
+    """Publishes the day's transactions, rejected lines and closing balances.
 
     The text is scanned once: balances are computed from the written transactions,
-    so nothing is cached that a lost executor would take along. Both partitions
-    are replaced, so the day can be run again. ``previous_day=None`` states that
-    there is no earlier balance; a stated day without balances is an error, raised
-    before anything is written.
+    so nothing is cached that a lost executor would take along. The day is replaced in
+    all tables, so it can be run again. ``previous_day=None`` states that
+    there is no earlier balance; a stated day without balances is an error, and so are
+    more than ``most_rejects`` rejected lines, both raised before anything is published.
     """
-    previous = None
-    if previous_day is not None:
-        previous = read_day(spark, tables.balances, "BALANCE_DATE", previous_day)
-        if previous is None or previous.isEmpty():
-            raise ValueError(f"no balances for {previous_day}")
-        previous = balances_on(previous, previous_day)
-    transactions = transactions_of(lines, master, day, batch_id, layout)
-    write_day(
-        transactions.withColumn("POST_DAY", F.lit(day).cast("date")),
-        tables.transactions,
-        "POST_DAY",
-        day,
-    )
+    previous = previous_balances(spark, tables.balances, previous_day)
+    _publish_transactions(spark, lines, master, tables, day, batch_id, layout, most_rejects)
     posted = read_day(spark, tables.transactions, "POST_DAY", day)
     closing = roll_forward(previous, balance_delta(posted), day)
     write_day(closing, tables.balances, "BALANCE_DATE", day)
 
 
+def restate_gl_day(
+    spark: SparkSession,
+    lines: DataFrame,
+    master: DataFrame,
+    tables: GlTables,
+    day: str,
+    batch_id: str,
+    layout: GlLayout = GlLayout(),
+    most_rejects: int | None = None,
+) -> list[str]:
+    """Runs a published day again from corrected lines and carries the change into its
+    closing balances and those of every later day. Returns these days.
+
+    Only the corrected day's text is read. All balances come in one pass from those
+    before it and the posted transactions since, and are published together, so that a
+    run that ends in between can just be repeated.
+    """
+    days = list(published_days(spark, tables.balances))
+    if day not in days:
+        raise ValueError(f"no balances for {day}")
+    later, before = [d for d in days if d >= day], [d for d in days if d < day]
+    _publish_transactions(spark, lines, master, tables, day, batch_id, layout, most_rejects)
+    posted = read_days(spark, tables.transactions, "POST_DAY", later)
+    rows = posted.withColumnRenamed("POST_DAY", "BALANCE_DATE")
+    deltas = balance_delta(rows, "BALANCE_DATE")
+    previous = previous_balances(spark, tables.balances, before[-1]) if before else None
+    write_days(closing_balances(previous, deltas, later), tables.balances, "BALANCE_DATE", later)
+    return later
+
+
 def run_backfill(
     spark: SparkSession,
     lines_of: Callable[[str], DataFrame],

@@ -10,7 +10,7 @@ from ledgerloom.functions.types import DIFFERENCE_COLUMNS
 from ledgerloom.operators.accounts import head_by_case, head_by_rules
 from ledgerloom.operators.balance import balances_on
 from ledgerloom.operators.recon import LABELS, day_over_day, mismatches
-from ledgerloom.sources.files import write_day
+from ledgerloom.sources.published import write_day
 
 
 def recon_frame(

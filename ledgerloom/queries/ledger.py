@@ -25,7 +25,14 @@ from ledgerloom.operators.balance import (
 )
 from ledgerloom.operators.recon import LABELS_V1, day_over_day, mismatches
 from ledgerloom.plans.feeds import feed_balance_frame
-from ledgerloom.plans.gl_daily import GlDay, GlTables, gl_day_frames, run_backfill
+from ledgerloom.plans.gl_daily import (
+    GlDay,
+    GlTables,
+    gl_day_frames,
+    restate_gl_day,
+    run_backfill,
+    run_gl_day,
+)
 from ledgerloom.plans.recon_daily import recon_frame
 from ledgerloom.queries.aggregates import SQL_BY_ACCOUNT, agg_by_account
 from ledgerloom.queries.registry import query
@@ -42,6 +49,7 @@ from ledgerloom.queries.tables import (
     sql_branch,
     valid,
 )
+from ledgerloom.sources.published import read_day, read_days
 from ledgerloom.sources.workdir import new_folder
 
 
@@ -442,7 +450,46 @@ def gl_backfill(t: Tables) -> DataFrame:
         return t.lines(postings.filter((date > _day(starts[day])) & (date <= _day(day))))
 
     run_backfill(t.spark, lines_of, t.master(), tables, _BACKFILL_DAYS)
-    return t.spark.read.parquet(tables.balances).select(*LEDGER_KEYS, "BALANCE", "BALANCE_DATE")
+    return read_days(t.spark, tables.balances, "BALANCE_DATE").select(*LEDGER_KEYS, "BALANCE", "BALANCE_DATE")
+
+
+@query(
+    "gl_restated",
+    f"WITH {_VALID_LINES} " + " UNION ALL ".join(_closing_sql(d) for d in _BACKFILL_DAYS),
+)
+def gl_restated(t: Tables) -> DataFrame:
+    """The same balances after a day was first posted from other lines and then corrected."""
+    folder = new_folder(t.spark, "restated")
+    tables = GlTables(f"{folder}/transactions", f"{folder}/balances")
+    postings, first = t.postings(), F.col("l_linenumber")
+    starts = dict(zip(_BACKFILL_DAYS, ["0001-01-01", *_BACKFILL_DAYS]))
+
+    def lines_of(day: str, corrected: bool = False) -> DataFrame:
+        date = F.col("POSTING_DATE")
+        rows = postings.filter((date > _day(starts[day])) & (date <= _day(day)))
+        if day == _BACKFILL_DAYS[0] and not corrected:  # some lines twice, others missing
+            rows = rows.filter(first > 1).unionByName(rows.filter(first == 3))
+        return t.lines(rows)
+
+    run_backfill(t.spark, lines_of, t.master(), tables, _BACKFILL_DAYS)
+    restate_gl_day(t.spark, lines_of(_BACKFILL_DAYS[0], True), t.master(), tables, _BACKFILL_DAYS[0], "2001")
+    return read_days(t.spark, tables.balances, "BALANCE_DATE").select(*LEDGER_KEYS, "BALANCE", "BALANCE_DATE")
+
+
+@query(
+    "gl_rejects",
+    f"""WITH {SQL_LINES} SELECT Id, CAST(sum(LINES) AS BIGINT) AS LINES, count(*) AS DISTINCT_LINES FROM (
+      SELECT Id, abs(MILLI), count(*) AS LINES FROM lines WHERE READ_MILLI IS NULL
+        AND POSTING_DATE > DATE '{OPENING_DAY}' GROUP BY 1, 2) GROUP BY 1""",
+)
+def gl_rejects(t: Tables) -> DataFrame:
+    """Lines that the daily job could not decode, from the table that it publishes."""
+    folder = new_folder(t.spark, "rejects")
+    tables = GlTables(f"{folder}/transactions", f"{folder}/balances", f"{folder}/rejects")
+    _, today = _split_by_day(t.postings())
+    run_gl_day(t.spark, t.lines(today), t.master(), tables, CLOSING_DAY, "1001", None)
+    rejects = read_day(t.spark, tables.rejects, "POST_DAY", CLOSING_DAY)
+    return rejects.groupBy("Id").agg(F.sum("LINES").alias("LINES"), F.count(F.lit(1)).alias("DISTINCT_LINES"))
 
 
 def _recon_sql(head: str, extra: str = "") -> str:

@@ -38,6 +38,7 @@ from ledgerloom.sources.layouts import (
     dated_path,
     family_patterns,
 )
+from ledgerloom.sources.published import read_days
 from ledgerloom.sources.workdir import checkpointed, new_folder
 
 BY_ID_SQL = f"""
@@ -245,7 +246,7 @@ def sink_parquet_partitioned(t: Tables) -> DataFrame:
     for _ in range(2):  # replaced: running the day again changes nothing
         run_daily_export(t.lines(postings.filter(~early)), folder, CLOSING_DAY)
     return (
-        t.spark.read.parquet(folder)
+        read_days(t.spark, folder, "export_date")
         .groupBy("export_date", "currency")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.scalars import on_day
 from ledgerloom.operators.quality import require_rows
 
 
@@ -57,60 +55,14 @@ def write_partitions(df: DataFrame, path: str, by: list[str], append: bool = Fal
 
     The rebalance hint gathers a partition's rows into files of good size and
     splits a large partition over several writers, so there are neither many
-    small files nor one slow writer.
+    small files nor one slow writer. The partitions in ``df`` are replaced, so writing
+    them again does not double them; ``append`` adds to them instead.
     """
-    _write_partitions(df.hint("rebalance", *[F.col(c) for c in by]), path, by, append)
-
-
-def write_day(df: DataFrame, path: str, column: str, day: str, append: bool = False) -> int:
-    """Writes rows whose ``column`` is ``day`` and checks the count by reading back.
-
-    All rows go to one partition, so every task writes one file and no shuffle is
-    needed. The number written is observed by the write itself, not by a second
-    run, and the check reads one partition. A day without rows replaces the day's
-    partition by an empty one. Returns the rows written.
-    """
-    spark = df.sparkSession
-    before = _rows_of_day(spark, path, column, day) if append else 0
-    written = Observation()
-    _write_partitions(df.observe(written, F.count(F.lit(1)).alias("rows")), path, [column], append)
-    rows = written.get["rows"]
-    if not rows and not append:
-        # A dynamic overwrite replaces only partitions that it has rows for.
-        df.drop(column).limit(0).write.mode("overwrite").parquet(day_folder(path, column, day))
-    found = _rows_of_day(spark, path, column, day)
-    if found != before + rows:
-        raise RuntimeError(f"{path}, {day}: {before + rows} rows expected, {found} found")
-    return rows
-
-
-def _write_partitions(df: DataFrame, path: str, by: list[str], append: bool) -> None:
-    """The partitions in ``df`` are replaced, so running a day again does not double
-    it; ``append`` adds to them instead."""
     (
-        df.write.mode("append" if append else "overwrite")
+        df.hint("rebalance", *[F.col(c) for c in by])
+        .write.mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
     )
 
-
-def day_folder(path: str, column: str, day: str) -> str:
-    return f"{path.rstrip('/')}/{column}={day}"
-
-
-def read_day(spark: SparkSession, path: str, column: str, day: str) -> DataFrame | None:
-    """One day of a table partitioned by ``column``, or None where the day was never
-    written. Lists that day's folder only, not the table's."""
-    try:
-        table = spark.read.option("basePath", path).parquet(day_folder(path, column, day))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return table.filter(on_day(F.col(column), day))
-
-
-def _rows_of_day(spark: SparkSession, path: str, column: str, day: str) -> int:
-    table = read_day(spark, path, column, day)
-    return 0 if table is None else table.count()

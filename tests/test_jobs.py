@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.types import DIFFERENCE_COLUMNS
 from ledgerloom.plans import database, export, feeds, gl_daily, recon_daily
 from ledgerloom.queries.ledger import RULES, RULES_SCHEMA
-from ledgerloom.sources import files, jdbc, workdir
+from ledgerloom.sources import files, jdbc, published, workdir
 from ledgerloom.sources.layouts import EXPORT_SHORT, dated_path
 from test_dirty import BALANCE, feed_line, line, lines
 
@@ -24,7 +24,7 @@ def day_lines(spark, *amounts):
 
 
 def closing(spark, path):
-    return {str(r.BALANCE_DATE): r.BALANCE for r in spark.read.parquet(path).collect()}
+    return {str(r.BALANCE_DATE): r.BALANCE for r in published.read_days(spark, path, "BALANCE_DATE").collect()}
 
 
 def test_gl_days_and_rerun(spark, tmp_path):
@@ -37,12 +37,12 @@ def test_gl_days_and_rerun(spark, tmp_path):
     assert closing(spark, tables.balances) == {"2025-01-01": 3, "2025-01-02": 4}
     run([700], "2025-01-02", "2025-01-01")  # the day again, with other input
     assert closing(spark, tables.balances) == {"2025-01-01": 3, "2025-01-02": 10}
-    posted = spark.read.parquet(tables.transactions)
+    posted = published.read_days(spark, tables.transactions, "POST_DAY")
     assert posted.count() == 2
     with pytest.raises(ValueError, match="no balances for 2024-12-31"):
         run([1], "2025-01-03", "2024-12-31")
     for table, column in [(tables.transactions, "POST_DAY"), (tables.balances, "BALANCE_DATE")]:
-        assert spark.read.parquet(table).filter(F.col(column) == "2025-01-03").isEmpty()
+        assert published.read_day(spark, table, column, "2025-01-03") is None
 
 
 def test_backfill(spark, tmp_path):
@@ -61,12 +61,16 @@ def test_feeds_job(spark, tmp_path):
         "GLCC": lines(spark, feed_line("GLCC", "25", "+"), feed_line("GLCC", "x", "+")),
     }
     table = str(tmp_path / "cbs")
-    feeds.run_feeds(sources, None, table, "2025-01-01")
-    with pytest.raises(ValueError, match="no balances before"):
-        feeds.run_feeds(sources, spark.read.parquet(table).limit(0), table, "2025-01-02")
-    row = spark.read.parquet(table).first()
+    feeds.run_feeds(spark, sources, table, "2025-01-01", None)
+    with pytest.raises(ValueError, match="no balances for 2024-12-31"):
+        feeds.run_feeds(spark, sources, table, "2025-01-02", "2024-12-31")
+    row = published.read_day(spark, table, "BALANCE_DATE", "2025-01-01").first()
     assert (row.BRANCH_CODE, row.CURRENCY, row.CGL) == ("00001", "INR", "1000000000")
     assert row.BALANCE == D("0.5025")
+    # of all days that the table holds, the stated one is rolled forward
+    for day, before in [("2025-01-02", "2025-01-01"), ("2025-01-03", "2025-01-02"), ("2025-01-03", "2025-01-02")]:
+        feeds.run_feeds(spark, sources, table, day, before)
+    assert sorted(closing(spark, table).values()) == [D("0.5025"), D("1.0050"), D("1.5075")]
 
 
 def ledger(spark, balances, day):
@@ -90,7 +94,7 @@ def test_recon_job(spark, tmp_path, rules):
             table, day, cbs=cbs, gl=gl, history=history, previous_date=before, rules=rule_table,
             run_time=F.lit(f"{day} 07:30:00").cast("timestamp"),
         )
-        history = spark.read.parquet(table)
+        history = published.read_days(spark, table, "RECON_DAY")
     assert history.columns == [*DIFFERENCE_COLUMNS, "RECON_DAY"]
     found = {(str(r.RECON_DAY), r.CGL): (r.DIFFERENCE_AMOUNT, r.DIFF_BW_YESTERDAY, r.TYPE, r.HEAD) for r in history.collect()}
     assert found == {
@@ -103,13 +107,116 @@ def test_recon_job(spark, tmp_path, rules):
 def test_a_day_that_becomes_empty(spark, tmp_path):
     table = str(tmp_path / "days")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").withColumn("DAY", F.lit("2025-01-01").cast("date"))
-    assert files.write_day(rows.limit(0), table, "DAY", "2025-01-01") == 0
-    assert files.write_day(rows, table, "DAY", "2025-01-01") == 2
-    assert files.write_day(rows.limit(0), table, "DAY", "2025-01-01", append=True) == 0
-    assert spark.read.parquet(table).count() == 2
-    assert files.write_day(rows.limit(0), table, "DAY", "2025-01-01") == 0
-    assert spark.read.parquet(table).count() == 0
-    assert files.read_day(spark, table, "DAY", "2025-01-02") is None
+    assert published.write_day(rows.limit(0), table, "DAY", "2025-01-01") == 0
+    assert published.write_day(rows, table, "DAY", "2025-01-01") == 2
+    assert published.write_day(rows.limit(0), table, "DAY", "2025-01-01", append=True) == 0
+    assert published.read_days(spark, table, "DAY").count() == 2
+    assert published.write_day(rows.limit(0), table, "DAY", "2025-01-01") == 0
+    assert published.read_days(spark, table, "DAY").count() == 0
+    assert published.read_day(spark, table, "DAY", "2025-01-02") is None
+
+
+def test_a_write_that_does_not_add_up_leaves_the_old_day(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "days")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").withColumn("DAY", F.lit("2025-01-01").cast("date"))
+    published.write_day(rows, table, "DAY", "2025-01-01")
+
+    def read():
+        return sorted((str(r.DAY), r.k, r.v) for r in published.read_days(spark, table, "DAY").collect())
+
+    old = read()
+    other = rows.withColumn("v", F.col("v") + 10)
+    wrong_day = other.withColumn("DAY", F.lit("2025-01-02").cast("date"))
+    for bad in (wrong_day, other.union(wrong_day), other.withColumn("DAY", F.lit(None).cast("date"))):
+        with pytest.raises(RuntimeError, match="nothing is published"):
+            published.write_day(bad, table, "DAY", "2025-01-01")
+        assert read() == old
+    with monkeypatch.context() as patch:  # rows are lost between the write and the reader
+        patch.setattr(published, "_rows_by_day", lambda *a: {"2025-01-01": 1})
+        with pytest.raises(RuntimeError, match="nothing is published"):
+            published.write_day(other, table, "DAY", "2025-01-01")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):  # the write itself fails
+        published.write_day(other.withColumn("v", F.expr("cast(1 div (v - 12) as int)")), table, "DAY", "2025-01-01")
+    assert read() == old and published.superseded(spark, table, "DAY") == []
+    published.write_day(other, table, "DAY", "2025-01-01")
+    assert [v for _, _, v in read()] == [11, 12] and len(published.superseded(spark, table, "DAY")) == 1
+
+
+def test_days_change_together(spark, tmp_path):
+    table, days = str(tmp_path / "days"), ["2025-01-01", "2025-01-02", "2025-01-03"]
+    rows = spark.createDataFrame([(days[0], 1), (days[0], 2), (days[2], 3)], "DAY string, v int").withColumn("DAY", F.col("DAY").cast("date"))
+    assert published.write_days(rows, table, "DAY", days) == {days[0]: 2, days[1]: 0, days[2]: 1}
+    assert published.published_days(spark, table) == {days[0]: 2, days[1]: 0, days[2]: 1}
+    published.write_days(rows.filter("v <> 2"), table, "DAY", [days[0], days[2]], append=True)
+    assert published.published_days(spark, table) == {days[0]: 3, days[1]: 0, days[2]: 2}
+    assert published.read_days(spark, table, "DAY", [days[0], days[1]]).count() == 3
+    assert published.read_days(spark, table, "DAY", ["2024-01-01"]) is None
+    assert dict(published.read_days(spark, table, "DAY").dtypes) == {"v": "int", "DAY": "date"}
+
+
+def test_rejects_are_published_or_stop_the_day(spark, tmp_path):
+    tables = gl_daily.GlTables(*(str(tmp_path / t) for t in ("txn", "bal", "rejects")))
+    good, bad = line(local="0000000000001000" + "0"), line(local="0000000000009000}")
+    data = lines(spark, good, bad, bad, line(local=" " * 17), good)
+    with pytest.raises(ValueError, match="3 lines rejected, at most 2"):
+        gl_daily.run_gl_day(spark, data, master(spark), tables, "2025-01-01", "1", None, most_rejects=2)
+    assert all(published.published_days(spark, t) == {} for t in tables)
+    gl_daily.run_gl_day(spark, data, master(spark), tables, "2025-01-01", "1", None, most_rejects=3)
+    rejects = published.read_day(spark, tables.rejects, "POST_DAY", "2025-01-01").collect()
+    assert sorted((r.value, r.LINES) for r in rejects) == sorted([(bad, 2), (line(local=" " * 17), 1)])
+    posted = published.read_day(spark, tables.transactions, "POST_DAY", "2025-01-01").collect()
+    assert [(r.TRANSACTION_COUNT, r.DEBIT_AMOUNT) for r in posted] == [(5, 20)]
+    assert closing(spark, tables.balances) == {"2025-01-01": 20}
+    # the same transactions as without a table of rejects
+    plain = gl_daily.GlTables(str(tmp_path / "txn2"), str(tmp_path / "bal2"))
+    gl_daily.run_gl_day(spark, data, master(spark), plain, "2025-01-01", "1", None)
+    assert published.read_days(spark, plain.transactions, "POST_DAY").collect() == posted
+
+
+def test_rejects_and_totals_share_one_scan(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join([line(local="0000000000001000" + "0"), line(local="0000000000009000}")]))
+    seen = spark.sparkContext.accumulator(0)
+    data = spark.read.text(str(tmp_path / "in"))
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    tables = gl_daily.GlTables(*(str(tmp_path / t) for t in ("txn", "bal", "rejects")))
+    gl_daily.run_gl_day(spark, data.mapInArrow(count, "value string"), master(spark), tables, "2025-01-01", "1", None, most_rejects=9)
+    assert seen.value == 2
+
+
+def test_a_corrected_day_reaches_all_later_balances(spark, tmp_path):
+    days = ["2025-01-01", "2025-01-02", "2025-01-03", "2025-01-05"]
+
+    def posted(*rows):
+        return lines(spark, *[line(key=k, local=f"{a:016d}0") for k, a in rows])
+
+    a, b, c, d = ("00001INR1000000000", "00002INR1000000000", "00003INR1000000000", "00004INR1000000000")
+    amounts = {days[0]: [(a, 100)], days[1]: [(a, 5), (b, 7), (d, 1)], days[2]: [(a, 1)], days[3]: [(b, 2)]}
+    corrected = {**amounts, days[1]: [(a, 50), (c, 3)]}  # b comes only on the last day then, d never
+
+    def backfill(name, amounts):
+        tables = gl_daily.GlTables(str(tmp_path / f"{name}-txn"), str(tmp_path / f"{name}-bal"))
+        gl_daily.run_backfill(spark, lambda day: posted(*amounts[day]), master(spark), tables, days)
+        return tables
+
+    def rows(tables):
+        found = published.read_days(spark, tables.balances, "BALANCE_DATE").collect()
+        return sorted((str(r.BALANCE_DATE), r.BRANCH_CODE, r.CURRENCY, r.CGL, r.BALANCE) for r in found)
+
+    tables, want = backfill("mine", amounts), backfill("want", corrected)
+    assert rows(tables) != rows(want)
+    for _ in range(2):  # again changes nothing
+        restated = gl_daily.restate_gl_day(spark, posted(*corrected[days[1]]), master(spark), tables, days[1], "9")
+        assert restated == days[1:] and rows(tables) == rows(want)
+    first = gl_daily.restate_gl_day(spark, posted((a, 1)), master(spark), tables, days[0], "10")
+    assert first == days and ("2025-01-01", "00001", "INR", "1000000000", D("0.01")) in rows(tables)
+    with pytest.raises(ValueError, match="no balances for 2025-01-04"):
+        gl_daily.restate_gl_day(spark, posted((a, 1)), master(spark), tables, "2025-01-04", "11")
 
 
 def test_recon_stamped_on_the_next_morning(spark, tmp_path):
@@ -128,13 +235,13 @@ def test_recon_stamped_on_the_next_morning(spark, tmp_path):
         )
 
     run(days[0], "2024-12-31", days[1], gl)
-    history = spark.read.parquet(table)
+    history = published.read_days(spark, table, "RECON_DAY")
     run(days[1], days[0], "2025-01-03", gl)
-    found = {str(r.RECON_DAY): r.TYPE for r in spark.read.parquet(table).collect()}
+    found = {str(r.RECON_DAY): r.TYPE for r in published.read_days(spark, table, "RECON_DAY").collect()}
     assert found == {days[0]: "New Entry", days[1]: "Unchanged"}
     # corrected so that no difference is left, and run again
     run(days[1], days[0], "2025-01-03", cbs)
-    assert {str(r.RECON_DAY) for r in spark.read.parquet(table).collect()} == {days[0]}
+    assert {str(r.RECON_DAY) for r in published.read_days(spark, table, "RECON_DAY").collect()} == {days[0]}
 
 
 def test_exports(spark, tmp_path):
@@ -146,7 +253,7 @@ def test_exports(spark, tmp_path):
     export.run_daily_export(data, daily, "2025-01-02", append=True)
     export.run_daily_export(data, daily, "2025-01-02", append=True)
     export.run_daily_export(data, daily, "2025-01-01")
-    counts = {str(r.export_date): r["count"] for r in spark.read.parquet(daily).groupBy("export_date").count().collect()}
+    counts = published.published_days(spark, daily)
     assert counts == {"2025-01-01": 3, "2025-01-02": 6}
     assert [f.name for f in EXPORT_SHORT] == ["txdate", "journal", "branch", "currency", "GLCC", "lcyAmt", "fcyAmt"]
 
@@ -179,6 +286,11 @@ def tables(spark, monkeypatch):
     stored = {}
 
     def append(df, db, table, **options):
+        stored.setdefault("appended", []).append(table)
+        if stored.get("fails") == (table, stored["appended"].count(table)):
+            part = df.limit(stored["fails_after"])
+            stored[table] = spark.createDataFrame(stored[table].unionByName(part.select(*stored[table].columns)).collect(), stored[table].schema)
+            raise RuntimeError("connection lost")
         rows = stored[table].unionByName(df.select(*stored[table].columns))
         stored[table] = spark.createDataFrame(rows.collect(), rows.schema)
 
@@ -202,6 +314,7 @@ def test_database_jobs(spark, tables):
     tables[names.gl_balance] = tables[names.cbs_balance] = balance
     tables[names.master] = master(spark)
     tables[names.rules] = spark.createDataFrame(RULES, RULES_SCHEMA)
+    tables[names.batches] = spark.createDataFrame([], database.BATCH_SCHEMA)
 
     database.run_gl_day(spark, DB, day_lines(spark, 500), "2025-01-01", 7, None)
     database.run_gl_day(spark, DB, day_lines(spark, 100), "2025-01-02", 8, "2025-01-01")
@@ -221,7 +334,7 @@ def test_database_jobs(spark, tables):
     tables[names.differences] = spark.createDataFrame(
         [], "RECON_RUN_DATE timestamp, BRANCH_CODE string, CURRENCY string, CGL string, "
         "CBS_BALANCE decimal(38,8), GL_BALANCE decimal(38,3), DIFFERENCE_AMOUNT decimal(20,4), "
-        "DIFF_BW_YESTERDAY decimal(20,4), TYPE string, HEAD string"
+        "DIFF_BW_YESTERDAY decimal(20,4), TYPE string, HEAD string, RECON_DAY date"
     )
     now = F.lit("2025-01-02 08:00:00").cast("timestamp")
     database.run_recon(spark, DB, "2025-01-02", "2025-01-01", now)
@@ -231,6 +344,78 @@ def test_database_jobs(spark, tables):
         database.run_recon(spark, DB, "2025-01-02", "2025-01-01", now)
 
 
+def test_database_recon_by_the_day_compared(spark, tables):
+    """Day 1 is stamped on the morning of day 2, as a run after midnight is."""
+    names, days = database.TableNames(), ["2025-01-01", "2025-01-02"]
+    tables[names.cbs_balance] = ledger(spark, {"5": "1"}, days[0]).union(ledger(spark, {"5": "1"}, days[1]))
+    tables[names.gl_balance] = ledger(spark, {"5": "4"}, days[0]).union(ledger(spark, {"5": "4"}, days[1]))
+    plain = (
+        "RECON_RUN_DATE timestamp, BRANCH_CODE string, CURRENCY string, CGL string, CBS_BALANCE decimal(38,8), "
+        "GL_BALANCE decimal(38,3), DIFFERENCE_AMOUNT decimal(20,4), DIFF_BW_YESTERDAY decimal(20,4), TYPE string, HEAD string"
+    )
+    tables[names.differences] = spark.createDataFrame([], plain)
+
+    def run(day, before, stamp):
+        now = F.lit(f"{stamp} 07:30:00").cast("timestamp")
+        database.run_recon(spark, DB, day, before, now, by_rules=False)
+
+    with pytest.raises(ValueError, match="needs a column RECON_DAY"):
+        run(days[0], "2024-12-31", days[1])
+    tables[names.differences] = spark.createDataFrame([], plain + ", RECON_DAY date")
+    run(days[0], "2024-12-31", days[1])
+    run(days[1], days[0], "2025-01-03")
+    for day, before in zip(days, ["2024-12-31", days[0]]):
+        with pytest.raises(ValueError, match=f"run of {day} is already there"):
+            run(day, before, "2025-01-04")
+    found = {str(r.RECON_DAY): (r.TYPE, r.DIFF_BW_YESTERDAY) for r in tables[names.differences].collect()}
+    assert found == {days[0]: ("New Entry", -3), days[1]: ("Unchanged", 0)}
+
+
+@pytest.mark.parametrize("table", ["transactions", "gl_balance", "batches"])
+@pytest.mark.parametrize("after", [0, 2])
+def test_a_batch_that_died_is_finished(spark, tables, table, after):
+    names = database.TableNames()
+
+    def data(extra=0):
+        keys = [f"0000{i}INR1000000000" for i in range(1, 6)]
+        return lines(spark, *[line(key=k, local=f"{100 * i + extra:016d}0") for i, k in enumerate(keys)])
+
+    def empty():
+        tables[names.transactions] = gl_daily.transactions_of(data(), master(spark), "2025-01-01", "1").limit(0)
+        tables[names.gl_balance] = ledger(spark, {}, "2025-01-01")
+        tables[names.master] = master(spark)
+        tables[names.batches] = spark.createDataFrame([], database.BATCH_SCHEMA)
+        tables["appended"] = []
+
+    def run(extra=0):
+        database.run_gl_day(spark, DB, data(extra), "2025-01-01", 7, None)
+
+    def rows():
+        return [sorted(map(str, tables[t].collect())) for t in (names.transactions, names.gl_balance, names.batches)]
+
+    empty()
+    run()
+    want = rows()
+    for turn in [1, 2, 3] if table == "batches" else [1]:
+        empty()
+        tables["fails"], tables["fails_after"] = (getattr(names, table), turn), after
+        with pytest.raises(RuntimeError, match="connection lost"):
+            run()
+        del tables["fails"]
+        states = {r.STATE for r in tables[names.batches].collect()}
+        if rows()[0] and database.POSTED not in states:  # other input for a batch that is partly there
+            with pytest.raises(ValueError, match="does not give"):
+                run(extra=1)
+        if want == rows():  # the last mark was made, the call that made it failed
+            continue
+        run(extra=database.POSTED in states)
+        assert [sorted(set(r)) if i == 2 else r for i, r in enumerate(rows())] == want, turn
+        with pytest.raises(ValueError, match="batch 7 is already there"):
+            run()
+        with pytest.raises(ValueError, match="batch 7 of 2025-01-01"):
+            database.run_gl_day(spark, DB, data(), "2025-01-01", 8, None)
+
+
 def test_jdbc_options():
     split = jdbc.Split("id", "1", "100", 8)
     assert jdbc.read_options(DB, "(select 1) T1", split) == {
