@@ -20,12 +20,18 @@ from ledgerloom.operators.balance import (
     totals_by_id,
 )
 from ledgerloom.plans.feeds import previous_balances
-from ledgerloom.sources.files import write_parquet
-from ledgerloom.sources.layouts import GlLayout
+from ledgerloom.sources.files import read_dealt_lines, write_parquet
+from ledgerloom.sources.layouts import GlLayout, dated_path, family_patterns
 from ledgerloom.sources.published import published_days, read_day, read_days, write_day, write_days
 from ledgerloom.sources.workdir import new_folder
 
 
+def day_lines(spark: SparkSession, base: str, day: str, folder: str = "ledger") -> DataFrame:
+    """Lines of all file families below ``base/day/folder``; the lines of large compressed files
+    are dealt over several tasks."""
+    return read_dealt_lines(spark, family_patterns(dated_path(base, day, folder, "")))
+
+
 class GlDay(NamedTuple):
     transactions: DataFrame
     balances: DataFrame

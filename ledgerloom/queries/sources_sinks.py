@@ -93,7 +93,7 @@ def src_multi_glob(t: Tables) -> DataFrame:
     family = F.get(F.array(*[F.lit(n) for n in names]), salt(["value"], len(names)))
     folder = new_folder(t.spark, "families")
     t.lines().withColumn("f", family).write.partitionBy("f").option("compression", "gzip").text(folder)
-    return aggregate_by_id(decode_lines(files.read_lines(t.spark, family_patterns(folder))))
+    return aggregate_by_id(decode_lines(files.read_dealt_lines(t.spark, family_patterns(folder))))
 
 
 @query(

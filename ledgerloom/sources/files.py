@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,46 @@ def read_lines(
     return lines.repartition(partitions) if partitions else lines
 
 
+#: Files of these names are read by one task each, whatever their size.
+WHOLE = r"\.(gz|zst|snappy|lz4|deflate)$"
+
+
+def task_bytes(spark: SparkSession, n_files: int, total: int) -> int:
+    """Bytes that Spark gives a scan task: at most a file split, and less if there would be
+    fewer tasks than cores."""
+    conf, cores = spark.conf, spark.sparkContext.defaultParallelism
+    most, opening = (_bytes(conf.get(f"spark.sql.files.{c}")) for c in ("maxPartitionBytes", "openCostInBytes"))
+    return max(1, min(most, max(opening, (total + n_files * opening) // cores)))
+
+
+def _bytes(text: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", text.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def read_dealt_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """`read_lines` for compressed files of unequal size.
+
+    The files are listed with their sizes, and nothing of them is read for that. Those
+    larger than a task's share are read by a task each and their lines dealt evenly over as
+    many tasks as they have shares; the others are packed into tasks by the scan.
+    """
+    listed = spark.read.format("binaryFile").load(paths).select("path", "length")
+    n_files, total = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    share = task_bytes(spark, n_files, total)
+    large = listed.filter(F.col("path").rlike(WHOLE) & (F.col("length") > share))
+    # at most total / share files: as many as the scan has tasks
+    files = [(r["path"], r["length"]) for r in large.collect()]
+    if not files:
+        return read_lines(spark, paths)
+    tasks = ceil(sum(size for _, size in files) / share)
+    dealt = require_rows(spark.read.text([path for path, _ in files]), str(paths)).repartition(tasks)
+    if len(files) == n_files:
+        return dealt
+    small = spark.read.text(paths).filter(~F.col("_metadata.file_path").isin([path for path, _ in files]))
+    return small.unionByName(dealt)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header. Without ``schema`` the types are inferred, which reads
     the files twice."""

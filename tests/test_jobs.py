@@ -1,3 +1,5 @@
+import gzip
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal as D
 from types import SimpleNamespace
 
@@ -7,8 +9,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.types import DIFFERENCE_COLUMNS
 from ledgerloom.plans import database, export, feeds, gl_daily, recon_daily
 from ledgerloom.queries.ledger import RULES, RULES_SCHEMA
-from ledgerloom.sources import files, jdbc, published, workdir
-from ledgerloom.sources.layouts import EXPORT_SHORT, dated_path
+from ledgerloom.sources import batch_ids, files, jdbc, published, workdir
+from ledgerloom.sources.layouts import EXPORT_SHORT, dated_path, family_patterns
 from test_dirty import BALANCE, feed_line, line, lines
 
 MASTER = "CGL_NUMBER string, BAL_COMPARE int"
@@ -440,3 +442,55 @@ def test_csv_forms(spark, tmp_path):
     assert sorted(files.read_csv(spark, str(tmp_path / "c"), rows.schema).collect()) == sorted(rows.collect() * 2)
     assert files.read_csv(spark, str(tmp_path / "c")).schema["n"].dataType.simpleString() == "int"
     assert files.read_csv_as_text(spark, str(tmp_path / "c")).schema["n"].dataType.simpleString() == "string"
+
+
+def zipped(path, rows):
+    with gzip.open(path, "wt") as out:
+        out.writelines(line(key=f"{i % 7:05d}INR1000000000", local=f"{(i * 7919) % 10**9:016d}0") + "\n" for i in range(rows))
+
+
+def test_large_zipped_files_are_dealt(spark, tmp_path):
+    """Task rows within twice the mean, though one file has over half of the rows."""
+    folder = tmp_path / "2025-01-01" / "ledger"
+    folder.mkdir(parents=True)
+    [name, *names] = [p.rsplit("/", 1)[1].replace("*", "").replace("[0-9][0-9][0-9]", "001") for p in family_patterns(str(folder))]
+    zipped(folder / name, 30_000)
+    for other in names:
+        zipped(folder / other, 1_000)
+    settings = {"spark.sql.files.maxPartitionBytes": "17k", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = gl_daily.day_lines(spark, str(tmp_path), "2025-01-01")
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        plain = [r["count"] for r in spark.read.text(str(folder)).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 50_000 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+        assert max(plain) > 2 * sum(plain) / len(plain)
+        # the scan of the small files does not open the large one
+        small = spark.read.text(str(folder)).filter(~F.col("_metadata.file_path").isin([f"file:{folder / name}"]))
+        (folder / name).write_bytes(b"\x1f\x8b not gzip")
+        assert small.count() == 20_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    (tmp_path / "2025-01-02" / "ledger").mkdir(parents=True)
+    for other in [name, *names]:
+        zipped(tmp_path / "2025-01-02" / "ledger" / other, 10)
+    assert gl_daily.day_lines(spark, str(tmp_path), "2025-01-02").count() == 210
+    assert files._bytes("128MB") == 1 << 27 and files._bytes("4194304") == 1 << 22 and files._bytes("64m") == 1 << 26
+
+
+def test_batch_ids_are_given_once(spark, tmp_path):
+    for folder in (str(tmp_path / "ids"), f"file://{tmp_path}/more"):
+        with ThreadPoolExecutor(8) as drivers:
+            ids = list(drivers.map(lambda _: batch_ids.next_batch_id(spark, folder), range(200)))
+        assert sorted(ids) == list(range(1, 201))
+    assert batch_ids.next_batch_id(spark, str(tmp_path / "more")) == 201
+    held = batch_ids._HadoopFolder(spark, f"file://{tmp_path}/more")
+    assert not held.claim(f"{201:012d}") and held.claim(f"{202:012d}") and len(held.names()) >= 202
+
+
+def test_the_same_id_for_two_drivers_at_once(spark, tmp_path, monkeypatch):
+    """Both have listed the folder before either claims."""
+    monkeypatch.setattr(batch_ids._PosixFolder, "names", lambda self: [])
+    assert [batch_ids.next_batch_id(spark, str(tmp_path)) for _ in range(3)] == [1, 2, 3]
