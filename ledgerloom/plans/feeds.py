@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.functions.types import FEED_TOTAL
+from ledgerloom.functions.types import FEED_TOTAL, LEDGER_KEYS
 from ledgerloom.operators.balance import balances_on, decode_feed, feed_totals, roll_forward
 from ledgerloom.sources.layouts import FEEDS
-from ledgerloom.sources.published import read_day, write_day
+from ledgerloom.sources.published import Buckets, read_day, write_day
 
 
 def feed_balance_frame(
@@ -30,9 +30,19 @@ def previous_balances(spark: SparkSession, table: str, day: str | None) -> DataF
     return balances_on(found, day)
 
 
+def ledger_buckets(number: int | None) -> Buckets | None:
+    return None if number is None else Buckets(list(LEDGER_KEYS), number)
+
+
 def run_feeds(
-    spark: SparkSession, lines: dict[str, DataFrame], table: str, day: str, previous_day: str | None
+    spark: SparkSession,
+    lines: dict[str, DataFrame],
+    table: str,
+    day: str,
+    previous_day: str | None,
+    buckets: int | None = None,
 ) -> None:
     """Publishes the day's closing balances, from those of ``previous_day`` alone."""
     previous = previous_balances(spark, table, previous_day)
-    write_day(feed_balance_frame(lines, previous, day), table, "BALANCE_DATE", day)
+    closing = feed_balance_frame(lines, previous, day)
+    write_day(closing, table, "BALANCE_DATE", day, buckets=ledger_buckets(buckets))

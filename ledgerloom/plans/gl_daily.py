@@ -19,7 +19,7 @@ from ledgerloom.operators.balance import (
     totals_and_rejects,
     totals_by_id,
 )
-from ledgerloom.plans.feeds import previous_balances
+from ledgerloom.plans.feeds import ledger_buckets, previous_balances
 from ledgerloom.sources.files import read_dealt_lines, write_parquet
 from ledgerloom.sources.layouts import GlLayout, dated_path, family_patterns
 from ledgerloom.sources.published import published_days, read_day, read_days, write_day, write_days
@@ -128,6 +128,7 @@ def run_gl_day(
     previous_day: str | None,
     layout: GlLayout = GlLayout(),
     most_rejects: int | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Publishes the day's transactions, rejected lines and closing balances.
 
@@ -136,12 +137,13 @@ def run_gl_day(
     all tables, so it can be run again. ``previous_day=None`` states that
     there is no earlier balance; a stated day without balances is an error, and so are
     more than ``most_rejects`` rejected lines, both raised before anything is published.
+    Balances can be written in ``buckets`` by the ledger keys, for the reconciliation.
     """
     previous = previous_balances(spark, tables.balances, previous_day)
     _publish_transactions(spark, lines, master, tables, day, batch_id, layout, most_rejects)
     posted = read_day(spark, tables.transactions, "POST_DAY", day)
     closing = roll_forward(previous, balance_delta(posted), day)
-    write_day(closing, tables.balances, "BALANCE_DATE", day)
+    write_day(closing, tables.balances, "BALANCE_DATE", day, buckets=ledger_buckets(buckets))
 
 
 def restate_gl_day(

@@ -10,6 +10,7 @@ from ledgerloom.functions.types import DIFFERENCE_COLUMNS
 from ledgerloom.operators.accounts import head_by_case, head_by_rules
 from ledgerloom.operators.balance import balances_on
 from ledgerloom.operators.recon import LABELS, day_over_day, mismatches
+from ledgerloom.plans.feeds import ledger_buckets
 from ledgerloom.sources.published import write_day
 
 
@@ -43,7 +44,11 @@ def recon_frame(
     return compared.withColumn("RECON_RUN_DATE", run_time).select(*DIFFERENCE_COLUMNS)
 
 
-def run_recon(table: str, day: str, **inputs) -> None:
-    """Replaces the day's rows of the difference table, partitioned by RECON_DAY."""
-    rows = recon_frame(recon_date=day, **inputs)
-    write_day(rows.withColumn("RECON_DAY", F.lit(day).cast("date")), table, "RECON_DAY", day)
+def run_recon(table: str, day: str, buckets: int | None = None, **inputs) -> None:
+    """Replaces the day's rows of the difference table, published by RECON_DAY.
+
+    With balances and differences that were written in the same number of ``buckets``, and
+    read by `read_day`, nothing is shuffled to compare them.
+    """
+    rows = recon_frame(recon_date=day, **inputs).withColumn("RECON_DAY", F.lit(day).cast("date"))
+    write_day(rows, table, "RECON_DAY", day, buckets=ledger_buckets(buckets))

@@ -494,3 +494,60 @@ def test_the_same_id_for_two_drivers_at_once(spark, tmp_path, monkeypatch):
     """Both have listed the folder before either claims."""
     monkeypatch.setattr(batch_ids._PosixFolder, "names", lambda self: [])
     assert [batch_ids.next_batch_id(spark, str(tmp_path)) for _ in range(3)] == [1, 2, 3]
+
+
+def test_recon_of_bucketed_days_shuffles_nothing(spark, tmp_path, capsys):
+    days = ["2025-01-01", "2025-01-02"]
+    rows = spark.range(500).select(
+        F.format_string("%05d", F.col("id") % 20).alias("BRANCH_CODE"),
+        F.when(F.col("id") % 3 > 0, "INR").otherwise("USD").alias("CURRENCY"),
+        F.format_string("1%09d", "id").alias("CGL"),
+        (F.col("id") * 7 % 100).cast("decimal(38,3)").alias("BALANCE"),
+    )
+    tables = {name: {b: str(tmp_path / f"{name}-{b}") for b in (4, None)} for name in ("cbs", "gl", "diff")}
+
+    def frames(buckets, day):
+        for name, step in (("cbs", 0), ("gl", 1)):
+            changed = F.when(F.col("CGL").substr(8, 3).cast("int") % (5 + day) == 0, F.col("BALANCE") + step + day).otherwise(F.col("BALANCE"))
+            closing = rows.withColumn("BALANCE", changed).withColumn("BALANCE_DATE", F.lit(days[day]).cast("date"))
+            published.write_day(closing, tables[name][buckets], "BALANCE_DATE", days[day], buckets=feeds.ledger_buckets(buckets))
+        return [published.read_day(spark, tables[n][buckets], "BALANCE_DATE", days[day]) for n in ("cbs", "gl")]
+
+    found, plans = {}, {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for buckets in (4, None):
+            table = tables["diff"][buckets]
+            history = spark.createDataFrame([], "BRANCH_CODE string, CURRENCY string, CGL string, DIFFERENCE_AMOUNT decimal(20,4), RECON_DAY date")
+            for i, day in enumerate(days):
+                cbs, gl = frames(buckets, i)
+                inputs = {"cbs": cbs, "gl": gl, "history": history, "previous_date": days[i - 1] if i else "2024-12-31", "run_time": F.lit(None).cast("timestamp")}
+                recon_daily.recon_frame(recon_date=day, **inputs).explain()
+                plans[buckets] = capsys.readouterr().out
+                recon_daily.run_recon(table, day, buckets, **inputs)
+                history = published.read_day(spark, table, "RECON_DAY", day)
+            found[buckets] = sorted(map(str, published.read_days(spark, table, "RECON_DAY").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found[4] == found[None] and len(found[4]) > 100
+    assert "Exchange" not in plans[4] and plans[4].count("Bucketed: true") == 3 and plans[None].count("Exchange") >= 3
+    # a day written again without buckets, or added to, is read as it is
+    cbs = published.read_day(spark, tables["cbs"][4], "BALANCE_DATE", days[1])
+    published.write_day(cbs.limit(3), tables["cbs"][4], "BALANCE_DATE", days[1], append=True)
+    assert published.read_day(spark, tables["cbs"][4], "BALANCE_DATE", days[1]).count() == 503
+    with pytest.raises(RuntimeError, match="nothing is published"):
+        published.write_day(cbs, tables["cbs"][4], "BALANCE_DATE", days[0], buckets=feeds.ledger_buckets(4))
+    with pytest.raises(ValueError, match="single day"):
+        published.write_day(cbs, tables["cbs"][4], "BALANCE_DATE", days[1], append=True, buckets=feeds.ledger_buckets(4))
+    none = cbs.limit(0)
+    assert published.write_day(none, tables["cbs"][4], "BALANCE_DATE", days[1], buckets=feeds.ledger_buckets(4)) == 0
+    assert published.read_day(spark, tables["cbs"][4], "BALANCE_DATE", days[1]).isEmpty()
+
+
+def test_jobs_with_buckets(spark, tmp_path):
+    tables = gl_daily.GlTables(str(tmp_path / "txn"), str(tmp_path / "bal"))
+    gl_daily.run_gl_day(spark, day_lines(spark, 500, -200), master(spark), tables, "2025-01-01", "1", None, buckets=3)
+    gl_daily.run_gl_day(spark, day_lines(spark, 100), master(spark), tables, "2025-01-02", "2", "2025-01-01", buckets=3)
+    feeds.run_feeds(spark, {"INV": lines(spark, feed_line("INV", "1000", "+"))}, str(tmp_path / "cbs"), "2025-01-01", None, buckets=3)
+    assert closing(spark, tables.balances) == {"2025-01-01": 3, "2025-01-02": 4}
+    assert closing(spark, str(tmp_path / "cbs")) == {"2025-01-01": 1}
