@@ -4,7 +4,8 @@ The tokenizers library encodes each distinct run between two spaces once; texts
 together from the ids of their runs. That gives the ids of the whole text, because both
 splitting rules in use never put a space and the character before it into one piece.
 Where another white space character stands before a space, or where exotic white space
-occurs, larger pieces or the whole text go to the library.
+occurs, larger pieces or the whole text go to the library. So does a text with the name of
+a special token, in any case, since the library may put that token's id in its place.
 
 A tokenizer that drops case and white space needs fewer runs: a text of Latin letters is
 put in lower case and cut at all its white space first.
@@ -60,7 +61,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)", re.IGNORECASE)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         # ids that end a word ("...</w>") or, in the other vocabularies, start one after a space
         vocabulary = self.tokenizer.get_vocab()
@@ -122,6 +124,8 @@ class Encoder:
             self.spaced[run] = self.spaced[word] + self.pieces[marks]
 
     def _runs(self, text: str) -> tuple[list[str], list[str]]:
+        if self.added.search(text):
+            return [text], []
         if self.folds and not _NOT_LATIN.search(text):
             return [], text.lower().split()
         return runs(text)
