@@ -212,7 +212,11 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int) -> tuple[DataFrame, Dat
     lengths = code_lengths(counts)
     code = spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id long, length int")
     blocks = ids.select("shard", "doc_id", "before", "n_ids", "ids").mapInArrow(_blocks(lengths, offsets), _BLOCKS)
-    return written(code, "code"), written(blocks, "blocks")
+    # files in order of documents: a block's place among all ids is the file that it goes to
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    file = F.floor(F.col("start") * files / F.lit(max(1, ends[-1] if ends else 1))).cast("int")
+    placed = blocks.repartitionById(files, file).sortWithinPartitions("start")
+    return written(code, "code"), written(placed, "blocks")
 
 
 def read_ids(code: DataFrame, blocks: DataFrame, with_ids: bool = False) -> DataFrame:
