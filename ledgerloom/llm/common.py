@@ -108,15 +108,28 @@ def summed(found: DataFrame, parts: int = 16) -> dict[str, np.ndarray]:
     return totals
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def keep_where(docs: DataFrame, verdict: DataFrame, keep: Column, *also: str) -> DataFrame:
     """The rows of ``docs`` whose doc_id, text and columns ``also`` have a verdict that says
     ``keep``; it has the text as text_sha. Null keys meet null keys."""
     names = ["doc_id", "text_sha", *also]
-    kept = verdict.filter(keep).select(*(F.col(c).alias(f"_kept_{c}") for c in names))
-    same = F.col("_sha").eqNullSafe(F.col("_kept_text_sha")) & F.col("doc_id").eqNullSafe(F.col("_kept_doc_id"))
-    for c in also:
-        same = same & F.col(c).cast("string").eqNullSafe(F.col(f"_kept_{c}"))
-    return docs.withColumn("_sha", text_hash()).join(kept, same, "left_semi").drop("_sha")
+    sha, *kept = unused(docs, "_sha", *(f"_kept_{c}" for c in names))
+    some = verdict.filter(keep).select(*(F.col(c).alias(k) for c, k in zip(names, kept, strict=True)))
+    same = F.col(sha).eqNullSafe(F.col(kept[1])) & F.col("doc_id").eqNullSafe(F.col(kept[0]))
+    for c, k in zip(also, kept[2:], strict=True):
+        same = same & F.col(c).cast("string").eqNullSafe(F.col(k))
+    return docs.withColumn(sha, text_hash()).join(some, same, "left_semi").drop(sha)
 
 
 def text_hash(column: str = "text") -> Column:
@@ -126,20 +139,21 @@ def text_hash(column: str = "text") -> Column:
 
 def keep_one(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """For each doc_id and text_sha of ``kept``, which has them once, one row of ``docs``
-    with all columns: of repeated rows, the one whose columns come first. Null doc_ids
+    with all columns: of repeated rows, that whose columns as JSON come first. Null doc_ids
     meet null doc_ids. ``kept`` must be cheap to read twice."""
-    marked = docs.withColumn("_sha", text_hash())
-    ids = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha").alias("_kept_sha"))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
-    repeated = docs.groupBy("doc_id", text_hash()).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeated = written(repeated.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha").alias("_kept_sha")), "repeated")
+    sha, kept_id, kept_sha = unused(docs, "_sha", "_kept_id", "_kept_sha")
+    marked = docs.withColumn(sha, text_hash())
+    ids = kept.select(F.col("doc_id").alias(kept_id), F.col("text_sha").alias(kept_sha))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha))
+    repeated = docs.groupBy("doc_id", text_hash().alias(sha)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = written(repeated.select(F.col("doc_id").alias(kept_id), F.col(sha).alias(kept_sha)), "repeated")
     rows = marked.join(ids, same, "left_semi")
     if repeated.isEmpty():
-        return rows.drop("_sha")
-    once = rows.join(repeated, same, "left_anti").drop("_sha")
-    again = rows.join(repeated, same, "left_semi").groupBy("doc_id", "_sha")
-    row = F.min(F.struct(*(F.col(c) for c in docs.columns))).alias("row")
-    return once.unionByName(again.agg(row).select("row.*"))
+        return rows.drop(sha)
+    once = rows.join(repeated, same, "left_anti").drop(sha)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    again = rows.join(repeated, same, "left_semi").groupBy("doc_id", sha).agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return once.unionByName(again.select("row.*"))
 
 
 #: A key with more than this share of all rows is met by a broadcast. Fewer than
