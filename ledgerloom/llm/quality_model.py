@@ -101,12 +101,20 @@ def labelled(labels: DataFrame, column: str, learn: Column) -> DataFrame:
 
 
 def sample(docs: DataFrame, known: DataFrame, most: int) -> DataFrame:
-    """y and text of at most ``most`` documents of each label, by hash of the doc_id. The
-    side that is broadcast has at most twice ``most`` keys."""
-    some = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y in (0, 1)]
-    chosen = some[0].unionByName(some[1]).withColumnRenamed("doc_id", "_id")
-    joined = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    return joined.select("doc_id", "y", "text")
+    """y and text of at most ``most`` texts of each label, by hash of doc_id and text. Rows
+    that repeat both count once. The sides that are broadcast have at most twice ``most`` keys."""
+
+    def few(rows: DataFrame, *by: str) -> DataFrame:
+        some = [rows.filter(F.col("y") == y).orderBy(F.xxhash64(*by), *by).limit(most) for y in (0, 1)]
+        return some[0].unionByName(some[1])
+
+    texts = docs.select("doc_id", text_of().alias("text"))
+    chosen = few(known, "doc_id").withColumnRenamed("doc_id", "_id")
+    joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
+    keys = joined.select("doc_id", "y", text_hash("text")).distinct()
+    wanted = few(keys, "doc_id", "text_sha").select(F.col("doc_id").alias("_id"), F.col("text_sha").alias("_sha"), "y")
+    same = (F.col("doc_id") == F.col("_id")) & (text_hash("text") == F.col("_sha"))
+    return texts.join(F.broadcast(wanted), same).dropDuplicates(["_id", "_sha"]).select("doc_id", "y", "text")
 
 
 def fit(rows: np.ndarray, y: np.ndarray, share: float) -> Model | None:
