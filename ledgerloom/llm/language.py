@@ -15,13 +15,13 @@ language that is the answer for all. Rows of null lang are not learned from. Of
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +32,8 @@ LANGUAGES = 256
 #: Loss between the two best codewords, as a share of all bits' weight, that is ambiguous.
 AMBIGUOUS = 0.1
 
-_OTHER = re.compile(r"[\W\d_]+")
+#: What is no letter (category L). The module re has no categories.
+_OTHER = regex.compile(r"\P{L}+")
 
 
 def grams(text: str) -> np.ndarray:
