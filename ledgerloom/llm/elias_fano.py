@@ -3,7 +3,7 @@
 A sequence of n numbers below u takes about 2 + log2(u / n) bits each: the low bits of every
 number side by side, the high bits as a bit vector with a one for each number and a zero after
 each value of the high bits. Sequences are read in place from a buffer, for many places or
-values at once.
+values at once; opening one makes a directory of its high bits.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ U = np.uint64
 _ONE = U(1)
 
 
-def _set_bits(places: np.ndarray, length: int) -> np.ndarray:
-    words = np.zeros((length >> 6) + 1, U)
-    np.bitwise_or.at(words, places >> 6, _ONE << (places & 63).astype(U))
-    return words
+def _or_at(words: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
+    """Sets the values' bits in the words at sorted places."""
+    if len(places):
+        first = np.flatnonzero(np.diff(places, prepend=-1))
+        words[places[first]] |= np.bitwise_or.reduceat(values, first)
 
 
 class Monotone:
@@ -33,35 +34,21 @@ class Monotone:
         places = np.arange(n) * bits
         lows = np.zeros((n * bits >> 6) + 2, U)
         low, shift = values & U((1 << bits) - 1), (places & 63).astype(U)
-        np.bitwise_or.at(lows, places >> 6, low << shift)
+        _or_at(lows, places >> 6, low << shift)
         # what a word has no room for; a shift by 64 is made in two steps
-        np.bitwise_or.at(lows, (places >> 6) + 1, low >> _ONE >> (U(63) - shift))
-        highs = _set_bits(high + np.arange(n), n + (int(high[-1]) if n else 0) + 1)
+        _or_at(lows, (places >> 6) + 1, low >> _ONE >> (U(63) - shift))
+        ones = high + np.arange(n)
+        highs = np.zeros((n + (int(high[-1]) if n else 0) >> 6) + 1, U)
+        _or_at(highs, ones >> 6, _ONE << (ones & 63).astype(U))
         return np.array([n, bits, len(lows)], U).tobytes() + lows.tobytes() + highs.tobytes()
 
     def __init__(self, data: bytes) -> None:
         words = np.frombuffer(data, U)
         self.n, self.bits, n_lows = (int(x) for x in words[:3])
-        self.lows, self.highs = words[3 : 3 + n_lows], words[3 + n_lows :]
-        ones = np.bitwise_count(self.highs).astype(np.int64)
-        self.ones = np.concatenate([[0], np.cumsum(ones)])
-        self.zeros = 64 * np.arange(len(self.ones)) - self.ones
-
-    def _select(self, which: bool, k: np.ndarray) -> np.ndarray:
-        """Place of the k-th one or zero, counted from 0."""
-        before = self.ones if which else self.zeros
-        word = np.searchsorted(before, k, side="right") - 1
-        left, bits, place = k - before[word], self.highs[word], word * 64
-        if not which:
-            bits = ~bits
-        for step in (32, 16, 8, 4, 2, 1):
-            low = bits & U((1 << step) - 1)
-            n = np.bitwise_count(low).astype(np.int64)
-            over = left >= n
-            left = left - np.where(over, n, 0)
-            bits = np.where(over, bits >> U(step), low)
-            place = place + np.where(over, step, 0)
-        return place
+        self.lows = words[3 : 3 + n_lows]
+        ones = np.flatnonzero(np.unpackbits(words[3 + n_lows :].view(np.uint8), bitorder="little"))
+        self.high = ones - np.arange(self.n)
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(self.high))])  # of each value of the high bits
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         place = i * self.bits
@@ -71,24 +58,21 @@ class Monotone:
 
     def value(self, i: np.ndarray) -> np.ndarray:
         """The numbers at places i, each below n."""
-        return ((self._select(True, i) - i) << self.bits) | self._low(i)
+        return self.high[i] << self.bits | self._low(i)
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Places of the first numbers of at least x; n where there is none."""
         out = np.full(len(x), self.n, np.int64)
-        if not self.n:
-            return out
-        last = int(self.value(np.array([self.n - 1]))[0])
-        some = x <= last
-        x = x[some]
-        high, low = x >> self.bits, x & ((1 << self.bits) - 1)
-        start = np.where(high > 0, self._select(False, np.maximum(high - 1, 0)) - high + 1, 0)
-        end = self._select(False, high) - high
-        while (open_ := start < end).any():
-            middle = (start + end) >> 1
-            less = self._low(np.minimum(middle, self.n - 1)) < low
-            start = np.where(open_ & less, middle + 1, start)
-            end = np.where(open_ & ~less, middle, end)
+        some = np.flatnonzero((x >> self.bits) < len(self.begin) - 1)
+        high, low = x[some] >> self.bits, x[some] & ((1 << self.bits) - 1)
+        start, end = self.begin[high], self.begin[high + 1]
+        left = np.flatnonzero(start < end)
+        while len(left):
+            middle = (start[left] + end[left]) >> 1
+            less = self._low(middle) < low[left]
+            start[left[less]] = middle[less] + 1
+            end[left[~less]] = middle[~less]
+            left = left[start[left] < end[left]]
         out[some] = start
         return out
 
@@ -110,16 +94,20 @@ class Level(NamedTuple):
         return Monotone.encode(np.concatenate([[0], np.cumsum(sizes)])), Monotone.encode(base + names + 1)
 
     def find(self, node: np.ndarray, name: np.ndarray) -> np.ndarray:
-        """Places of the nodes' children of these names, -1 where there is none (or no node)."""
+        """Places of the nodes' children of these names, -1 where there is none (or no node).
+        Equal nodes next to each other are opened once."""
         out = np.full(len(node), -1, np.int64)
         known = np.flatnonzero(node >= 0)
         if not len(known) or not self.names.n:
             return out
-        begin, end = self.pointers.value(node[known]), self.pointers.value(node[known] + 1)
+        node = node[known]
+        first = np.flatnonzero(np.diff(node, prepend=-1))
+        times = np.diff(first, append=len(node))
+        begin, end = self.pointers.value(node[first]), self.pointers.value(node[first] + 1)
         base = np.where(begin > 0, self.names.value(np.maximum(begin - 1, 0)), 0)
-        wanted = base + name[known] + 1
+        wanted = np.repeat(base, times) + name[known] + 1
         at = self.names.successor(wanted)
-        hit = at < end
-        hit[hit] = self.names.value(at[hit]) == wanted[hit]
+        hit = np.flatnonzero(at < np.repeat(end, times))
+        hit = hit[self.names.value(at[hit]) == wanted[hit]]
         out[known[hit]] = at[hit]
         return out

@@ -11,7 +11,7 @@ pair and triple of the documents to learn from is in the trie. Words are numbere
 frequency; the trie goes from a word to those that follow it, and on to those that follow
 the pair. A level has monotone pointers, its words as one sorted sequence, context by
 context, searched from the context's base on, and 16-bit codes of the smoothed shares
-``c(u v) / (c(u) + M2)`` and so on, in steps of 1/4096 decade. A level's buffers are read in
+``c(u v) / (c(u) + M2)`` and so on, in steps of 1/512 decade. A level's buffers are read in
 place. They are columns of a table, not files, since the shared folder need not be mountable.
 
 Documents are coded in slices of ``SLICE`` bytes of text. A slice's distinct words meet
@@ -45,7 +45,7 @@ M2, M3 = 400.0, 60.0
 SLICE = 8 << 20
 #: Tokens to learn from for each shard of the trie.
 SHARD = 1 << 20
-STEPS = 4096
+STEPS = 512
 _NONE = 65535
 #: A token that cannot be at the end of a context, and one that was not learned.
 START, UNKNOWN = 0, -1
@@ -59,8 +59,11 @@ def code_of(share: np.ndarray) -> np.ndarray:
     return codes
 
 
+_SHARES = np.append(10.0 ** (np.arange(_NONE) / -STEPS), 0.0)
+
+
 def share_of(codes: np.ndarray) -> np.ndarray:
-    return np.where(codes == _NONE, 0.0, 10.0 ** (codes.astype(np.float64) / -STEPS))
+    return _SHARES[codes]
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -95,12 +98,20 @@ _SLICES = pa.schema(
 )
 
 
+class _Places(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = TaskContext.get().partitionId() << 32
     doc_ids: list = []
     documents: list[tuple[int, int, int]] = []
     tokens: list[np.ndarray] = []
-    place: dict[bytes, int] = {b"": 0}
+    place = _Places({b"": 0})
     size = n = 0
 
     def out() -> pa.RecordBatch:
@@ -112,15 +123,14 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows_of(batch, 1 << 20):
             for doc_id, held_out, learned, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 words = text.encode().lower().split()  # of bytes: A-Z, and the six ASCII spaces
-                found = [place.setdefault(w, len(place)) for w in words]
-                found.append(0)
+                words.append(b"")
                 doc_ids.append(doc_id)
-                documents.append((held_out, learned, len(found)))
-                tokens.append(np.array(found, np.uint32))
+                documents.append((held_out, learned, len(words)))
+                tokens.append(np.fromiter(map(place.__getitem__, words), np.uint32, len(words)))
                 size += len(text)
                 if size >= SLICE:
                     yield out()
-                    doc_ids, documents, tokens, place, size, n = [], [], [], {b"": 0}, 0, n + 1
+                    doc_ids, documents, tokens, place, size, n = [], [], [], _Places({b"": 0}), 0, n + 1
     if doc_ids:
         yield out()
 
@@ -136,17 +146,24 @@ def slices(docs: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_slices, SLICES), "slices")
 
 
-def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["slice", "place", "word", "n"]
-    for batch in batches:
-        for number, _, documents, words, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            _, learned, length = unpacked(documents)
-            word = words.split(b" ")
-            n = np.bincount(unpacked(tokens)[0][np.repeat(learned, length) > 0], minlength=len(word))
-            for i in range(0, len(word), 1 << 16):
-                some = [w.decode() for w in word[i : i + (1 << 16)]]
-                columns = [np.full(len(some), number), np.arange(i, i + len(some)), some, n[i : i + len(some)]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+def _words(counted: bool):
+    """Rows (slice, place, word) of the slices, or (word, n) with what is learned from."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, _, documents, words, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                word = pa.array(words.split(b" "), pa.binary()).cast(pa.string())
+                if counted:
+                    _, learned, length = unpacked(documents)
+                    n = np.bincount(unpacked(tokens)[0][np.repeat(learned, length) > 0], minlength=len(word))
+                    some = np.flatnonzero(n)
+                    columns, names = [word.take(pa.array(some)), pa.array(n[some])], ["word", "n"]
+                else:
+                    columns = [pa.array(np.full(len(word), number)), pa.array(np.arange(len(word))), word]
+                    names = ["slice", "place", "word"]
+                yield from pa.Table.from_arrays(columns, names).to_batches(1 << 16)
+
+    return run
 
 
 class Vocabulary(NamedTuple):
@@ -155,40 +172,54 @@ class Vocabulary(NamedTuple):
     size: int
 
 
-def vocabulary(places: DataFrame) -> Vocabulary:
-    """All words to learn from; the word "" is a document's end."""
-    counts = places.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0").orderBy(F.desc("n"), "word")
-    ordered = written(counts.withColumn("at", F.monotonically_increasing_id()), "vocabulary")
+#: Words of at least so many occurrences get the first ids, the most frequent first.
+FREQUENT = 16
+
+
+def _numbered(words: DataFrame, first: int) -> tuple[DataFrame, int, int]:
+    """The words with ids from ``first`` on in their order, their number and occurrences.
+    One row of each task that wrote them comes to the driver."""
+    ordered = written(words.withColumn("at", F.monotonically_increasing_id()), "vocabulary")
     part = F.shiftright("at", 33)
     sizes = ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n")).orderBy("part").collect()
-    first, total = {}, 1
-    for row in sizes:  # one for each task of the sort
-        first[row["part"]] = total
-        total += row["size"]
-    starts = ordered.sparkSession.createDataFrame(list(first.items()), "part int, first long")
-    ids = F.col("first") + F.col("at") - F.shiftleft(F.col("part").cast("long"), 33)
-    words = ordered.withColumn("part", part.cast("int")).join(F.broadcast(starts), "part").select("word", ids.alias("id"), "n")
-    return Vocabulary(words, sum(r["n"] for r in sizes), total - 1)
+    starts, end = [], first
+    for row in sizes:
+        starts.append((row["part"], end))
+        end += row["size"]
+    begins = ordered.sparkSession.createDataFrame(starts, "part long, first long")
+    ids = (F.col("first") + F.col("at") - F.shiftleft("part", 33)).alias("id")
+    numbered = ordered.withColumn("part", part).join(F.broadcast(begins), "part").select("word", ids, "n")
+    return numbered, end - first, sum(r["n"] for r in sizes)
 
 
-#: A slice with ids and counts of its words in place of the words, UNKNOWN and 0 where not learned.
-CODED = "slice long, doc_ids array<long>, documents binary, tokens binary, words binary"
-_CODED = pa.schema([_SLICES.field(0), _SLICES.field(1), _SLICES.field(2), _SLICES.field(4), _SLICES.field(3)])
+def vocabulary(sliced: DataFrame) -> Vocabulary:
+    """All words to learn from; the word "" is a document's end. Frequent words have small
+    ids, which take fewer bytes."""
+    counts = sliced.mapInArrow(_words(True), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = written(counts, "word-counts")
+    often, n_often, tokens = _numbered(counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "word"), 1)
+    seldom, n_seldom, others = _numbered(counts.filter(F.col("n") < FREQUENT), 1 + n_often)
+    return Vocabulary(often.unionByName(seldom), tokens + others, n_often + n_seldom)
 
 
-def _code(slices_: pa.Table, words: pa.Table) -> pa.Table:
-    row = slices_.to_pylist()[0]
-    place = words["place"].to_numpy()
+#: Ids and counts of a slice's words, UNKNOWN and 0 where not learned.
+IDS = "slice long, words binary"
+_IDS = pa.schema([("slice", pa.int64()), ("words", pa.binary())])
+
+
+def _ids(found: pa.Table) -> pa.Table:
+    place = found["place"].to_numpy()
     ids, n = np.full(len(place), UNKNOWN, np.int64), np.zeros(len(place), np.int64)
-    ids[place], n[place] = (words[c].to_numpy() for c in ("id", "n"))
-    return pa.Table.from_pylist([row | {"words": packed(ids, n)}], _CODED)
+    ids[place], n[place] = (found[c].to_numpy() for c in ("id", "n"))
+    return pa.Table.from_pylist([{"slice": found["slice"][0].as_py(), "words": packed(ids, n)}], _IDS)
 
 
-def coded(sliced: DataFrame, places: DataFrame, words: Vocabulary) -> DataFrame:
-    found = places.select("slice", "place", "word").join(words.words, "word", "left")
+def word_ids(sliced: DataFrame, words: Vocabulary) -> DataFrame:
+    places = sliced.mapInArrow(_words(False), "slice long, place long, word string")
+    # a slice has a word once, so no word has more rows than there are slices
+    found = places.join(words.words.hint("shuffle_hash"), "word", "left")
     known = found.select("slice", "place", F.coalesce("id", F.lit(UNKNOWN)).alias("id"), F.coalesce("n", F.lit(0)).alias("n"))
-    both = sliced.groupBy("slice").cogroup(known.groupBy("slice"))
-    return written(both.applyInArrow(_code, CODED), "coded")
+    return written(known.groupBy("slice").applyInArrow(_ids, IDS), "word-ids")
 
 
 # pairs and triples
@@ -263,25 +294,25 @@ def _runs(x: np.ndarray) -> np.ndarray:
 MESSAGES = "shard int, slice long, grams binary"
 
 
+_MESSAGES = pa.schema([("shard", pa.int32()), ("slice", pa.int64()), ("grams", pa.binary())])
+
+
 def _messages(shards: int, tokens: int, n_documents: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, documents, held, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                g = grams(documents, held, words, n_documents)
-                sizes = np.bincount(g.triples >> 32, minlength=len(g.pairs))
-                rows = []
-                for shard, pairs, triples in dealt(g, shards, tokens):
-                    first = g.pairs[pairs] >> 32
-                    at = _runs(first)
-                    data = packed(
-                        first[at[:-1]].astype(np.uint32), g.pair_first_n[pairs][at[:-1]], np.diff(at).astype(np.uint32),
-                        (g.pairs[pairs] & 0xFFFFFFFF).astype(np.uint32), g.pair_n[pairs].astype(np.uint32), sizes[pairs].astype(np.uint32),
-                        (g.triples[triples] & 0xFFFFFFFF).astype(np.uint32), g.triple_n[triples].astype(np.uint32),
-                    )
-                    rows.append((shard, number, data))
-                if rows:
-                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, ["shard", "slice", "grams"])
+    def run(slice_: pa.Table, ids: pa.Table) -> pa.Table:
+        row = slice_.to_pylist()[0]
+        g = grams(row["documents"], row["tokens"], ids["words"][0].as_py(), n_documents)
+        sizes = np.bincount(g.triples >> 32, minlength=len(g.pairs))
+        rows = []
+        for shard, pairs, triples in dealt(g, shards, tokens):
+            first = g.pairs[pairs] >> 32
+            at = _runs(first)
+            data = packed(
+                first[at[:-1]].astype(np.uint32), g.pair_first_n[pairs][at[:-1]], np.diff(at).astype(np.uint32),
+                (g.pairs[pairs] & 0xFFFFFFFF).astype(np.uint32), g.pair_n[pairs].astype(np.uint32), sizes[pairs].astype(np.uint32),
+                (g.triples[triples] & 0xFFFFFFFF).astype(np.uint32), g.triple_n[triples].astype(np.uint32),
+            )
+            rows.append({"shard": shard, "slice": row["slice"], "grams": data})
+        return pa.Table.from_pylist(rows, _MESSAGES)
 
     return run
 
@@ -389,15 +420,15 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def _score(shards: int, tokens: int, size: int, n_documents: int):
-    def run(coded_: pa.Table, answers: pa.Table) -> pa.Table:
-        row = coded_.to_pylist()[0]
-        g = grams(row["documents"], row["tokens"], row["words"], n_documents)
-        codes = {r["shard"]: unpacked(r["codes"]) for r in answers.to_pylist()}
+    def run(slice_: pa.Table, found: pa.Table) -> pa.Table:
+        """``found``: the answers, and the word ids as those of shard -1."""
+        row, codes = slice_.to_pylist()[0], {r["shard"]: r["codes"] for r in found.to_pylist()}
+        g = grams(row["documents"], row["tokens"], codes[-1], n_documents)
         # a place more, for tokens without a pair or a triple
         share, weight, triple_share = (np.zeros(len(x) + 1) for x in (g.pairs, g.pairs, g.triples))
         weight[-1] = 1
         for shard, pairs, triples in dealt(g, shards, tokens):
-            share[pairs], weight[pairs], triple_share[triples] = (share_of(x) for x in codes[shard])
+            share[pairs], weight[pairs], triple_share[triples] = (share_of(x) for x in unpacked(codes[shard]))
         base = (g.counts + 0.1) / (tokens + 0.1 * (size + 1))
         two = share[g.pair_at] + M2 / (g.before + M2) * base
         starts = np.cumsum(g.lengths) - g.lengths
@@ -420,39 +451,43 @@ class Model(NamedTuple):
     trie: DataFrame  # shard, codes
 
 
-def _scored(coded_: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
+#: Columns of a slice that its pairs, triples and scores come from.
+_CODED = ["slice", "doc_ids", "documents", "tokens"]
+
+
+def _scored(sliced: DataFrame, ids: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
     score = _score(model.shards, model.words.tokens, model.words.size, model.n_documents)
-    return coded_.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, SCORES)
+    own = ids.select(F.lit(-1).alias("shard"), "slice", F.col("words").alias("codes"))
+    return sliced.select(_CODED).groupBy("slice").cogroup(answers.unionByName(own).groupBy("slice")).applyInArrow(score, SCORES)
+
+
+def _asked(sliced: DataFrame, ids: DataFrame, shards: int, words: Vocabulary, n_documents: int) -> DataFrame:
+    message = _messages(shards, words.tokens, n_documents)
+    return sliced.select(_CODED).groupBy("slice").cogroup(ids.groupBy("slice")).applyInArrow(message, MESSAGES)
 
 
 def learned_and_scored(docs: DataFrame, shard_tokens: int = SHARD) -> tuple[Model, DataFrame]:
     """The model of the documents to learn from, and the scores of all."""
     sliced = slices(docs)
-    places = sliced.mapInArrow(_words, "slice long, place long, word string, n long")
-    words = vocabulary(places)
+    words = vocabulary(sliced)
     ends = words.words.filter("word = ''").select("n").first()
     n_documents = ends["n"] if ends else 0
     shards = max(1, -(-words.tokens // shard_tokens))
-    model_coded = coded(sliced, places, words)
-    asked = _asked(model_coded, shards, words, n_documents)
+    ids = word_ids(sliced, words)
+    asked = _asked(sliced, ids, shards, words, n_documents)
     answers = written(asked.groupBy("shard").applyInArrow(_answer(True), ANSWERS), "trie")
     model = Model(words, n_documents, shards, answers.filter("slice IS NULL").select("shard", "codes"))
-    return model, _scored(model_coded, answers.filter("slice IS NOT NULL"), model)
-
-
-def _asked(coded_: DataFrame, shards: int, words: Vocabulary, n_documents: int) -> DataFrame:
-    rows = coded_.select("slice", "documents", "tokens", "words")
-    return rows.mapInArrow(_messages(shards, words.tokens, n_documents), MESSAGES)
+    return model, _scored(sliced, ids, answers.filter("slice IS NOT NULL"), model)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """Scores of any documents by a model."""
     sliced = slices(docs)
-    found = coded(sliced, sliced.mapInArrow(_words, "slice long, place long, word string, n long"), model.words)
+    ids = word_ids(sliced, model.words)
     tries = model.trie.select("shard", F.lit(None).cast("long").alias("slice"), F.col("codes").alias("grams"))
-    asked = _asked(found, model.shards, model.words, model.n_documents).unionByName(tries)
+    asked = _asked(sliced, ids, model.shards, model.words, model.n_documents).unionByName(tries)
     answers = asked.groupBy("shard").applyInArrow(_answer(False), ANSWERS)
-    return _scored(found, answers, model)
+    return _scored(sliced, ids, answers, model)
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
