@@ -19,6 +19,7 @@ from ledgerloom.operators.quality import dq_report, null_counts
 from ledgerloom.queries.registry import query
 from ledgerloom.queries.sources_sinks import BY_ID_SQL
 from ledgerloom.queries.tables import (
+    SECOND_LAYOUT,
     SQL_POSTINGS,
     Tables,
     credit,
@@ -33,6 +34,12 @@ def agg_by_id(t: Tables) -> DataFrame:
     return aggregate_by_id(decode_lines(t.lines()))
 
 
+@query("agg_second_layout", BY_ID_SQL)
+def agg_second_layout(t: Tables) -> DataFrame:
+    """Lines whose amounts have another length, place, sign and number of decimals."""
+    return aggregate_by_id(decode_lines(t.second_lines(), SECOND_LAYOUT))
+
+
 SQL_BY_ACCOUNT = f"""{SQL_POSTINGS}, by_account AS (
   SELECT {valid()} AS VALIDATED_CGL, sum({debit()}) AS d, sum({credit()}) AS c,
     CAST(sum(QUANTITY) AS BIGINT) AS n FROM postings GROUP BY 1)"""

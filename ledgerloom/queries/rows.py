@@ -178,7 +178,7 @@ def filter_prefix(t: Tables) -> DataFrame:
     f"WITH {SQL_LINES} SELECT Id, count(*) AS n_rejected FROM lines WHERE READ_MILLI IS NULL GROUP BY 1",
 )
 def filter_null(t: Tables) -> DataFrame:
-    rejected = rejected_lines(t.stored_lines()).select(LAYOUT.key.of(F.col("value")).alias("Id"))
+    rejected = rejected_lines(t.lines()).select(LAYOUT.key.of(F.col("value")).alias("Id"))
     return rejected.groupBy("Id").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
@@ -189,7 +189,7 @@ def filter_null(t: Tables) -> DataFrame:
     SELECT * FROM f WHERE regexp_matches(amount_field, '[p-y]$')""",
 )
 def filter_rlike(t: Tables) -> DataFrame:
-    return _amount_fields(t.stored_lines()).filter(F.col("amount_field").rlike("[p-y]$"))
+    return _amount_fields(t.lines()).filter(F.col("amount_field").rlike("[p-y]$"))
 
 
 # --- scalar expressions ----------------------------------------------------

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.amounts import overpunch_field
+from ledgerloom.functions.fixedwidth import Field
 from ledgerloom.functions.types import AMOUNT
-from ledgerloom.sources.files import read_lines
-from ledgerloom.sources.workdir import new_folder
+from ledgerloom.sources.layouts import GlLayout
 
 # Account codes of the derived ledger: code and balance-compare flag, by key % 20.
 ACCOUNTS = [
@@ -43,6 +43,17 @@ ACCOUNTS = [
 OPENING_DAY = "1998-06-30"
 CLOSING_DAY = "2001-12-31"
 
+# Another layout of ledger lines.
+SECOND_LAYOUT = GlLayout(
+    currency=Field("currency_code", 1, 3),
+    key=Field("Id", 10, 18),
+    local_amount=Field("lcyAmt", 40, 15),
+    foreign_amount=Field("fcyAmt", 60, 15),
+    local_sign=Field("lcySign", 80, 1),
+    foreign_sign=Field("fcySign", 85, 1),
+    decimals=2,
+)
+
 # What a ledger line has in the slot that its currency does not select.
 OTHER_SLOT = "0000000000012345p"
 
@@ -161,12 +172,28 @@ class Tables:
             F.concat(other, own)
         )
 
-    def stored_lines(self) -> DataFrame:
-        """The lines read back from text files. A filter on a line that is still an
-        expression would be pushed below it and repeat the whole expression."""
-        folder = new_folder(self.spark, "lines")
-        self.lines().write.text(folder)
-        return read_lines(self.spark, folder)
+    def second_lines(self) -> DataFrame:
+        """The postings as lines of `SECOND_LAYOUT`, in hundredths: the character with the last
+        digit and the sign stands away from its amount, whose own last character means nothing."""
+        field = overpunch_field((F.col("MILLI") / 10).cast("bigint"))
+        last = F.when(F.col("l_orderkey") % 97 == 0, "}").otherwise(F.substring(field, 17, 1))
+        amount = F.concat(F.substring(field, 3, 14), F.lit("?"))
+        local = F.col("CURRENCY") == "INR"
+        other, mark = F.lit("00000000012345?"), F.lit("p")
+        parts = [
+            F.col("CURRENCY"),  # 1
+            F.lit(" " * 6),
+            F.concat("BRANCH_CODE", "CURRENCY", "CGL"),  # 10
+            F.lit(" " * 12),
+            F.when(local, amount).otherwise(other),  # 40
+            F.lit(" " * 5),
+            F.when(local, other).otherwise(amount),  # 60
+            F.lit(" " * 5),
+            F.when(local, last).otherwise(mark),  # 80
+            F.lit(" " * 4),
+            F.when(local, mark).otherwise(last),  # 85
+        ]
+        return self.postings().select(F.concat(*parts).alias("value"))
 
     def transactions(self) -> DataFrame:
         """One transaction per posting with debit and credit amounts."""
