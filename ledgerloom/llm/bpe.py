@@ -16,7 +16,7 @@ The join of whole-corpus words back to their documents would shuffle several tim
 corpus; a slice for each task needs no shuffle at all.
 
 A null text is empty: no ids, and the digest of nothing. Repeated rows and null doc_ids
-each have their row; other columns are not read.
+each have their row; an empty table has none. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,6 +11,7 @@ Letters of the whole text are read, in lower case. A text without a letter, or n
 ``und`` with score 0. So is every text where there is nothing to learn from; with one
 language that is the answer for all. Rows of null lang are not learned from. Of more than
 ``LANGUAGES`` values of lang the most frequent are learned. Repeated rows get equal answers.
+An empty table gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -7,13 +7,13 @@ many pairs. The model cuts the scores at a quantile of the sample's scores, the
 makes the fewest errors at the classes' true shares, and maps them to 0..1 so that the cut
 is at ``CUT``.
 
-Labels are learned from a bounded sample: ``MOST`` documents of each label, those with the
-smallest hash of their doc_id. All other work is one pass over all whole texts.
+Labels are learned from a bounded sample: ``MOST`` texts of each label, those with the
+smallest hash of doc_id and text. All other work is one pass over all whole texts.
 
 Documents without text get the score of their (constant) features. With no label, or only
 one, there is nothing to prefer: every score is then 0.5, which keeps the document. Null
 labels, and doc_ids whose labels disagree, are not learned from. Repeated rows get equal
-scores. Other columns are not read.
+scores. An empty table gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ most one for each of its fingerprints.
 
 A text without words has fingerprint zero. Texts of fewer words than a shingle are one
 shingle. Null texts are empty; a null doc_id never is a component's id unless all are
-null. Repeated rows each have their row. Other columns are not read.
+null. Repeated rows each have their row; an empty table has none. Other columns are not read.
 """
 
 from __future__ import annotations

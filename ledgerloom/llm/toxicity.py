@@ -17,7 +17,8 @@ once. The character model and the scores cover all whole texts.
 
 Empty and null texts have the evidence 0. Without labels of both kinds every score is 0:
 nothing is known to be toxic. Null labels, and doc_ids whose labels disagree, are not
-learned from. Repeated rows get equal scores. Other columns are not read.
+learned from. Repeated rows get equal scores. An empty table gives an empty table. Other
+columns are not read.
 """
 
 from __future__ import annotations
