@@ -29,6 +29,8 @@ SKETCH_SHARE = 0.00001
 # Keys tracked for each key that can have the share. The sketch is wrong by at most 2.7 in
 # ``TRACKED`` of the share, and lists every key of more than twice that.
 TRACKED = 8
+# Hashes of candidates that a plan lists by themselves.
+MOST_NAMED = 1000
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float, rows: int = 0) -> DataFrame:
@@ -47,7 +49,7 @@ def hot_keys(df: DataFrame, keys: list[str], share: float, rows: int = 0) -> Dat
     if least < SKETCH_SHARE:
         return hot_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "n", share, rows)
     names, total = frequent_hashes(df, keys, least)
-    return _counted(df.filter(_key_hash(keys).isin(names)), keys, total, share, rows)
+    return _counted(_with_hash(df, keys, names), keys, total, share, rows)
 
 
 def _key_hash(keys: list[str]) -> Column:
@@ -55,6 +57,15 @@ def _key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
+def _with_hash(df: DataFrame, keys: list[str], names: list[int]) -> DataFrame:
+    """The rows whose key has one of these hashes: a list in the plan, or if it is long a
+    broadcast of at most ``2 / SKETCH_SHARE`` numbers."""
+    if len(names) <= MOST_NAMED:
+        return df.filter(_key_hash(keys).isin(names))
+    side = df.sparkSession.createDataFrame([(n,) for n in names], "_key long")
+    return df.withColumn("_key", _key_hash(keys)).join(F.broadcast(side), "_key", "left_semi").drop("_key")
+
+
 def _counted(df: DataFrame, keys: list[str], total: int, share: float, rows: int) -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("share", F.col("n") / F.lit(total))

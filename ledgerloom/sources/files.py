@@ -25,6 +25,8 @@ def read_lines(
     return lines.repartition(partitions) if partitions else lines
 
 
+#: Large files whose lines are dealt at most.
+MOST_DEALT = 1000
 #: Files of these names are read by one task each, whatever their size.
 WHOLE = r"\.(gz|zst|snappy|lz4|deflate)$"
 
@@ -53,9 +55,8 @@ def read_dealt_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     n_files, total = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
     share = task_bytes(spark, n_files, total)
     large = listed.filter(F.col("path").rlike(WHOLE) & (F.col("length") > share))
-    # at most total / share files: as many as the scan has tasks
-    files = [(r["path"], r["length"]) for r in large.collect()]
-    if not files:
+    files = [(r["path"], r["length"]) for r in large.limit(MOST_DEALT + 1).collect()]
+    if not files or len(files) > MOST_DEALT:
         return read_lines(spark, paths)
     tasks = ceil(sum(size for _, size in files) / share)
     dealt = require_rows(spark.read.text([path for path, _ in files]), str(paths)).repartition(tasks)

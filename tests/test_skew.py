@@ -159,6 +159,9 @@ def test_sketch_names_every_hot_key(spark, monkeypatch):
     for share, least in [(0.0003, 0), (0.00033, 0), (0.05, 0), (0.0001, 70), (0.0, 66), (0.0, 300_000), (0.0, 1)]:
         mine = joins.hot_keys(rows, ["a", "b"], share, least)
         assert collected(mine) == collected(exact.filter((F.col("share") > share) & (F.col("n") > least))), (share, least)
+    monkeypatch.setattr(joins, "MOST_NAMED", 3)  # a longer list is broadcast
+    mine = joins.hot_keys(rows, ["a", "b"], 0.0003)
+    assert mine.columns == ["a", "b", "n", "share"] and collected(mine) == collected(exact.filter("share > 0.0003"))
 
 
 def test_hot_keys_shuffle_no_other_key(spark, capsys):
@@ -168,7 +171,8 @@ def test_hot_keys_shuffle_no_other_key(spark, capsys):
     hot = joins.hot_keys(rows, ["k"], 0.01)
     hot.explain("formatted")
     text = capsys.readouterr().out
-    assert text.index("partial_count") and "xxhash64(k" in text
+    # the rows are filtered by the candidate's hash below the first count
+    assert text.index("xxhash64(") < text.index("partial_count") and str(names[0]) in text
     assert [(r.k, r.n) for r in hot.collect()] == [(-1, 25_000)]
 
 
