@@ -66,12 +66,12 @@ def share_of(codes: np.ndarray) -> np.ndarray:
     return _SHARES[codes]
 
 
-def packed(*arrays: np.ndarray) -> bytes:
+def packed(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as one compressed buffer, by bytes of equal weight."""
     head = np.array([len(arrays)] + [x for a in arrays for x in (ord(a.dtype.char), len(a))], np.int64).tobytes()
     planes = [a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
     data = head + b"".join(planes)
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(data, asbytes=True)
 
 
 def unpacked(buffer: bytes) -> list[np.ndarray]:
@@ -115,7 +115,7 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = n = 0
 
     def out() -> pa.RecordBatch:
-        row = {"slice": first + n, "doc_ids": doc_ids, "words": b" ".join(place), "tokens": packed(np.concatenate(tokens))}
+        row = {"slice": first + n, "doc_ids": doc_ids, "words": b" ".join(place), "tokens": packed(np.concatenate(tokens), level=3)}
         row["documents"] = packed(*(np.array(c, np.int64) for c in zip(*documents, strict=True)))
         return pa.RecordBatch.from_pylist([row], _SLICES)
 
@@ -291,6 +291,7 @@ def _runs(x: np.ndarray) -> np.ndarray:
     return np.concatenate([np.flatnonzero(np.diff(x, prepend=-1)), [len(x)]])
 
 
+#: Second words of one first word are sent as the steps between them.
 MESSAGES = "shard int, slice long, grams binary"
 
 
@@ -306,9 +307,12 @@ def _messages(shards: int, tokens: int, n_documents: int):
         for shard, pairs, triples in dealt(g, shards, tokens):
             first = g.pairs[pairs] >> 32
             at = _runs(first)
+            second = g.pairs[pairs] & 0xFFFFFFFF
+            steps = np.diff(second, prepend=0)
+            steps[at[:-1]] = second[at[:-1]]
             data = packed(
                 first[at[:-1]].astype(np.uint32), g.pair_first_n[pairs][at[:-1]], np.diff(at).astype(np.uint32),
-                (g.pairs[pairs] & 0xFFFFFFFF).astype(np.uint32), g.pair_n[pairs].astype(np.uint32), sizes[pairs].astype(np.uint32),
+                steps.astype(np.uint32), g.pair_n[pairs].astype(np.uint32), sizes[pairs].astype(np.uint32),
                 (g.triples[triples] & 0xFFFFFFFF).astype(np.uint32), g.triple_n[triples].astype(np.uint32),
             )
             rows.append({"shard": shard, "slice": row["slice"], "grams": data})
@@ -331,8 +335,10 @@ class Message(NamedTuple):
 
 
 def message(data: bytes) -> Message:
-    first, first_n, sizes, second, pair_n, triples, third, triple_n = (a.astype(np.int64) for a in unpacked(data))
-    pair = np.repeat(np.arange(len(second)), triples)
+    first, first_n, sizes, steps, pair_n, triples, third, triple_n = (a.astype(np.int64) for a in unpacked(data))
+    sums, starts = np.cumsum(steps), np.cumsum(sizes) - sizes
+    second = sums - np.repeat(sums[starts] - steps[starts], sizes)
+    pair = np.repeat(np.arange(len(steps)), triples)
     return Message(np.repeat(first, sizes), np.repeat(first_n, sizes), second, pair_n, pair, third, triple_n)
 
 
