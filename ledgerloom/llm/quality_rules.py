@@ -1,19 +1,24 @@
 """Operator 7: quality rules whose thresholds follow the data.
 
 Each text gets exact counts (see ``base_counts``) and, of those, the measures in
-``MEASURES``. For each language and source a mergeable KLL quantile sketch of each measure
-is built in one aggregation with partial sketches on the map side. A limit lies
-``REACH`` spreads from the median; the spread is the distance from the median to the
-quantile ``EDGE`` on the other, clean side, and at least the measure's ``least``. Junk on
-one side thus moves a limit only once it is half of a group. Where median and quantile are both
-0, as for all measures but length in ordinary text, ``least`` alone decides. A group of fewer than
-``ENOUGH`` texts uses the merged sketch of its language, and a language of fewer the merged
-sketch of all. Documents then meet the limits of their group in a join.
-
-Sketches see the texts that pass the base rules. Null languages and sources are groups of
-their own; a null text has no words and fails the base rules; an empty table gives no
-rows. Repeated rows are counted each. Sketches of more than ``K`` values are approximate
-and may differ a little from run to run.
+``MEASURES``, on a log scale: of length its logarithm, of a rate or a share that of the odds,
+with half an event added on either side. A text without any event so lies the lower the longer
+it is, and a group of texts without events has quantiles that differ.
+
+For each language and source a mergeable quantile sketch of each measure is built in one
+aggregation: counts of steps of ``STEP`` on the log scale, so a quantile of the values is off
+by half a step, 1 %. Counts are added up on the map side, merge by addition, and are the same
+in every run. A limit lies ``reach`` spreads from the median; the spread is the distance from
+the median to the quantile ``EDGE`` on the other, clean side. Junk on one side thus moves a
+limit only once it is half of a group. A spread below ``least`` counts as that, which matters
+where nearly all texts of a group are alike. A group of fewer than ``ENOUGH`` texts uses the
+merged sketch of its language, and a language of fewer the merged sketch of all. Documents then
+meet the limits of their group in a join; their rates are compared as they are, nothing added,
+so a text without events breaks no upper limit.
+
+Sketches see the texts that pass the base rules, equal texts of a group once, so that copies
+set no limit. Null languages and sources are groups of their own; a null text has no words and
+fails the base rules; an empty table gives no rows. Repeated rows get equal verdicts.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import SPACES, keep_where, rows_of, text_hash, text_of, written
@@ -31,14 +36,17 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 20, 30
 REPEAT_WINDOW = 8
 
-#: Measure -> (numerator, denominator, least spread, sides that have a limit).
+#: Measure -> (numerator, denominator, reach and least spread on the log scale).
 MEASURES = {
-    "symbols": ("n_symbols", "n_words", 0.03, "high"),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.05, "high"),
-    "repeats": ("n_repeat_words", "n_words", 0.0375, "high"),
-    "length": ("word_chars", "n_words", 0.35, "both"),
+    "symbols": ("n_symbols", "n_words", 2.0, 0.7),
+    "dup_lines": ("n_dup_lines", "n_lines", 2.0, 0.7),
+    "repeats": ("n_repeat_words", "n_words", 3.0, 0.7),
+    "length": ("word_chars", "n_words", 4.0, 0.05),
 }
-REACH, EDGE, ENOUGH, K = 8.0, 0.05, 50, 2000
+#: Measures with a limit on both sides, and those that are shares.
+TWO_SIDED, SHARES = ("length",), ("dup_lines", "repeats")
+#: Quantiles are at 1 / EDGE, the half, and 1 - 1 / EDGE.
+EDGE, ENOUGH, STEP = 20, 50, 0.02
 
 _BASE = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
@@ -103,30 +111,76 @@ def _measure(name: str) -> Column:
     return F.col(over) / F.greatest(F.col(under), F.lit(1))
 
 
+def _step(name: str) -> Column:
+    """Number of the step of the log scale that holds a text's measure."""
+    over, under = map(F.col, MEASURES[name][:2])
+    if name in TWO_SIDED:
+        value = F.log(over / under)  # texts with words only, so neither is 0
+    else:
+        value = F.log((over + 0.5) / ((under - over + 0.5) if name in SHARES else (under + 1)))
+    return F.floor(value / STEP)
+
+
+def _back(name: str, value: Column) -> Column:
+    """From the log scale to the measure."""
+    return 1 / (1 + F.exp(-value)) if name in SHARES else F.exp(value)
+
+
+def sketches(counts: DataFrame) -> DataFrame:
+    """lang, source, measure, step, n: texts of a group in each step of each measure."""
+    passed = counts.filter(~base_failed())
+    own = [F.struct(F.lit(m).alias("measure"), _step(m).alias("step")) for m in MEASURES]
+    numbers = [c for c in counts.columns if c not in ("doc_id", "lang", "source", "text_sha")]
+    once = passed.groupBy("lang", "source", "text_sha").agg(*(F.first(c).alias(c) for c in numbers))
+    return once.select("lang", "source", F.inline(F.array(*own))).groupBy("lang", "source", "measure", "step").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
+    """n, low, mid, high by keys and measure: number of texts and three quantiles. A group
+    has as many rows as the log scale has steps in use, a few thousand at most."""
+    merged = sketch.groupBy(*keys, "measure", "step").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys, "measure")
+    up_to = F.sum("n").over(group.orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
+    steps = merged.withColumns({"up_to": up_to, "total": F.sum("n").over(group)})
+
+    def at(part: int, of: int) -> Column:
+        return (F.min(F.when(F.col("up_to") * of >= F.col("total") * part, F.col("step"))) + 0.5) * STEP
+
+    found = [at(1, EDGE).alias("low"), at(1, 2).alias("mid"), at(EDGE - 1, EDGE).alias("high")]
+    return steps.groupBy(*keys, "measure").agg(F.max("total").alias("n"), *found)
+
+
 def limits(counts: DataFrame) -> DataFrame:
     """lang, source, and a low and high limit of each measure (null: none)."""
-    sketches = [F.kll_sketch_agg_double(_measure(m), F.lit(K)).alias(m) for m in MEASURES]
-    own = written(counts.filter(~base_failed()).groupBy("lang", "source").agg(*sketches, F.count(F.lit(1)).alias("n")), "sketches")
+    sketch = written(sketches(counts), "sketches")
+    names = ["n", "low", "mid", "high"]
+
+    def level(suffix: str, *keys: str) -> DataFrame:
+        found = _quantiles(sketch, *keys).withColumnsRenamed({c: c + suffix for c in names})
+        return found.withColumnsRenamed({"measure": "_measure", **{c: f"_{c}" for c in keys}})
+
+    own, by_lang = _quantiles(sketch, "lang", "source"), level("_lang", "lang")
+    same = (F.col("measure") == F.col("_measure")) & F.col("lang").eqNullSafe(F.col("_lang"))
+    groups = own.join(by_lang, same).drop("_measure", "_lang")
+    everything = F.broadcast(level("_all"))  # a row for each measure
+    groups = groups.join(everything, F.col("measure") == F.col("_measure"))
 
-    def over(suffix: str, *keys: str) -> DataFrame:
-        some = [F.kll_merge_agg_double(m, F.lit(K)).alias(f"{m}_{suffix}") for m in MEASURES]
-        return own.groupBy(*keys).agg(*some, F.sum("n").alias(f"n_{suffix}"))
+    def chosen(c: str) -> Column:
+        own_, lang = F.when(F.col("n") >= ENOUGH, F.col(c)), F.when(F.col("n_lang") >= ENOUGH, F.col(c + "_lang"))
+        return F.coalesce(own_, lang, F.col(c + "_all")).alias(c)
 
-    by_lang = over("lang", "lang").withColumnRenamed("lang", "_lang")
-    groups = own.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang"))).crossJoin(F.broadcast(over("all")))
+    groups = groups.select("lang", "source", "measure", *map(chosen, names[1:]))
     found = []
-    for name, (_, _, least, sides) in MEASURES.items():
-        sketch = (
-            F.when(F.col("n") >= ENOUGH, F.col(name))
-            .when(F.col("n_lang") >= ENOUGH, F.col(f"{name}_lang"))
-            .otherwise(F.col(f"{name}_all"))
-        )
-        at = [F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (EDGE, 0.5, 1 - EDGE)]
-        low, middle, high = at
-        found.append((middle + REACH * F.greatest(middle - low, F.lit(least))).alias(f"{name}_high"))
-        floor = middle - REACH * F.greatest(F.least(middle - low, high - middle), F.lit(least))
-        found.append((floor if sides == "both" else F.lit(None).cast("double")).alias(f"{name}_low"))
-    return written(groups.select("lang", "source", *found), "limits")
+    for name, (_, _, reach, least) in MEASURES.items():
+        below, above = F.col("mid") - F.col("low"), F.col("high") - F.col("mid")
+        top = _back(name, F.col("mid") + reach * F.greatest(below, F.lit(least)))
+        bottom = _back(name, F.col("mid") - reach * F.greatest(F.least(below, above), F.lit(least)))
+        mine = F.col("measure") == name
+        found.append(F.max(F.when(mine, top)).alias(f"{name}_high"))
+        found.append(F.max(F.when(mine & F.lit(name in TWO_SIDED), bottom)).alias(f"{name}_low"))
+    return written(groups.groupBy("lang", "source").agg(*found), "limits")
 
 
 def _judged(docs: DataFrame) -> DataFrame:

@@ -511,27 +511,61 @@ def test_rules_match_exact_quantiles(spark, texts):
         over, under = quality_rules.MEASURES[name][:2]
         return counts[i][over] / max(counts[i][under], 1)
 
+    def scaled(i, name):
+        c = counts[i]
+        value = {
+            "symbols": lambda: (c["n_symbols"] + 0.5) / (c["n_words"] + 1),
+            "dup_lines": lambda: (c["n_dup_lines"] + 0.5) / (c["n_lines"] - c["n_dup_lines"] + 0.5),
+            "repeats": lambda: (c["n_repeat_words"] + 0.5) / (c["n_words"] - c["n_repeat_words"] + 0.5),
+            "length": lambda: c["word_chars"] / c["n_words"],
+        }[name]()
+        return (np.floor(np.log(value) / 0.02) + 0.5) * 0.02
+
+    def back(value, name):
+        return 1 / (1 + np.exp(-value)) if name in ("dup_lines", "repeats") else np.exp(value)
+
+    def distinct(some):
+        return list({(groups[j], texts[j]): j for j in some}.values())
+
     passed = [i for i in texts if not failed[i]]
     for i in texts:
-        same = [j for j in passed if groups[j] == groups[i]]
+        same = distinct([j for j in passed if groups[j] == groups[i]])
         if len(same) < quality_rules.ENOUGH:
             if not same:
                 assert failed[i]
                 continue
-            same = [j for j in passed if groups[j][0] == groups[i][0]]
+            same = distinct([j for j in passed if groups[j][0] == groups[i][0]])
         if len(same) < quality_rules.ENOUGH:
-            same = passed
+            same = distinct(passed)
         kept = not failed[i]
-        for name, (_, _, least, sides) in quality_rules.MEASURES.items():
-            values = sorted(measure(j, name) for j in same)
-            low, mid, high = (values[max(0, int(np.ceil(q * len(values))) - 1)] for q in (0.05, 0.5, 0.95))
-            kept &= measure(i, name) <= mid + 8 * max(mid - low, least) + 1e-12
-            if sides == "both":
-                kept &= measure(i, name) >= mid - 8 * max(min(mid - low, high - mid), least) - 1e-12
+        for name, (_, _, reach, least) in quality_rules.MEASURES.items():
+            values = sorted(scaled(j, name) for j in same)
+            low, mid, high = (values[-(-len(values) * part // 20) - 1] for part in (1, 10, 19))
+            kept &= measure(i, name) <= back(mid + reach * max(mid - low, least), name)
+            if name == "length":
+                kept &= measure(i, name) >= back(mid - reach * max(min(mid - low, high - mid), least), name)
         assert rows[i].kept == kept and rows[i].base_failed == failed[i]
         assert tuple(rows[i])[1:6] == base_counts(texts[i])[:5]
 
 
+def test_limits_follow_their_group(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")  # smaller: few groups of enough texts
+    twice = [quality_rules.limits(quality_rules.counted(d)) for d in (docs, docs.repartition(5, "doc_id"))]
+    found, again = (sorted(d.collect(), key=lambda r: (r.lang, r.source)) for d in twice)
+    assert found == again
+    for name in quality_rules.MEASURES:
+        assert len({getattr(r, f"{name}_high") for r in found}) > 10
+
+
+def test_copies_set_no_limit(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20 + 5 * i)), "en", "s") for i in range(60)]
+    copies = [(100 + i, rows[7][1], "en", "s") for i in range(500)]
+    frames = [spark.createDataFrame(r, "doc_id long, text string, lang string, source string") for r in (rows, rows + copies)]
+    a, b = (quality_rules.limits(quality_rules.counted(f)).collect() for f in frames)
+    assert a == b
+    assert quality_rules.judged(frames[1]).filter("kept").count() == 560
+
+
 def test_rules_on_odd_rows(odd, none):
     assert quality_rules.judged(odd).count() == len(ODD)
     assert quality_rules.judged(none).count() == 0
