@@ -41,7 +41,7 @@ MEASURES = {
     "symbols": ("n_symbols", "n_words", 2.0, 0.7),
     "dup_lines": ("n_dup_lines", "n_lines", 2.0, 0.7),
     "repeats": ("n_repeat_words", "n_words", 3.0, 0.7),
-    "length": ("word_chars", "n_words", 4.0, 0.05),
+    "length": ("word_chars", "n_words", 4.0, 0.08),
 }
 #: Measures with a limit on both sides, and those that are shares.
 TWO_SIDED, SHARES = ("length",), ("dup_lines", "repeats")

@@ -558,7 +558,7 @@ def test_limits_follow_their_group(spark):
 
 
 def test_copies_set_no_limit(spark):
-    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20 + 5 * i)), "en", "s") for i in range(60)]
+    rows = [(i, " ".join(f"w{i:02}x{j:03}" for j in range(20 + 5 * i)), "en", "s") for i in range(60)]
     copies = [(100 + i, rows[7][1], "en", "s") for i in range(500)]
     frames = [spark.createDataFrame(r, "doc_id long, text string, lang string, source string") for r in (rows, rows + copies)]
     a, b = (quality_rules.limits(quality_rules.counted(f)).collect() for f in frames)
