@@ -18,8 +18,10 @@ Sequences are full. The tokens after the last full sequence make sequences whose
 are powers of two, so nothing is padded.
 
 ``max_queues``: a source with fewer rows than this fraction of the table shares the queue
-of all small sources; a queue too small for one token a window joins them too. All
-documents are packed in any case. Null sources are a source; a null text is empty and has
+of all small sources, which holds its documents in the order of a hash of doc_id: each
+small source is dealt over the whole queue, so a run of the queue is expected to have it in
+its share. A queue too small for one token a window joins them at the end. All documents
+are packed in any case. Null sources are a source; a null text is empty and has
 the end id only; rows with one doc_id are ordered by the hash of their text. An empty
 table has no piece. Columns other than doc_id, source and text are not read.
 """
@@ -29,6 +31,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -161,6 +164,7 @@ def _cut(schedule: Schedule, places: dict[tuple[int, str], tuple[int, int]], cap
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_queue, window, low, high, shift = -1, 0, 0, 0, 0
+        granted = lru_cache(4)(schedule.before)  # the end of a window is the start of the next
         for batch in batches:
             pieces: list[tuple] = []
             for shard, name, doc_id, before, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -172,11 +176,11 @@ def _cut(schedule: Schedule, places: dict[tuple[int, str], tuple[int, int]], cap
                     if queue != at_queue or not low <= token < high:
                         if queue == at_queue and token == high:
                             window += 1
-                            while schedule.before(window + 1)[queue] <= token:
+                            while granted(window + 1)[queue] <= token:
                                 window += 1
                         else:
                             window, at_queue = schedule.find(queue, token), queue
-                        first, after = schedule.before(window), schedule.before(window + 1)
+                        first, after = granted(window), granted(window + 1)
                         low, high = first[queue], after[queue]
                         turn = sum(after[:queue]) - sum(first[:queue])
                         shift = sum(first) + turn - low  # from the queue's tokens to the stream
@@ -223,7 +227,9 @@ def pack(
     # "=" before a name, so that the shared queue "" meets no source's name; null is "-"
     queue = F.when(named, F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))).otherwise("")
     rows = rows.select(queue.alias("queue"), "doc_id", "text", F.xxhash64("text").alias("h"))
-    ordered = rows.repartitionByRange("queue", "doc_id", "h").sortWithinPartitions("queue", "doc_id", "h")
+    dealt = F.when(F.col("queue") == "", F.xxhash64("doc_id")).otherwise(F.lit(0))
+    order = [F.col("queue"), dealt, F.col("doc_id"), F.col("h")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ids = written(ordered.select("queue", "doc_id", "text").mapInArrow(_tokenize(tokenizer, end), _IDS), "pack-ids")
     found = ids.groupBy("shard", "queue").agg(F.sum("n_ids").alias("n")).orderBy("queue", "shard").collect()
     weight_of = {"-" if s is None else f"={s}": w for s, w in targets.items()} if targets else None

@@ -241,6 +241,15 @@ def test_windows_keep_the_mixture(spark):
     assert (np.abs(sums.values - due) < 2).all()
 
 
+def test_small_sources_are_dealt_over_all_windows(spark):
+    rows = [(i, "one two three four", f"s{i // 4}") for i in range(2000)]  # 500 sources, in order of doc_id
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack(docs, WORD_BPE, 1, capacity=128, window=4, max_queues=100).toPandas()
+    assert set(pieces["queue"]) == {""} and pieces.length.sum() == len(rows) * pieces.doc_tokens[0]
+    spread = pieces.groupby("window").doc_id.agg(lambda x: x.max() - x.min())
+    assert (spread[spread.index < spread.index.max()] > 1500).all()
+
+
 @given(st.lists(st.integers(1, 500), min_size=1, max_size=6), st.lists(st.integers(0, 9), min_size=6, max_size=6))
 @settings(max_examples=100, deadline=None)
 def test_schedule_grants_every_token(totals, weights):
