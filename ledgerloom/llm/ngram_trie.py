@@ -226,13 +226,11 @@ def word_ids(sliced: DataFrame, words: Vocabulary) -> DataFrame:
 
 
 class Grams(NamedTuple):
-    """The distinct pairs and triples of known words of a slice, and where its tokens have them."""
+    """The distinct pairs and triples of known words of a slice, and where its tokens have them.
+    Places and a slice's own counts take 4 bytes: a worker has several such arrays at a time."""
 
     held_out: np.ndarray
     lengths: np.ndarray
-    ids: np.ndarray  # of tokens
-    counts: np.ndarray  # of tokens, and of the words before them
-    before: np.ndarray
     pairs: np.ndarray  # (first << 32 | second), sorted
     pair_at: np.ndarray  # of tokens, -1 where a word is unknown
     triples: np.ndarray  # (place of the pair << 32 | third), sorted
@@ -244,27 +242,49 @@ class Grams(NamedTuple):
 
 def _distinct(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys of at least 0, the place of each, and how many are learned from."""
-    known = keys >= 0
-    found, at = np.unique(keys[known], return_inverse=True)
-    places = np.full(len(keys), -1, np.int64)
-    places[known] = at
-    return found, places, np.bincount(at[learned[known]], minlength=len(found))
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.diff(keys, prepend=-1) > 0
+    at = np.cumsum(new, dtype=np.int32)
+    at -= 1  # -1 for the keys below 0, which come first
+    known = np.searchsorted(keys, 0)
+    n = np.bincount(at[known:][learned[order[known:]]], minlength=int(at[-1]) + 1 if len(at) else 0)
+    places = np.empty(len(keys), np.int32)
+    places[order] = at
+    return keys[new], places, n.astype(np.uint32)
+
+
+def _after(places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """(place << 32 | key), -1 where either is below 0."""
+    both = places.astype(np.int64)
+    both <<= 32
+    both |= keys
+    both[(places < 0) | (keys < 0)] = -1
+    return both
 
 
 def grams(documents: bytes, tokens: bytes, words: bytes, n_documents: int) -> Grams:
     (held_out, learned, lengths), place, (ids, n) = unpacked(documents), unpacked(tokens)[0], unpacked(words)
-    ids, counts = ids[place], n[place]
+    by_id = np.argsort(ids)
+    known, known_n = np.append(START, ids[by_id]), np.append(n_documents, n[by_id])
+    ids = ids[place]
+    del place
     starts = np.cumsum(lengths) - lengths
-    before, before_n = np.roll(ids, 1), np.roll(counts, 1)
-    before[starts], before_n[starts] = START, n_documents
-    learned = np.repeat(learned, lengths) > 0
-    pairs, pair_at, pair_n = _distinct(np.where((before < 0) | (ids < 0), -1, before << 32 | ids), learned)
+    learned = np.repeat(learned > 0, lengths)
+    before = np.roll(ids, 1)
+    before[starts] = START
+    before = _after(before, ids)
+    pairs, pair_at, pair_n = _distinct(before, learned)
+    del before
     context = np.roll(pair_at, 1)
     context[starts] = -1
-    triples, triple_at, triple_n = _distinct(np.where((context < 0) | (ids < 0), -1, context << 32 | ids), learned)
-    first_n = np.zeros(len(pairs), np.int64)
-    first_n[pair_at[pair_at >= 0]] = before_n[pair_at >= 0]
-    return Grams(held_out, lengths, ids, counts, before_n, pairs, pair_at, triples, triple_at, pair_n, triple_n, first_n)
+    context = _after(context, ids)
+    del ids
+    triples, triple_at, triple_n = _distinct(context, learned)
+    del context
+    some = np.flatnonzero(known >= START)  # START is first, the unknown words come after it
+    first_n = known_n[some][np.searchsorted(known[some], pairs >> 32)]
+    return Grams(held_out, lengths, pairs, pair_at, triples, triple_at, pair_n, triple_n, first_n)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -275,9 +295,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def dealt(g: Grams, shards: int, tokens: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(shard, its pairs, its triples), as places in the slice's. A word has a shard, and one more for
     each whole share of the tokens that it has, which its second words choose from."""
-    first, second = g.pairs >> 32, g.pairs & 0xFFFFFFFF
     parts = 1 + g.pair_first_n * shards // max(tokens, 1)
-    shard = (_mixed(first) + _mixed(second) % parts) % shards
+    shard = _mixed(g.pairs & 0xFFFFFFFF) % parts
+    del parts
+    shard = ((_mixed(g.pairs >> 32) + shard) % shards).astype(np.int32)
     triple_shard = shard[g.triples >> 32]
     pairs, triples = np.argsort(shard, kind="stable"), np.argsort(triple_shard, kind="stable")
     pair_ends = np.searchsorted(shard[pairs], np.arange(shards + 1))
@@ -302,7 +323,7 @@ def _messages(shards: int, tokens: int, n_documents: int):
     def run(slice_: pa.Table, ids: pa.Table) -> pa.Table:
         row = slice_.to_pylist()[0]
         g = grams(row["documents"], row["tokens"], ids["words"][0].as_py(), n_documents)
-        sizes = np.bincount(g.triples >> 32, minlength=len(g.pairs))
+        sizes = np.bincount(g.triples >> 32, minlength=len(g.pairs)).astype(np.uint32)
         rows = []
         for shard, pairs, triples in dealt(g, shards, tokens):
             first = g.pairs[pairs] >> 32
@@ -312,8 +333,8 @@ def _messages(shards: int, tokens: int, n_documents: int):
             steps[at[:-1]] = second[at[:-1]]
             data = packed(
                 first[at[:-1]].astype(np.uint32), g.pair_first_n[pairs][at[:-1]], np.diff(at).astype(np.uint32),
-                steps.astype(np.uint32), g.pair_n[pairs].astype(np.uint32), sizes[pairs].astype(np.uint32),
-                (g.triples[triples] & 0xFFFFFFFF).astype(np.uint32), g.triple_n[triples].astype(np.uint32),
+                steps.astype(np.uint32), g.pair_n[pairs], sizes[pairs],
+                (g.triples[triples] & 0xFFFFFFFF).astype(np.uint32), g.triple_n[triples],
             )
             rows.append({"shard": shard, "slice": row["slice"], "grams": data})
         return pa.Table.from_pylist(rows, _MESSAGES)
@@ -335,36 +356,54 @@ class Message(NamedTuple):
 
 
 def message(data: bytes) -> Message:
-    first, first_n, sizes, steps, pair_n, triples, third, triple_n = (a.astype(np.int64) for a in unpacked(data))
-    sums, starts = np.cumsum(steps), np.cumsum(sizes) - sizes
-    second = sums - np.repeat(sums[starts] - steps[starts], sizes)
-    pair = np.repeat(np.arange(len(steps)), triples)
+    first, first_n, sizes, steps, pair_n, triples, third, triple_n = unpacked(data)
+    sums, starts = np.cumsum(steps, dtype=np.int64), np.cumsum(sizes, dtype=np.int64) - sizes
+    second = (sums - np.repeat(sums[starts] - steps[starts], sizes)).astype(np.uint32)
+    pair = np.repeat(np.arange(len(steps), dtype=np.int32), triples)
     return Message(np.repeat(first, sizes), np.repeat(first_n, sizes), second, pair_n, pair, third, triple_n)
 
 
-def _joined(arrays: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *arrays])
-
-
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys that were learned, their counts, and the place of every key, or -1."""
-    found, at = np.unique(_joined(keys), return_inverse=True)
-    n = np.bincount(at, _joined(counts), len(found)).astype(np.int64)
-    place = np.where(n > 0, np.cumsum(n > 0) - 1, -1)
-    return found[n > 0], n[n > 0], place[at]
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.diff(keys, prepend=-1) > 0
+    at = np.cumsum(new, dtype=np.int32)
+    at -= 1
+    keys = keys[new]
+    n = np.bincount(at, counts[order], len(keys)).astype(np.int64)
+    some = n > 0
+    place = np.where(some, np.cumsum(some, dtype=np.int32) - 1, -1).astype(np.int32)[at]
+    del at
+    places = np.empty(len(order), np.int32)
+    places[order] = place
+    return keys[some], n[some], places
+
+
+def _joined(arrays: Iterable[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *arrays])
 
 
 def build(messages: list[Message]) -> bytes:
     """The trie of all messages' pairs and triples."""
-    pairs, pair_n, at = _added([m.first << 32 | m.second for m in messages], [m.pair_n for m in messages])
+    pairs, pair_n, at = _added(
+        _joined(m.first.astype(np.int64) << 32 | m.second for m in messages), _joined(m.pair_n for m in messages)
+    )
     first_n = np.zeros(len(pairs), np.int64)
-    first_n[at[at >= 0]] = _joined([m.first_n for m in messages])[at >= 0]
     starts = np.cumsum([0] + [len(m.first) for m in messages])
-    contexts = [at[m.pair + start] for m, start in zip(messages, starts, strict=False)]
-    # a triple that was learned has a pair that was
-    known = [c >= 0 for c in contexts]
-    keys = [(c << 32 | m.third)[k] for c, k, m in zip(contexts, known, messages, strict=True)]
-    triples, triple_n, _ = _added(keys, [m.triple_n[k] for k, m in zip(known, messages, strict=True)])
+    keys, counts = [], []
+    for m, start in zip(messages, starts, strict=False):
+        own = at[start : start + len(m.first)]
+        first_n[own[own >= 0]] = m.first_n[own >= 0]
+        # a triple that was learned has a pair that was
+        context = own[m.pair]
+        known = context >= 0
+        keys.append(context[known].astype(np.int64) << 32 | m.third[known])
+        counts.append(m.triple_n[known])
+    del at
+    keys = _joined(keys)
+    triples, triple_n, _ = _added(keys, _joined(counts))
+    del keys, counts
     roots = _runs(pairs >> 32)
     context = triples >> 32
     levels = [
@@ -389,11 +428,12 @@ class Trie:
 
     def look_up(self, m: Message) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes: shares of pairs, weights of the shorter context behind pairs, shares of triples."""
-        root = self.roots.successor(m.first)
+        first = m.first.astype(np.int64)
+        root = self.roots.successor(first)
         hit = root < self.roots.n
-        hit[hit] = self.roots.value(root[hit]) == m.first[hit]
-        pair = self.pairs.find(np.where(hit, root, -1), m.second)
-        triple = self.triples.find(pair[m.pair], m.third)
+        hit[hit] = self.roots.value(root[hit]) == first[hit]
+        pair = self.pairs.find(np.where(hit, root, -1), m.second.astype(np.int64))
+        triple = self.triples.find(pair[m.pair], m.third.astype(np.int64))
         found = (self.shares, pair, _NONE), (self.weights, pair, 0), (self.triple_shares, triple, _NONE)
         return tuple(np.append(codes, np.uint16(none))[at] for codes, at, none in found)  # at -1: none
 
@@ -431,18 +471,23 @@ def _score(shards: int, tokens: int, size: int, n_documents: int):
         row, codes = slice_.to_pylist()[0], {r["shard"]: r["codes"] for r in found.to_pylist()}
         g = grams(row["documents"], row["tokens"], codes[-1], n_documents)
         # a place more, for tokens without a pair or a triple
-        share, weight, triple_share = (np.zeros(len(x) + 1) for x in (g.pairs, g.pairs, g.triples))
-        weight[-1] = 1
+        share, triple_share = (np.full(len(x) + 1, _NONE, np.uint16) for x in (g.pairs, g.triples))
+        weight = np.zeros(len(g.pairs) + 1, np.uint16)  # of 1
         for shard, pairs, triples in dealt(g, shards, tokens):
-            share[pairs], weight[pairs], triple_share[triples] = (share_of(x) for x in unpacked(codes[shard]))
-        base = (g.counts + 0.1) / (tokens + 0.1 * (size + 1))
-        two = share[g.pair_at] + M2 / (g.before + M2) * base
+            share[pairs], weight[pairs], triple_share[triples] = unpacked(codes[shard])
         starts = np.cumsum(g.lengths) - g.lengths
+        counts = unpacked(codes[-1])[1][unpacked(row["tokens"])[0]]
+        before = np.roll(counts, 1)
+        before[starts] = n_documents
+        base = (counts + 0.1) / (tokens + 0.1 * (size + 1))
+        n_known, base_score = np.add.reduceat(counts > 0, starts), np.add.reduceat(np.log10(base), starts)
+        del counts
+        two = share_of(share[g.pair_at]) + M2 / (before + M2) * base
+        del before, base
         context = np.roll(g.pair_at, 1)
         context[starts] = -1
-        three = triple_share[g.triple_at] + weight[context] * two
-        sums = [np.add.reduceat(x, starts) for x in (g.counts > 0, np.log10(base), np.log10(three))]
-        n_known, base_score, score = sums
+        three = share_of(triple_share[g.triple_at]) + share_of(weight[context]) * two
+        score = np.add.reduceat(np.log10(three), starts)
         columns = [row["doc_ids"], g.held_out > 0, g.lengths, n_known.astype(np.int64), np.full(len(starts), tokens), base_score, score]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in SCORES.split(", ")])

@@ -1,11 +1,13 @@
 """Operator 11: its sequences and tries against plain lists, its scores against a plain model."""
 
+import tracemalloc
 from collections import Counter
 from math import log10
 from zlib import crc32
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -129,3 +131,30 @@ def test_odd_rows(spark):
     held = [r for r in range(100) if crc32(str(r).encode()) % 10 == 0]
     nothing = nt.lm_scores(spark.createDataFrame([(held[0], "some text", None, 1, "w", 0.5), (None, "x", None, 1, "w", 0.5)], SCHEMA))
     assert [(r.base_score, r.score, r.train_tokens, r.n_known) for r in nothing.collect()] == [(0, 0, 0, 0)] * 2
+
+
+def peak_of(call):
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_slice_takes_few_bytes_a_token():
+    draw = np.random.default_rng(1)
+    n, n_words = 300_000, 20_000
+    place = (draw.zipf(1.3, n) % n_words).astype(np.uint32)
+    documents = nt.packed(*(np.array([x] * 300) for x in (0, 1, n // 300)))
+    words = nt.packed(np.append(draw.permutation(n_words - 1) + 1, nt.UNKNOWN), np.append(np.arange(1, n_words), 0))
+    args = documents, nt.packed(place), words, 300
+    assert peak_of(lambda: nt.grams(*args)) < 80 * n
+    g, shards = nt.grams(*args), 4
+    assert (g.pair_n.sum(), g.triple_n.sum()) == ((g.pair_at >= 0).sum(), (g.triple_at >= 0).sum())
+    slice_ = pa.Table.from_pylist([{"slice": 7, "doc_ids": list(range(300)), "documents": documents, "tokens": args[1]}])
+    asked = nt._messages(shards, n, 300)(slice_, pa.table({"words": [words]}))
+    messages = [nt.message(r["grams"]) for r in asked.to_pylist()]
+    n_grams = sum(len(m.first) + len(m.third) for m in messages)
+    assert n_grams == len(g.pairs) + len(g.triples)
+    assert peak_of(lambda: nt.build(messages)) < 110 * n_grams
