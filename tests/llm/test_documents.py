@@ -720,6 +720,45 @@ def test_near_copies_meet_in_a_bucket():
     assert missed == 0
 
 
+def test_near_copies_lie_within_the_radius():
+    """Of the smallest sets too: four shingles of five."""
+    draw = np.random.default_rng(5)
+    for n, shared in ((5, 4), (10, 8), (45, 40), (200, 178)):
+        for _ in range(500):
+            a = draw.integers(0, 1 << 63, n, np.uint64) * np.uint64(2)
+            b = a[:shared] if n < 40 else np.concatenate([a[:shared], draw.integers(0, 1 << 63, n - shared, np.uint64)])
+            assert near_copies.alike(np.unique(a), np.unique(b))
+            assert (near_copies.fingerprint(a) ^ near_copies.fingerprint(b)).bit_count() <= near_copies.RADIUS
+
+
+def test_near_copies_are_found_in_trees(monkeypatch):
+    """Only texts within the radius are compared, and nothing that is alike is missed."""
+    draw = np.random.default_rng(6)
+    base = [draw.integers(0, 1 << 63, 60, np.uint64) for _ in range(30)]
+    sets = [np.unique(np.concatenate([x[: 60 - k], draw.integers(0, 1 << 63, k, np.uint64)])) for x in base for k in range(0, 12, 2)]
+    shuffled = [sets[i] for i in draw.permutation(len(sets))]
+    texts = [near_copies.Text(i, near_copies.fingerprint(x), x) for i, x in enumerate(shuffled)]
+    alike, fps, compared = near_copies.alike, {id(t.shingles): t.fp for t in texts}, []
+
+    def watched(a, b):
+        compared.append((fps[id(a)] ^ fps[id(b)]).bit_count())
+        return alike(a, b)
+
+    monkeypatch.setattr(near_copies, "alike", watched)
+    links = near_copies.spanning_links(texts)
+    assert compared and max(compared) <= near_copies.RADIUS and len(compared) < len(texts) * (len(texts) - 1) / 4
+
+    def labels(pairs):
+        label = list(range(len(texts)))
+        for i, j in pairs:
+            low, high = sorted((label[i], label[j]))
+            label = [low if x == high else x for x in label]
+        return label
+
+    every = [(i, j) for j in range(len(texts)) for i in range(j) if alike(texts[i].shingles, texts[j].shingles)]
+    assert labels(links) == labels(every) and len(links) == len(texts) - len(set(labels(every)))
+
+
 def test_stages_judge_rows_whose_ids_repeat(spark):
     draw = np.random.default_rng(8)
 
