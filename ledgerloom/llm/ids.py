@@ -17,6 +17,7 @@ import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import islice
 from unicodedata import normalize
 
 import numpy as np
@@ -29,7 +30,7 @@ _RUNS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 #: Beyond these, case, composed letters or white space may differ between Python and a library.
 _NOT_LATIN = re.compile(r"[^\0-\x1b\x20-\x84\x86-\x9f\xa1-\u02ff]")
 
-#: Runs kept in memory by a worker, beyond which only those of the last slice stay.
+#: Runs kept in memory by a worker, beyond which only the first half stays: what is frequent is met early.
 KEPT_RUNS = 1_000_000
 #: Runs that the library gets at once, with a mark between them.
 AT_ONCE = 512
@@ -136,14 +137,12 @@ class Encoder:
         last = np.array([end], self.width).tobytes()
         for i in range(0, len(texts), 256):
             cut = [self._runs(text) for text in texts[i : i + 256]]
-            pieces = set().union(*(a for a, _ in cut))
-            spaced = set().union(*(b for _, b in cut))
             if len(self.spaced) > KEPT_RUNS:
-                self.spaced = {run: self.spaced[run] for run in spaced if run in self.spaced}
+                self.spaced = dict(islice(self.spaced.items(), KEPT_RUNS // 2))
             if len(self.pieces) > KEPT_RUNS // 10:
                 self.pieces = {"": b""}
-            self._learn_pieces(pieces.difference(self.pieces))
-            self._learn_spaced(spaced.difference(self.spaced))
+            self._learn_pieces(set().union(*(a for a, _ in cut)).difference(self.pieces))
+            self._learn_spaced(set().union(*(b for _, b in cut)).difference(self.spaced))
             for a, b in cut:
                 out.append(b"".join([*map(self.pieces.__getitem__, a), *map(self.spaced.__getitem__, b), last]))
         return out

@@ -720,6 +720,23 @@ def test_near_copies_meet_in_a_bucket():
     assert missed == 0
 
 
+def test_frequent_runs_are_learned_once(monkeypatch):
+    """Also where a slice in between does not have them, and too many runs are kept."""
+    monkeypatch.setattr(ids, "KEPT_RUNS", 1000)
+    encoder, learned = ids.Encoder(BYTE_BPE), Counter()
+    learn = encoder._learn_spaced
+    monkeypatch.setattr(encoder, "_learn_spaced", lambda new: (learned.update(new := list(new)), learn(new)))
+    common = [f"often{chr(97 + i)}" for i in range(20)]
+    letters = str.maketrans("0123456789", "abcdefghij")
+    slices = [[f"x {f'seldom{i}n{j}'.translate(letters)} " + " ".join(common if i % 3 == 0 else ()) for j in range(256)] for i in range(12)]
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    for texts in slices:
+        got = [np.frombuffer(x, encoder.width).tolist() for x in encoder.encode(texts, 0)]
+        assert got[::50] == [[*tokenizer.encode(x, add_special_tokens=False).ids, 0] for x in texts[::50]]
+        assert len(encoder.spaced) <= 1000 + 300
+    assert {learned[run] for run in common} == {1}
+
+
 def test_near_copies_lie_within_the_radius():
     """Of the smallest sets too: four shingles of five."""
     draw = np.random.default_rng(5)
