@@ -35,6 +35,8 @@ from ledgerloom.llm.ids import encoder_of
 LIMIT = 16
 #: Ids between two checkpoints, and ids after which a block ends with its document.
 LANE, BLOCK = 256, 1 << 18
+#: Documents whose ids are counted at once: each count takes room for the vocabulary.
+TOGETHER = 256
 
 _IDS = "shard int, doc_id long, before long, n_ids long, ids binary"
 _BLOCKS = "start long, doc_ids array<long>, doc_lengths array<long>, bits array<long>, payload binary"
@@ -153,8 +155,9 @@ def as_ids(data: bytes, n: int) -> np.ndarray:
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1, np.int64)
     for batch in batches:
-        for data, n in zip(batch.column("ids").to_pylist(), batch.column("n_ids").to_pylist(), strict=True):
-            more = np.bincount(as_ids(data, n))
+        rows = list(zip(batch.column("ids").to_pylist(), batch.column("n_ids").to_pylist(), strict=True))
+        for i in range(0, len(rows), TOGETHER):
+            more = np.bincount(np.concatenate([as_ids(data, n) for data, n in rows[i : i + TOGETHER]]))
             if len(more) > len(counts):
                 counts = np.concatenate([counts, np.zeros(len(more) - len(counts), np.int64)])
             counts[: len(more)] += more

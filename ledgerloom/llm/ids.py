@@ -1,11 +1,14 @@
 """Token ids of whole texts by a public tokenizer file.
 
 The tokenizers library encodes each distinct run between two spaces once; texts are put
-together from the ids of their runs. That gives the ids of the whole text, because both
-splitting rules in use never put a space and the character before it into one piece.
-Where another white space character stands before a space, or where exotic white space
-occurs, larger pieces or the whole text go to the library. So does a text with the name of
-a special token, in any case, since the library may put that token's id in its place.
+together from the ids of their runs, the texts of a slice side by side (Arrow). That gives
+the ids of the whole text, because both splitting rules in use never put a space and the
+character before it into one piece. Nor do they with the end of a line that has no white
+space before it: a run ends there too, so that the last word of a line and the first of the
+next are not one more run. Where another white space character stands before a space, or
+where exotic white space occurs, larger pieces or the whole text go to the library. So does
+a text with the name of a special token, in any case, since the library may put that
+token's id in its place.
 
 A tokenizer that drops case and white space needs fewer runs: a text of Latin letters is
 put in lower case and cut at all its white space first.
@@ -17,23 +20,29 @@ import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import islice
+from itertools import islice, pairwise
 from unicodedata import normalize
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _SPACE_BEFORE_SPACE = re.compile(r" (?<=\s )")
 _EXOTIC = re.compile(r"[^\S \t\r\n]")
 _RUNS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+_LINE_END = re.compile(r"\n(?<=\S\n)")
 #: Beyond these, case, composed letters or white space may differ between Python and a library.
 _NOT_LATIN = re.compile(r"[^\0-\x1b\x20-\x84\x86-\x9f\xa1-\u02ff]")
 
 #: Runs kept in memory by a worker, beyond which only the first half stays: what is frequent is met early.
 KEPT_RUNS = 1_000_000
+#: Texts of a slice: each distinct run of a slice is looked up once.
+SLICE = 2048
 #: Runs that the library gets at once, with a mark between them.
-AT_ONCE = 512
+AT_ONCE = 128
+#: Also put before a run that follows no space.
 MARK = "\x01"
 #: Marks after a word that every splitting rule in use cuts off it, in one piece.
 CUT_OFF = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -86,20 +95,19 @@ class Encoder:
             self.pieces[piece] = np.array(ids, self.width).tobytes()
 
     def _learn_spaced(self, new: Iterable[str]) -> None:
-        words, plain, odd, marked = set(), [], [], []
+        new = list(new)
+        words, plain, odd, marked = {run for run in new if run.isalpha()}, [], [], []
         for run in new:
-            if run.isalpha():
-                words.add(run)
+            if run in words:
                 continue
             word = run.rstrip(CUT_OFF)
             if word != run and _stays_letters(word):
                 marked.append((run, word, run[len(word) :]))
-                if word not in self.spaced:
-                    words.add(word)
             elif not run or MARK in run or run[-1].isspace():
                 odd.append(run)
             else:
                 plain.append(run)
+        words.update(word for _, word, _ in marked if word not in self.spaced)
         words = list(words)
         for i in range(0, len(words), AT_ONCE):
             part = words[i : i + AT_ONCE]
@@ -118,33 +126,54 @@ class Encoder:
             for run, at in zip(part, np.flatnonzero(ids == self.mark[-1]).tolist(), strict=True):
                 self.spaced[run] = ids[start : at + 1 - len(self.mark)].tobytes()
                 start = at + 1
-        for run, ids in zip(odd, self._ids([" " + run for run in odd]), strict=True):
+        texts = [run[1:] if run.startswith(MARK) else " " + run for run in odd]
+        for run, ids in zip(odd, self._ids(texts), strict=True):
             self.spaced[run] = np.array(ids, self.width).tobytes()
         self._learn_pieces({marks for _, _, marks in marked}.difference(self.pieces))
         for run, word, marks in marked:
             self.spaced[run] = self.spaced[word] + self.pieces[marks]
 
-    def _runs(self, text: str) -> tuple[list[str], list[str]]:
-        if self.added.search(text):
-            return [text], []
+    def _cut(self, text: str) -> str | list[str]:
+        """The text's runs with one space between them, those that follow no space after a
+        mark; or, where it can't be cut that way, whole pieces."""
+        if MARK in text or self.added.search(text):
+            return [text]
         if self.folds and not _NOT_LATIN.search(text):
-            return [], text.lower().split()
-        return runs(text)
+            return " ".join(text.lower().split())
+        if not _SPACE_BEFORE_SPACE.search(text):
+            return MARK + _LINE_END.sub(f" {MARK}\n", text)
+        return runs(text)[0]
+
+    def _together(self, texts: list[str]) -> list[memoryview]:
+        """The ids of texts that are cut at spaces."""
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        found = cut.values.dictionary_encode()
+        runs = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn_spaced(run for run in runs if run not in self.spaced)
+        ids = pa.array(map(self.spaced.__getitem__, runs), pa.large_binary()).take(found.indices)
+        _, ends, data = ids.buffers()
+        bounds = np.frombuffer(ends, np.int64)[np.asarray(cut.offsets)].tolist()
+        view = memoryview(data or b"")
+        return [view[a:b] for a, b in pairwise(bounds)]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """The ids of each text, and the id ``end`` after them."""
         out: list[bytes] = []
         last = np.array([end], self.width).tobytes()
-        for i in range(0, len(texts), 256):
-            cut = [self._runs(text) for text in texts[i : i + 256]]
+        for i in range(0, len(texts), SLICE):
+            cut = [self._cut(text) for text in texts[i : i + SLICE]]
             if len(self.spaced) > KEPT_RUNS:
                 self.spaced = dict(islice(self.spaced.items(), KEPT_RUNS // 2))
             if len(self.pieces) > KEPT_RUNS // 10:
                 self.pieces = {"": b""}
-            self._learn_pieces(set().union(*(a for a, _ in cut)).difference(self.pieces))
-            self._learn_spaced(set().union(*(b for _, b in cut)).difference(self.spaced))
-            for a, b in cut:
-                out.append(b"".join([*map(self.pieces.__getitem__, a), *map(self.spaced.__getitem__, b), last]))
+            whole = [c for c in cut if isinstance(c, list)]
+            self._learn_pieces(set().union(*whole).difference(self.pieces))
+            spaced = iter(self._together([c for c in cut if isinstance(c, str)]))
+            for c in cut:
+                ids = [next(spaced)] if isinstance(c, str) else map(self.pieces.__getitem__, c)
+                out.append(b"".join([*ids, last]))
         return out
 
 

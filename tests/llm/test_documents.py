@@ -11,6 +11,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -737,6 +738,33 @@ def test_frequent_runs_are_learned_once(monkeypatch):
     assert {learned[run] for run in common} == {1}
 
 
+def test_a_line_end_makes_no_new_runs(monkeypatch):
+    """The last word of a line and the first of the next are learned as runs of their own."""
+    encoder, learned = ids.Encoder(BYTE_BPE), Counter()
+    learn = encoder._learn_spaced
+    monkeypatch.setattr(encoder, "_learn_spaced", lambda new: (learned.update(new := list(new)), learn(new)))
+    words = [f"word{chr(97 + i)}" for i in range(20)]
+    texts = [f"x {a}.\n{b} y" for a in words for b in words]
+    texts += ["a\n\nb", "a \nb", "a\r\nb c", "\na b", "a\n", "a\x1c\nb", "", "a\x01 b\n\x01c", "a\n b", "don't\n's \t\nx"]
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    got = [np.frombuffer(x, encoder.width).tolist() for x in encoder.encode(texts, 0)]
+    assert got == [[*tokenizer.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert len(learned) <= 2 * len(words) + 20 and set(learned.values()) == {1}
+    assert encoder.encode([], 0) == [] and encoder.encode(["a\x01"], 0) != [b""]
+
+
+def test_ids_are_counted_together(monkeypatch):
+    """Room for the vocabulary is not taken for every document."""
+    calls, count = [], np.bincount
+    monkeypatch.setattr(huffman.np, "bincount", lambda x: (calls.append(1), count(x))[1])
+    rows = [np.array([i % 7, 50_000, 0], "<u2") for i in range(1000)]
+    columns = [pa.array([x.tobytes() for x in rows], pa.binary()), pa.array([3] * len(rows), pa.int64())]
+    (got,) = huffman._count([pa.RecordBatch.from_arrays(columns, ["ids", "n_ids"])])
+    found = Counter(i for x in rows for i in x.tolist())
+    assert dict(zip(got.column("id").to_pylist(), got.column("n").to_pylist(), strict=True)) == found
+    assert len(calls) <= 10
+
+
 def test_near_copies_lie_within_the_radius():
     """Of the smallest sets too: four shingles of five."""
     draw = np.random.default_rng(5)
