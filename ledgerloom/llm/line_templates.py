@@ -35,6 +35,8 @@ MOST_BROADCAST = 1_000_000
 
 FIELD = "<*>"
 _WITH_DIGIT = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
+#: White space within a line other than a single space.
+_WIDE = r" [ \t\x0B\f\r]++|[\t\x0B\f\r][ \t\x0B\f\r]*+"
 
 
 def _bytes_of(column: str, part: str) -> Column:
@@ -42,28 +44,31 @@ def _bytes_of(column: str, part: str) -> Column:
     return F.octet_length(column) - F.octet_length(F.replace(F.col(column), F.lit(part), F.lit("")))
 
 
-def _uneven(column: str) -> Column:
-    """Whether other than single spaces between tokens occur."""
-    line = F.col(column)
-    odd = line.startswith(" ") | line.endswith(" ") | line.contains("  ")
-    for space in "\t\x0b\f\r":
-        odd = odd | line.contains(space)
-    return odd
+def _even(column: str) -> Column:
+    """The text with single spaces between the tokens of a line, and none at its ends."""
+    text = F.col(column)
+    odd = text.startswith(" ") | text.endswith(" ")
+    for part in ("  ", " \n", "\n ", "\t", "\x0b", "\f", "\r"):
+        odd = odd | text.contains(part)
+    single = F.regexp_replace(text, _WIDE, " ")
+    cut = F.replace(F.replace(single, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    return F.when(odd, F.trim(cut)).otherwise(text)
 
 
 def parsed(docs: DataFrame) -> DataFrame:
     """One row per line of ``LEAST`` tokens or more: the document's id and text hash,
     line_no, and the parsed line as ``line`` with ``n`` tokens, its leaf and its own hash."""
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc")
-    lines = docs.select(ident, text_of().alias("text")).select(
-        "doc", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw")
-    )
-    even = F.when(_uneven("raw"), F.trim(F.regexp_replace("raw", r"[ \t\x0B\f\r]+", " "))).otherwise(F.col("raw"))
+    texts = docs.select(ident, text_of().alias("text"))
+    # hashed and made even once a text, not once a line
+    texts = texts.select("doc", F.xxhash64("text").alias("h"), _even("text").alias("even"))
+    lines = texts.select("doc", "h", F.posexplode(F.split("even", "\n", -1)).alias("line_no", "own"))
+    # short lines need no template: none of the work that follows is done for them, and they
+    # are told by their first tokens, as a filter's columns are computed again after it
+    lines = lines.filter(F.substring_index("own", " ", LEAST - 1) != F.col("own"))
+    lines = lines.withColumn("n", _bytes_of("own", " ") + 1)
     masked = F.when(F.col("own").rlike("[0-9]"), F.regexp_replace("own", _WITH_DIGIT, FIELD)).otherwise(F.col("own"))
-    lines = lines.withColumn("own", even)
-    lines = lines.withColumn("n", F.when(F.col("own") == "", 0).otherwise(_bytes_of("own", " ") + 1))
-    # short lines need no template: none of the work that follows is done for them
-    lines = lines.filter(F.col("n") >= LEAST).withColumn("masked", masked)
+    lines = lines.withColumn("masked", masked)
     # a line that is mostly fields, such as a row of numbers, is kept as it is
     mostly = F.col("masked").contains(FIELD) & (2 * _bytes_of("masked", FIELD) > len(FIELD) * F.col("n"))
     lines = lines.withColumn("line", F.when(mostly, F.col("own")).otherwise(F.col("masked")))
@@ -138,8 +143,8 @@ def _split(groups: DataFrame) -> DataFrame:
 
 def recurring(docs: DataFrame) -> DataFrame:
     """doc, h, line_no of the lines that are dropped."""
-    lines = parsed(docs)
-    keys = written(lines.select("doc", "h", "line_no", "leaf", "hash"), "line-keys")
+    lines = written(parsed(docs), "lines")  # parsed once: the keys and, later, some leaves' texts are read from it
+    keys = lines.select("doc", "h", "line_no", "leaf", "hash")
     classes = written(
         keys.groupBy("leaf", "hash").agg(
             F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("size")
@@ -162,7 +167,8 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc")
     texts = docs.select("doc_id", ident, text_of().alias("text")).withColumn("h", F.xxhash64("text"))
     joined = texts.join(dropped, ["doc", "h"], "left")
-    parts = F.split("text", "\n", -1)
+    # a column of its own: within the function of a place, the text would be split for each place
+    joined, parts = joined.withColumn("parts", F.split("text", "\n", -1)), F.col("parts")
     places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("dropped"))
     left = F.array_join(F.transform(places, lambda i: F.get(parts, i)), "\n")
     return joined.select(

@@ -634,6 +634,37 @@ def test_templates_do_not_depend_on_the_other_lines_of_a_leaf(spark):
     assert [got[2000 + i] for i in range(300)] == [0] * 6 + [1] * 294
 
 
+def test_texts_are_parsed_once(spark, tmp_path, monkeypatch):
+    """Neither hashed nor split again for each of their lines."""
+    rows = [(i, "\n".join(f"the {i % 5} price of line{j % (7 + i)} is known" for j in range(30))) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents")
+    docs, read, write = spark.read.parquet(f"{tmp_path}/documents"), [], line_templates.written
+
+    def watched(df, name):
+        read.extend([name] * any(f"{tmp_path}/documents" in file for file in df.inputFiles()))
+        return write(df, name)
+
+    monkeypatch.setattr(line_templates, "written", watched)
+    found = line_templates.drop_recurring_lines(docs)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (found, line_templates.parsed(docs))]
+    assert read == ["lines"]
+    assert "split(" not in "".join(re.findall(r"lambdafunction\([^)]*\)", plans[0])) and "lambdafunction(" in plans[0]
+    above = plans[1][: plans[1].index("Generate")]
+    assert "xxhash64(text" not in above and above.count("octet_length(replace(own") == 1
+    assert found.agg(F.sum("n_dropped")).first()[0] > 0
+
+
+def test_texts_are_made_even_as_lines_are(spark):
+    draw = np.random.default_rng(8)
+    texts = ["".join(draw.choice(list("ab  \n\t\r\x0b\f\xa0"), draw.integers(0, 24))) for _ in range(2000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in rows.select("text", line_templates._even("text").alias("even")).collect():
+        assert r.even == "\n".join(re.sub(r"[ \t\x0b\f\r]+", " ", line).strip(" ") for line in r.text.split("\n"))
+    few = {(r.doc, r.line_no): r.n for r in line_templates.parsed(rows).collect()}
+    want = {(i, j): len(words) for i, t in enumerate(texts) for j, line in enumerate(t.split("\n")) if len(words := re.findall(r"[^ \t\x0b\f\r]+", line)) >= line_templates.LEAST}
+    assert few == want and len(want) > 100
+
+
 # the pipeline
 
 
