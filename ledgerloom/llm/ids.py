@@ -39,7 +39,7 @@ _NOT_LATIN = re.compile(r"[^\0-\x1b\x20-\x84\x86-\x9f\xa1-\u02ff]")
 #: Runs kept in memory by a worker, beyond which only the first half stays: what is frequent is met early.
 KEPT_RUNS = 1_000_000
 #: Texts of a slice: each distinct run of a slice is looked up once.
-SLICE = 2048
+SLICE = 256
 #: Runs that the library gets at once, with a mark between them.
 AT_ONCE = 128
 #: Also put before a run that follows no space.
